@@ -16,13 +16,10 @@ from replicheck.plans.runlog import RunLog
 from replicheck.sources import (
     AuditStore,
     Workspace,
-    key_lookup_rows,
-    key_range_scan,
-    key_scan,
     literal_rows,
     read_replica,
     read_replicas,
-    unique_cols_lookup,
+    readers,
 )
 from replicheck.spec import CheckConfig, ReplicaSpec, match_replicas
 
@@ -101,8 +98,13 @@ class Check:
         )
         return self.ws.stage(plan, "plan")
 
+    def holders(self, plan: DataFrame) -> DataFrame:
+        return repair.tuple_holders(self.rows, plan, self.pk, self.unique_cols)
+
     def changes(self, plan: DataFrame) -> DataFrame:
-        changes = repair.repair_changes(self.rows, plan, self.pk, self.nodes, self.unique_cols)
+        changes = repair.repair_changes(
+            self.rows, plan, self.pk, self.nodes, self.unique_cols, self.holders(plan)
+        )
         return self.ws.stage(changes, "changes")
 
 
@@ -134,28 +136,28 @@ def matched_replicas(spark, sf_dir):
 
 
 @query
-def key_scan_keys(spark, sf_dir):
-    return key_scan(orders(spark, sf_dir).rows, "id")
+def key_scan(spark, sf_dir):
+    return readers.key_scan(orders(spark, sf_dir).rows, "id")
 
 
 @query
-def key_range_rows(spark, sf_dir):
+def key_range_scan(spark, sf_dir):
     """The middle half of the key range, on every replica."""
     c = orders(spark, sf_dir)
     low, high = keys.key_min_max(keys.key_universe(c.rows, "id"), "id").first()
-    return key_range_scan(c.rows, "id", low + (high - low) // 4, high - (high - low) // 4)
+    return readers.key_range_scan(c.rows, "id", low + (high - low) // 4, high - (high - low) // 4)
 
 
 @query
-def key_lookup(spark, sf_dir):
+def key_lookup_rows(spark, sf_dir):
     c = orders(spark, sf_dir)
-    return key_lookup_rows(c.rows, c.pending(), "id")
+    return readers.key_lookup_rows(c.rows, c.pending(), "id")
 
 
 @query
-def unique_lookup(spark, sf_dir):
+def unique_cols_lookup(spark, sf_dir):
     c = orders(spark, sf_dir)
-    return unique_cols_lookup(c.rows, c.pending(), "id", ["uk"])
+    return readers.unique_cols_lookup(c.rows, c.pending(), "id", ["uk"])
 
 
 def _store(c: Check) -> AuditStore:
@@ -606,7 +608,7 @@ def time_value(spark, sf_dir):
 @query
 def latest_row(spark, sf_dir):
     c = orders(spark, sf_dir)
-    found = key_lookup_rows(c.rows, c.pending(), "id")
+    found = readers.key_lookup_rows(c.rows, c.pending(), "id")
     return repair.latest_row(found, "id", c.cfg.time_column, c.cfg.time_format)
 
 
@@ -671,7 +673,8 @@ def contested_plan(spark, sf_dir):
 @query
 def replace_evicts(spark, sf_dir):
     c = parts(spark, sf_dir)
-    return repair.replace_evicts(c.rows, c.plan(), "k", c.unique_cols)
+    plan = c.plan()
+    return repair.replace_evicts(c.holders(plan), plan, "k", c.unique_cols)
 
 
 @query

@@ -24,7 +24,9 @@ def canonical(
         c = c.cast(dtype)
     if isinstance(dtype, T.DecimalType):
         # Beyond six fraction digits a cast may print an exponent.
-        return c.cast("string") if dtype.scale <= 6 else F.format_string(f"%.{dtype.scale}f", c)
+        if dtype.scale <= 6:
+            return c.cast("string")
+        return F.call_function("format_number", c, F.lit("0." + "0" * dtype.scale))
     if isinstance(dtype, (*_PLAIN, T.DateType, T.StringType, T.BinaryType)):
         return c.cast("string")
     if isinstance(dtype, T.BooleanType):

@@ -77,10 +77,10 @@ def key_differ(drilled: DataFrame, pk: str, nodes: Nodes) -> DataFrame:
 
 
 def numbered_differ(
-    differing: DataFrame, pk: str, table: str, ws: Workspace, after: int = 0
+    differing: DataFrame, pk: str, table: str, ws: Workspace, after: int = 0, partitions: int = 0
 ) -> DataFrame:
     """Differing keys as pending entries, numbered on from ``after`` in chunk and key order."""
-    ranked = with_rank(differing, ["chunk", pk], ws, name="differ")
+    ranked = with_rank(differing, ["chunk", pk], ws, partitions, "differ")
     return ranked.select(
         (F.col("rn") + after).alias("id"),
         F.lit(table).alias("table_name"),

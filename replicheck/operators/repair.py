@@ -137,16 +137,17 @@ def _outcomes(
         alone.filter(F.col("status") == REPAIRED).groupBy(pk).agg(F.min("differ_id").alias("done_id"))
     )
     again = F.col("done_id").isNotNull() & (F.col("differ_id") > F.col("done_id"))
-    return alone.join(done, pk, "left").select(
-        "differ_id",
-        pk,
-        F.when(again, F.lit(MANUAL if replicas > 1 else REPAIRED))
-        .otherwise(F.col("status"))
-        .alias("status"),
-        F.when(F.col("differ_id") == F.col("done_id"), F.col("winner")).alias(
-            "winner"
-        ),
-        "uk",
+    final = F.when(again, F.lit(MANUAL if replicas > 1 else REPAIRED)).otherwise(F.col("status"))
+    return (
+        alone.join(done, pk, "left")
+        .withColumn("status", final)
+        .select(
+            "differ_id",
+            pk,
+            "status",
+            F.when(F.col("status") == REPAIRED, F.col("winner")).alias("winner"),
+            "uk",
+        )
     )
 
 
@@ -203,8 +204,9 @@ def repair_outcomes(
     while True:
         plan = ws.stage(_outcomes(tied, tied_held, pk, replicas, owners), "round")
         now = ws.stage(tuple_owners(plan, pk, unique_cols), "owners")
-        moved = now.join(owners, ["owner_uk", "owner_id", "owner_pk"], "left_anti")
-        if moved.isEmpty() and now.count() == owners.count():
+        same = ["owner_uk", "owner_id", "owner_pk"]
+        gained, lost = (a.join(b, same, "left_anti") for a, b in ((now, owners), (owners, now)))
+        if gained.unionByName(lost).isEmpty():
             break
         owners = now
     return _outcomes(free, held, pk, replicas, None).unionByName(plan)
@@ -266,31 +268,50 @@ def backup_rows(
     )
 
 
+def tuple_holders(
+    rows: DataFrame, held: DataFrame, pk: str, unique_cols: Sequence[str]
+) -> DataFrame:
+    """Every row ``(ord, pk, uk)``, pending or not, with a unique tuple that a pending key holds.
+    Reads the key and the unique columns only."""
+    tuples = held.filter(_full(F.col("uk"), unique_cols)).select("uk").distinct()
+    narrow = rows.select("ord", pk, F.struct(*unique_cols).alias("uk"))
+    return narrow.join(tuples, "uk", "left_semi").select("ord", pk, "uk")
+
+
+def unique_faults(holders: DataFrame) -> DataFrame:
+    """Tuples that one replica holds more than once although they should be unique."""
+    return holders.groupBy("ord", "uk").agg(F.count("*").alias("n")).filter("n > 1")
+
+
 def replace_evicts(
-    rows: DataFrame, plan: DataFrame, pk: str, unique_cols: Sequence[str]
+    holders: DataFrame, plan: DataFrame, pk: str, unique_cols: Sequence[str]
 ) -> DataFrame:
     """Rows ``(ord, pk)`` that leave a replica because a repaired row of another key has
-    their unique tuple. Reads the key and the unique columns only."""
+    their unique tuple."""
     owners = tuple_owners(plan, pk, unique_cols)
-    narrow = rows.select("ord", F.col(pk), F.struct(*unique_cols).alias("uk"))
     return (
-        narrow.join(owners, F.col("uk") == F.col("owner_uk"))
+        holders.join(owners, F.col("uk") == F.col("owner_uk"))
         .filter(F.col(pk) != F.col("owner_pk"))
         .select("ord", pk)
     )
 
 
 def repair_changes(
-    rows: DataFrame, plan: DataFrame, pk: str, nodes: Nodes, unique_cols: Sequence[str] = ()
+    rows: DataFrame,
+    plan: DataFrame,
+    pk: str,
+    nodes: Nodes,
+    unique_cols: Sequence[str] = (),
+    holders: DataFrame | None = None,
 ) -> DataFrame:
     """The change set: per replica, rows to put (``op`` 'put') and keys to take out ('del').
 
     Its size is that of the differences, not of the table. Putting a row replaces the row of
-    the same key.
+    the same key. A table with a unique key needs the ``holders`` of its pending tuples.
     """
     columns = [c for c in rows.columns if c not in ("ord", "datanode")]
     every = F.array(*[F.lit(o).cast("int") for o, _ in nodes])
-    winners = _winners(plan, pk)
+    winners = _winners(plan, pk).select(pk, "winner").distinct()
     puts = (
         key_lookup_rows(rows, winners, pk)
         .join(winners, pk)
@@ -299,16 +320,21 @@ def repair_changes(
     )
     if not unique_cols:
         return puts
-    gone = replace_evicts(rows, plan, pk, unique_cols).join(winners, pk, "left_anti")
+    gone = replace_evicts(holders, plan, pk, unique_cols).join(winners, pk, "left_anti")
     return puts.unionByName(
         gone.select("ord", F.lit("del").alias("op"), pk), allowMissingColumns=True
     )
 
 
 def replace_into(replica: DataFrame, changes: DataFrame, pk: str) -> DataFrame:
-    """One replica after its changes: changed keys taken out, rows to put added."""
-    kept = replica.join(changes.select(pk), pk, "left_anti").select(*replica.columns)
-    return kept.unionByName(changes.filter(F.col("op") == "put").select(*replica.columns))
+    """One replica after its changes: changed keys taken out, rows to put added. Keys compare
+    as in the changes, which carry the collation."""
+    changed = changes.select(F.col(pk).alias("_changed"))
+    same = F.col(pk).cast(changes.schema[pk].dataType) == F.col("_changed")
+    puts = changes.filter(F.col("op") == "put").select(
+        *[F.col(f.name).cast(f.dataType) for f in replica.schema.fields]
+    )
+    return replica.join(changed, same, "left_anti").unionByName(puts)
 
 
 def differ_outcome(plan: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ from replicheck.spec import (
     RESUME_CHECK,
     CheckConfig,
     Refused,
+    ReplicaSpec,
 )
 
 
@@ -131,6 +132,7 @@ class TableRun:
             else:
                 chunks = checksum.chunk_checksum(chunked, cfg.pk, cfg.nodes, cfg.table)
         else:
+            self.store.clear_working_tables()
             chunked = self.key_table()
             if chunked is None:
                 return EMPTY_TABLE
@@ -178,11 +180,18 @@ class TableRun:
     def _append_differences(self, found: DataFrame) -> None:
         known = self.store.read("differ")
         last = known.agg(F.max("id")).first()[0] if known is not None else None
+        cfg = self.cfg
         numbered = compare.numbered_differ(
-            found, self.cfg.pk, self.cfg.table, self.ws, last or 0
+            found, cfg.pk, cfg.table, self.ws, last or 0, cfg.parallel
         )
         self.store.append("differ", numbered)
 
+    def add_pending(self, by_hand: DataFrame) -> None:
+        """Keys put in by hand, in the key's column, for a repair without a check."""
+        keyed = keys.collate_key(by_hand.select(self.cfg.pk), self.cfg.pk, self.cfg.collation)
+        unknown = F.lit(0).alias("differ_type")
+        self._append_differences(keyed.select(F.lit(0).alias("chunk"), self.cfg.pk, unknown))
+
     # repair
 
     def differ(self) -> DataFrame | None:
@@ -214,22 +223,36 @@ class TableRun:
         bad = [str(r[0]) for r in repair.bad_times(held, cfg.pk).limit(20).collect()]
         if bad:
             raise Refused(f"time of pending keys does not read, first of them: {', '.join(bad)}")
+        holders = self._holders(held)
         plan = self.ws.stage(
             repair.repair_plan(pending, held, cfg.pk, cfg.nodes, self.unique_cols, self.ws), "plan"
         )
-        self._write_repair(plan)
+        self._write_repair(plan, holders)
         by_status = plan.groupBy("status").count().collect()
         self.counts.update({f"status_{r['status']}": r["count"] for r in by_status})
         return ENDED
 
-    def _write_repair(self, plan: DataFrame) -> None:
+    def _holders(self, held: DataFrame) -> DataFrame | None:
+        if not self.unique_cols:
+            return None
+        holders = self.ws.stage(
+            repair.tuple_holders(self.rows, held, self.cfg.pk, self.unique_cols), "holders"
+        )
+        if not repair.unique_faults(holders).isEmpty():
+            raise Refused(f"{', '.join(self.unique_cols)} repeats within a replica")
+        return holders
+
+    def _write_repair(self, plan: DataFrame, holders: DataFrame | None) -> None:
         """Backup first, then changes and new copies, the manifest and the outcomes last."""
         cfg = self.cfg
         backup = repair.backup_rows(self.rows, plan, cfg.pk, self.unique_cols)
         shape = validate.backup_schema(self.rows.schema)
         backup.select(*shape.names).write.mode("append").parquet(self.store.backup_path(shape))
         changes = self.ws.stage(
-            repair.repair_changes(self.rows, plan, cfg.pk, cfg.nodes, self.unique_cols), "changes"
+            repair.repair_changes(
+                self.rows, plan, cfg.pk, cfg.nodes, self.unique_cols, holders
+            ),
+            "changes",
         )
         base = f"{self.root}/repaired/table_name={cfg.table}/run={self.run_id}"
         changes.write.mode("overwrite").parquet(f"{base}/changes")
@@ -291,6 +314,17 @@ def run_tables(spark: SparkSession, cfgs: Iterable[CheckConfig]) -> list[RunResu
     return results
 
 
+def repaired_specs(spark: SparkSession, cfg: CheckConfig, run_id: str) -> tuple[ReplicaSpec, ...]:
+    """The replicas that a run wrote, as its manifest lists them."""
+    root = cfg.root or f"{shared_folder(spark)}/replicheck-audit"
+    listed = spark.read.parquet(f"{root}/manifest").filter(F.col("run_id") == run_id)
+    return tuple(
+        ReplicaSpec(r["ord"], r["datanode"], r["path"])
+        for r in listed.orderBy("ord").collect()
+        if r["path"]
+    )
+
+
 def read_changed(spark: SparkSession, cfg: CheckConfig, changes: DataFrame) -> DataFrame:
     """All replicas with a change set applied on read, without writing them anew."""
     out = None
