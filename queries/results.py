@@ -84,29 +84,40 @@ class Check:
         pending = repair.pending_keys(self.differ(), self.cfg.table, self.pk)
         return self.ws.stage(pending, "pending")
 
-    def held(self, pending: DataFrame) -> DataFrame:
+    def found(self, pending: DataFrame) -> DataFrame:
+        """Whole rows of the pending keys: what a repair reads of the replicas."""
+        return self.ws.stage(readers.key_lookup_rows(self.rows, pending, self.pk), "found_rows")
+
+    def held(self, found: DataFrame) -> DataFrame:
         cfg = self.cfg
-        held = repair.held_rows(
-            self.rows, pending, self.pk, cfg.time_column, cfg.time_format, self.unique_cols
+        return repair.held_rows(
+            found, self.pk, cfg.time_column, cfg.time_format, self.unique_cols
         )
-        return self.ws.stage(held, "held")
 
-    def plan(self, pending: DataFrame | None = None) -> DataFrame:
-        pending = pending if pending is not None else self.pending()
+    def plan(self, pending: DataFrame, found: DataFrame) -> DataFrame:
         plan = repair.repair_plan(
-            pending, self.held(pending), self.pk, self.nodes, self.unique_cols, self.ws
+            pending, self.held(found), self.pk, self.nodes, self.unique_cols, self.ws
         )
         return self.ws.stage(plan, "plan")
 
+    def planned(self) -> tuple[DataFrame, DataFrame]:
+        """Rows found for the pending keys, and the plan made from them."""
+        pending = self.pending()
+        found = self.found(pending)
+        return found, self.plan(pending, found)
+
     def holders(self, plan: DataFrame) -> DataFrame:
         return repair.tuple_holders(self.rows, plan, self.pk, self.unique_cols)
 
-    def changes(self, plan: DataFrame) -> DataFrame:
+    def changes(self, found: DataFrame, plan: DataFrame) -> DataFrame:
         changes = repair.repair_changes(
-            self.rows, plan, self.pk, self.nodes, self.unique_cols, self.holders(plan)
+            found, plan, self.pk, self.nodes, self.unique_cols, self.holders(plan)
         )
         return self.ws.stage(changes, "changes")
 
+    def repaired(self) -> DataFrame:
+        return job.read_changed(self.spark, self.cfg, self.changes(*self.planned()))
+
 
 def orders(spark: SparkSession, sf_dir: str, **changes) -> Check:
     return Check(spark, drift.orders_config(sf_dir, **changes))
@@ -345,7 +356,7 @@ def backup_schema_drift(spark, sf_dir):
     c = orders(spark, sf_dir)
     shape = validate.backup_schema(c.rows.schema)
     store = _store(c)
-    backup = repair.backup_rows(c.rows, c.plan(), "id", c.unique_cols).select(*shape.names)
+    backup = repair.backup_rows(*c.planned(), "id", c.unique_cols).select(*shape.names)
     backup.write.parquet(store.backup_path(shape))
     stored = store.backups(shape)
     wider = c.rows.withColumn("note", F.lit("x"))
@@ -591,7 +602,7 @@ def repair_limit(spark, sf_dir):
 @query
 def unique_conflict(spark, sf_dir):
     c = orders(spark, sf_dir)
-    return repair.unique_conflict(c.held(c.pending()), "id")
+    return repair.unique_conflict(c.held(c.found(c.pending())), "id")
 
 
 @query
@@ -608,14 +619,14 @@ def time_value(spark, sf_dir):
 @query
 def latest_row(spark, sf_dir):
     c = orders(spark, sf_dir)
-    found = readers.key_lookup_rows(c.rows, c.pending(), "id")
+    found = c.found(c.pending())
     return repair.latest_row(found, "id", c.cfg.time_column, c.cfg.time_format)
 
 
 @query
 def same_time_rule(spark, sf_dir):
     c = orders(spark, sf_dir)
-    return repair.same_time_rule(c.held(c.pending()), "id")
+    return repair.same_time_rule(c.held(c.found(c.pending())), "id")
 
 
 def _with_absent(c: Check) -> DataFrame:
@@ -633,7 +644,7 @@ def _with_absent(c: Check) -> DataFrame:
 def deleted_rule(spark, sf_dir):
     c = orders(spark, sf_dir)
     pending = _with_absent(c)
-    return repair.deleted_rule(c.held(pending), pending, "id")
+    return repair.deleted_rule(c.held(c.found(pending)), pending, "id")
 
 
 def _outcome_columns(plan: DataFrame, pk: str) -> DataFrame:
@@ -644,44 +655,39 @@ def _outcome_columns(plan: DataFrame, pk: str) -> DataFrame:
 def repair_plan(spark, sf_dir):
     """Outcome of every pending key, also of keys that are gone everywhere."""
     c = orders(spark, sf_dir)
-    return _outcome_columns(c.plan(_with_absent(c)), "id")
+    pending = _with_absent(c)
+    return _outcome_columns(c.plan(pending, c.found(pending)), "id")
 
 
 @query
 def backup_rows(spark, sf_dir):
     c = orders(spark, sf_dir)
-    return repair.backup_rows(c.rows, c.plan(), "id", c.unique_cols)
-
-
-def _repaired(c: Check, plan: DataFrame) -> DataFrame:
-    return job.read_changed(c.spark, c.cfg, c.changes(plan))
+    return repair.backup_rows(*c.planned(), "id", c.unique_cols)
 
 
 @query
 def replace_into(spark, sf_dir):
     """All replicas after the repair."""
-    c = orders(spark, sf_dir)
-    return _repaired(c, c.plan())
+    return orders(spark, sf_dir).repaired()
 
 
 @query
 def contested_plan(spark, sf_dir):
     """Outcomes where rows put by one repair remove rows of other pending keys."""
-    return _outcome_columns(parts(spark, sf_dir).plan(), "k")
+    return _outcome_columns(parts(spark, sf_dir).planned()[1], "k")
 
 
 @query
 def replace_evicts(spark, sf_dir):
     c = parts(spark, sf_dir)
-    plan = c.plan()
+    _, plan = c.planned()
     return repair.replace_evicts(c.holders(plan), plan, "k", c.unique_cols)
 
 
 @query
 def contested_repair(spark, sf_dir):
     """Replicas after a repair that also removed rows."""
-    c = parts(spark, sf_dir)
-    rows = _repaired(c, c.plan())
+    rows = parts(spark, sf_dir).repaired()
     return rows.withColumn("price", F.col("price").cast("decimal(18,2)"))
 
 
@@ -690,7 +696,8 @@ def differ_status_update(spark, sf_dir):
     c = orders(spark, sf_dir)
     differ = c.ws.stage(c.differ(), "differ_table")
     pending = c.ws.stage(repair.pending_keys(differ, "orders", "id"), "pending")
-    return repair.differ_status_update(differ, repair.differ_outcome(c.plan(pending)))
+    plan = c.plan(pending, c.found(pending))
+    return repair.differ_status_update(differ, repair.differ_outcome(plan))
 
 
 @query
@@ -700,7 +707,8 @@ def duplicate_pending(spark, sf_dir):
     once = c.pending()
     count = once.count()
     twice = once.unionByName(once.withColumn("differ_id", F.col("differ_id") + count))
-    plan = c.plan(c.ws.stage(twice, "twice"))
+    pending = c.ws.stage(twice, "twice")
+    plan = c.plan(pending, c.found(pending))
     return _outcome_columns(repair.duplicate_pending(plan, "id"), "id")
 
 
@@ -708,7 +716,7 @@ def duplicate_pending(spark, sf_dir):
 def post_repair_check(spark, sf_dir):
     """Keys that still differ once the repaired replicas are checked again."""
     c = orders(spark, sf_dir)
-    changes = c.changes(c.plan())
+    changes = c.changes(*c.planned())
     specs = tuple(
         replace(
             s,

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from replicheck.functions.times import time_value
 from replicheck.operators.checksum import Nodes
-from replicheck.sources.readers import key_lookup_rows
 from replicheck.sources.store import Workspace
 from replicheck.spec import DELETED, FAILED, MANUAL, PENDING, REPAIRED, UNIQUE_CONFLICT
 
@@ -31,18 +30,15 @@ def repair_limit(pending: DataFrame, limit: int) -> DataFrame:
 
 
 def held_rows(
-    rows: DataFrame,
-    pending: DataFrame,
+    found: DataFrame,
     pk: str,
     time_column: str,
     time_format: str,
     unique_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """What decides a repair, for each pending key and replica that holds it: ``(pk, ord, t,
-    uk)``; ``uk`` is the unique tuple, NULL where the table has no unique key."""
-    needed = list(dict.fromkeys(["ord", pk, time_column, *unique_cols]))
-    found = key_lookup_rows(rows.select(*needed), pending, pk)
-    t = time_value(time_column, rows.schema[time_column].dataType, time_format)
+    """What decides a repair, from the rows found for the pending keys: ``(pk, ord, t, uk)``;
+    ``uk`` is the unique tuple, NULL where the table has no unique key."""
+    t = time_value(time_column, found.schema[time_column].dataType, time_format)
     uk = F.struct(*unique_cols) if unique_cols else F.lit(None).cast("string")
     return found.select(pk, "ord", t.alias("t"), uk.alias("uk"))
 
@@ -101,23 +97,9 @@ def _full(uk: Column, unique_cols: Sequence[str]) -> Column:
     return full
 
 
-def _outcomes(
-    entries: DataFrame,
-    held: DataFrame,
-    pk: str,
-    replicas: int,
-    owners: DataFrame | None,
-) -> DataFrame:
-    """Outcome of each entry, given which entry takes over which unique tuple."""
-    seen = entries.join(held, pk, "left")
-    if owners is not None:
-        seen = seen.join(owners, F.col("uk") == F.col("owner_uk"), "left")
-        gone = (F.col("owner_id") < F.col("differ_id")) & (F.col("owner_pk") != F.col(pk))
-        kept = ~F.coalesce(gone, F.lit(False))
-        for c in ("ord", "t", "uk"):
-            seen = seen.withColumn(f"_{c}", F.when(kept, F.col(c)))
-        seen = seen.select("differ_id", pk, *[F.col(f"_{c}").alias(c) for c in ("ord", "t", "uk")])
-    facts = seen.groupBy("differ_id", pk).agg(
+def _facts(held: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Status and winner by the rows that are held."""
+    facts = held.groupBy(*by).agg(
         F.count("ord").alias("np"),
         F.min("t").alias("first"),
         F.max("t").alias("last"),
@@ -131,24 +113,53 @@ def _outcomes(
         .when(F.col("np") == 0, DELETED)
         .otherwise(REPAIRED)
     )
-    alone = facts.withColumn("status", status)
-    # A key pending again finds itself repaired: all replicas hold one row of one time.
+    return facts.select(*by, status.alias("status"), "winner", "uk")
+
+
+def _after_first_repair(outcome: DataFrame, pk: str, replicas: int, done_id: Column) -> DataFrame:
+    """A key pending again after its repair: all replicas hold one row of one time."""
+    again = F.coalesce((F.col("status") == REPAIRED) & (F.col("differ_id") > done_id), F.lit(False))
+    status = F.when(again, F.lit(MANUAL if replicas > 1 else REPAIRED)).otherwise(F.col("status"))
+    return outcome.withColumn("status", status).select(
+        "differ_id",
+        pk,
+        "status",
+        F.when(F.col("status") == REPAIRED, F.col("winner")).alias("winner"),
+        "uk",
+    )
+
+
+def _plain_outcomes(entries: DataFrame, held: DataFrame, pk: str, replicas: int) -> DataFrame:
+    """Outcomes of entries whose keys no other pending key can touch: those of their keys."""
+    first = entries.groupBy(pk).agg(F.min("differ_id").alias("first_id"))
+    by_key = first.join(_facts(held, [pk]), pk, "left")
+    gone = F.coalesce(F.col("status"), F.lit(DELETED))
+    outcome = entries.join(by_key.withColumn("status", gone), pk)
+    return _after_first_repair(outcome, pk, replicas, F.col("first_id"))
+
+
+def _tied_outcomes(
+    entries: DataFrame, held: DataFrame, pk: str, replicas: int, owners: DataFrame | None
+) -> DataFrame:
+    """Outcomes of entries one by one, given which entry takes over which unique tuple."""
+    seen = entries.join(held, pk, "left")
+    if owners is not None:
+        seen = seen.join(owners, F.col("uk") == F.col("owner_uk"), "left")
+        gone = (F.col("owner_id") < F.col("differ_id")) & (F.col("owner_pk") != F.col(pk))
+        kept = ~F.coalesce(gone, F.lit(False))
+        left = [F.when(kept, F.col(c)).alias(c) for c in ("ord", "t", "uk")]
+        seen = seen.select("differ_id", pk, *left)
+    alone = _facts(seen, ["differ_id", pk])
     done = (
-        alone.filter(F.col("status") == REPAIRED).groupBy(pk).agg(F.min("differ_id").alias("done_id"))
+        alone.filter(F.col("status") == REPAIRED)
+        .groupBy(pk)
+        .agg(F.min("differ_id").alias("done_id"))
     )
-    again = F.col("done_id").isNotNull() & (F.col("differ_id") > F.col("done_id"))
-    final = F.when(again, F.lit(MANUAL if replicas > 1 else REPAIRED)).otherwise(F.col("status"))
-    return (
-        alone.join(done, pk, "left")
-        .withColumn("status", final)
-        .select(
-            "differ_id",
-            pk,
-            "status",
-            F.when(F.col("status") == REPAIRED, F.col("winner")).alias("winner"),
-            "uk",
-        )
+    fixed_before = F.col("differ_id") > F.col("done_id")
+    outcome = alone.join(done, pk, "left").withColumn(
+        "status", F.when(fixed_before, F.lit(REPAIRED)).otherwise(F.col("status"))
     )
+    return _after_first_repair(outcome, pk, replicas, F.col("done_id"))
 
 
 def tuple_owners(plan: DataFrame, pk: str, unique_cols: Sequence[str]) -> DataFrame:
@@ -192,24 +203,24 @@ def repair_outcomes(
     """
     entries = pending.select("differ_id", pk)
     if not unique_cols:
-        return _outcomes(entries, held, pk, replicas, None)
+        return _plain_outcomes(entries, held, pk, replicas)
     contested = ws.stage(_contested(held, pk, unique_cols), "contested")
     if contested.isEmpty():
-        return _outcomes(entries, held, pk, replicas, None)
+        return _plain_outcomes(entries, held, pk, replicas)
     free = entries.join(contested, pk, "left_anti")
     tied = ws.stage(entries.join(contested, pk, "left_semi"), "tied")
     tied_held = ws.stage(held.join(contested, pk, "left_semi"), "tied_held")
-    plan = ws.stage(_outcomes(tied, tied_held, pk, replicas, None), "round")
+    plan = ws.stage(_tied_outcomes(tied, tied_held, pk, replicas, None), "round")
     owners = ws.stage(tuple_owners(plan, pk, unique_cols), "owners")
     while True:
-        plan = ws.stage(_outcomes(tied, tied_held, pk, replicas, owners), "round")
+        plan = ws.stage(_tied_outcomes(tied, tied_held, pk, replicas, owners), "round")
         now = ws.stage(tuple_owners(plan, pk, unique_cols), "owners")
         same = ["owner_uk", "owner_id", "owner_pk"]
         gained, lost = (a.join(b, same, "left_anti") for a, b in ((now, owners), (owners, now)))
         if gained.unionByName(lost).isEmpty():
             break
         owners = now
-    return _outcomes(free, held, pk, replicas, None).unionByName(plan)
+    return _plain_outcomes(free, held, pk, replicas).unionByName(plan)
 
 
 def repair_plan(
@@ -247,10 +258,11 @@ def _winners(plan: DataFrame, pk: str) -> DataFrame:
 
 
 def backup_rows(
-    rows: DataFrame, plan: DataFrame, pk: str, unique_cols: Sequence[str] = ()
+    found: DataFrame, plan: DataFrame, pk: str, unique_cols: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows of the keys to repair as they stand before, on every replica that holds them."""
-    found = key_lookup_rows(rows, _winners(plan, pk), pk).join(_winners(plan, pk), pk)
+    """Rows of the keys to repair as they stand before, on every replica that holds them, from
+    the rows found for the pending keys."""
+    before = found.join(_winners(plan, pk), pk)
     if unique_cols:
         owners = tuple_owners(plan, pk, unique_cols)
         lost = (
@@ -258,9 +270,9 @@ def backup_rows(
             & (F.col("owner_id") < F.col("differ_id"))
             & (F.col("owner_pk") != F.col(pk))
         )
-        found = found.join(owners, lost, "left_anti")
-    columns = [c for c in rows.columns if c not in ("ord", "datanode")]
-    return found.select(
+        before = before.join(owners, lost, "left_anti")
+    columns = [c for c in found.columns if c not in ("ord", "datanode")]
+    return before.select(
         *columns,
         F.col("datanode").alias("source_dn"),
         (F.col("ord") == F.col("winner")).cast("int").alias("repair_standard"),
@@ -297,24 +309,24 @@ def replace_evicts(
 
 
 def repair_changes(
-    rows: DataFrame,
+    found: DataFrame,
     plan: DataFrame,
     pk: str,
     nodes: Nodes,
     unique_cols: Sequence[str] = (),
     holders: DataFrame | None = None,
 ) -> DataFrame:
-    """The change set: per replica, rows to put (``op`` 'put') and keys to take out ('del').
+    """The change set: per replica, rows to put (``op`` 'put') and keys to take out ('del'),
+    from the rows found for the pending keys.
 
     Its size is that of the differences, not of the table. Putting a row replaces the row of
     the same key. A table with a unique key needs the ``holders`` of its pending tuples.
     """
-    columns = [c for c in rows.columns if c not in ("ord", "datanode")]
+    columns = [c for c in found.columns if c not in ("ord", "datanode")]
     every = F.array(*[F.lit(o).cast("int") for o, _ in nodes])
     winners = _winners(plan, pk).select(pk, "winner").distinct()
     puts = (
-        key_lookup_rows(rows, winners, pk)
-        .join(winners, pk)
+        found.join(winners, pk)
         .filter(F.col("ord") == F.col("winner"))
         .select(F.explode(every).alias("ord"), F.lit("put").alias("op"), *columns)
     )

@@ -214,11 +214,9 @@ class TableRun:
             return OVER_LIMIT
         if not count:
             return ENDED
-        held = self.ws.stage(
-            repair.held_rows(
-                self.rows, pending, cfg.pk, cfg.time_column, cfg.time_format, self.unique_cols
-            ),
-            "held",
+        found = self.ws.stage(key_lookup_rows(self.rows, pending, cfg.pk), "pending_rows")
+        held = repair.held_rows(
+            found, cfg.pk, cfg.time_column, cfg.time_format, self.unique_cols
         )
         bad = [str(r[0]) for r in repair.bad_times(held, cfg.pk).limit(20).collect()]
         if bad:
@@ -227,7 +225,7 @@ class TableRun:
         plan = self.ws.stage(
             repair.repair_plan(pending, held, cfg.pk, cfg.nodes, self.unique_cols, self.ws), "plan"
         )
-        self._write_repair(plan, holders)
+        self._write_repair(found, plan, holders)
         by_status = plan.groupBy("status").count().collect()
         self.counts.update({f"status_{r['status']}": r["count"] for r in by_status})
         return ENDED
@@ -242,16 +240,16 @@ class TableRun:
             raise Refused(f"{', '.join(self.unique_cols)} repeats within a replica")
         return holders
 
-    def _write_repair(self, plan: DataFrame, holders: DataFrame | None) -> None:
+    def _write_repair(
+        self, found: DataFrame, plan: DataFrame, holders: DataFrame | None
+    ) -> None:
         """Backup first, then changes and new copies, the manifest and the outcomes last."""
         cfg = self.cfg
-        backup = repair.backup_rows(self.rows, plan, cfg.pk, self.unique_cols)
+        backup = repair.backup_rows(found, plan, cfg.pk, self.unique_cols)
         shape = validate.backup_schema(self.rows.schema)
         backup.select(*shape.names).write.mode("append").parquet(self.store.backup_path(shape))
         changes = self.ws.stage(
-            repair.repair_changes(
-                self.rows, plan, cfg.pk, cfg.nodes, self.unique_cols, holders
-            ),
+            repair.repair_changes(found, plan, cfg.pk, cfg.nodes, self.unique_cols, holders),
             "changes",
         )
         base = f"{self.root}/repaired/table_name={cfg.table}/run={self.run_id}"

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from copies import specs
 from replicheck.operators import repair
-from replicheck.sources import read_replicas
+from replicheck.sources import key_lookup_rows, read_replicas
 from walk import walk
 
 SCHEMA = "id int, u string, t long, note string"
@@ -20,11 +20,12 @@ def repaired(spark, ws, copies, pending, unique):
     cols = ("u",) if unique else ()
     differ = spark.createDataFrame([(i, "t", k, 0, 1) for i, k in pending], DIFFER)
     todo = ws.stage(repair.pending_keys(differ, "t", "id"), "todo")
-    held = ws.stage(repair.held_rows(rows, todo, "id", "t", "int", cols), "held")
+    found = ws.stage(key_lookup_rows(rows, todo, "id"), "found")
+    held = repair.held_rows(found, "id", "t", "int", cols)
     holders = ws.stage(repair.tuple_holders(rows, held, "id", cols), "holders") if unique else None
     plan = ws.stage(repair.repair_plan(todo, held, "id", nodes, cols, ws), "plan")
     changes = ws.stage(
-        repair.repair_changes(rows, plan, "id", nodes, cols, holders), "changes"
+        repair.repair_changes(found, plan, "id", nodes, cols, holders), "changes"
     )
     after = []
     for ord, _ in nodes:
@@ -39,7 +40,7 @@ def repaired(spark, ws, copies, pending, unique):
             (r["u"], r["t"], r["note"]),
             r["repair_standard"],
         )
-        for r in repair.backup_rows(rows, plan, "id", cols).collect()
+        for r in repair.backup_rows(found, plan, "id", cols).collect()
     ]
     outcomes = {r["differ_id"]: r["status"] for r in plan.collect()}
     return outcomes, after, backups
@@ -116,7 +117,6 @@ def test_pending_twice(spark, ws):
 
 def test_unique_faults(spark, ws):
     rows = read_replicas(spark, specs(spark, SCHEMA, [(1, "a", 1, ""), (2, "a", 1, "")]))
-    todo = spark.createDataFrame([(1, 1, 1)], "differ_id long, id int, differ_type int")
-    held = repair.held_rows(rows, todo, "id", "t", "int", ("u",))
+    held = repair.held_rows(rows.filter("id = 1"), "id", "t", "int", ("u",))
     holders = repair.tuple_holders(rows, held, "id", ("u",))
     assert repair.unique_faults(holders).count() == 1
