@@ -405,10 +405,9 @@ def oracle_sql() -> dict[str, str]:
             high AS lower_boundary, ord, 'dn' || ord AS datanode, crc, cnt FROM chunks"""
         ),
         "chunk_upsert": orders(
-            """SELECT c.table_name, c.datanode, c.chunk,
-            CASE WHEN c.chunk % 2 = 0 THEN c.crc ELSE e.crc END AS crc,
-            CASE WHEN c.chunk % 2 = 0 THEN c.cnt ELSE e.cnt END AS cnt
-            FROM chunks c JOIN earlier e USING (chunk)""",
+            """SELECT table_name, datanode, chunk, crc, cnt FROM chunks WHERE chunk % 2 = 0
+            UNION ALL SELECT 'orders', datanode, chunk, crc, cnt FROM earlier CROSS JOIN nodes
+            WHERE chunk NOT IN (SELECT chunk FROM chunks WHERE chunk % 2 = 0)""",
             """first_keys AS (SELECT id, row_crc,
               ((row_number() OVER (ORDER BY id) - 1) // 100 + 1)::BIGINT AS chunk
               FROM crcs WHERE ord = 1),

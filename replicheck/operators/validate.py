@@ -35,20 +35,18 @@ def reserved_names(columns: Sequence[str], pk: str) -> list[str]:
     return [c for c in columns if c in RESERVED or (c == pk and c in RESERVED_KEYS)]
 
 
-def presence(spark: SparkSession, specs: Sequence[ReplicaSpec]) -> list[tuple[int, str, bool]]:
-    found = []
-    for s in specs:
-        try:
-            read_replica(spark, s).schema
-            found.append((s.ord, s.datanode, True))
-        except AnalysisException:
-            found.append((s.ord, s.datanode, False))
-    return found
+def read_if_there(spark: SparkSession, spec: ReplicaSpec) -> DataFrame | None:
+    """A replica's table, or None where there is none that can be read."""
+    try:
+        df = read_replica(spark, spec)
+        return df if df.schema is not None else None
+    except AnalysisException:
+        return None
 
 
 def table_on_all_replicas(spark: SparkSession, specs: Sequence[ReplicaSpec]) -> DataFrame:
     """Whether each replica's table can be read: ``(ord, datanode, exists)``."""
-    found = presence(spark, specs)
+    found = [(s.ord, s.datanode, read_if_there(spark, s) is not None) for s in specs]
     return literal_rows(spark, found, "ord int, datanode string, exists boolean")
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from replicheck.operators import checksum, compare, keys, repair, validate
 from replicheck.plans.runlog import RunLog
-from replicheck.sources.readers import key_lookup_rows, read_replica, read_replicas, tag
+from replicheck.sources.readers import key_lookup_rows, read_replica, union_replicas
 from replicheck.sources.store import AuditStore, Workspace, literal_rows, shared_folder
 from replicheck.spec import (
     ABORTED,
@@ -59,12 +60,13 @@ class TableRun:
     def preflight(self) -> None:
         """Refuse what cannot be compared or repaired before anything is written."""
         cfg, spark = self.cfg, self.spark
-        found = validate.presence(spark, cfg.replicas)
-        absent = [datanode for _, datanode, exists in found if not exists]
+        specs = sorted(cfg.replicas, key=lambda s: s.ord)
+        found = [(s, validate.read_if_there(spark, s)) for s in specs]
+        absent = [s.datanode for s, df in found if df is None]
         if absent:
             raise Refused(f"no table {cfg.table} on {', '.join(absent)}")
-        specs = sorted(cfg.replicas, key=lambda s: s.ord)
-        copies = [(s.ord, s.datanode, read_replica(spark, s)) for s in specs]
+        self.copies = {s.ord: df for s, df in found}
+        copies = [(s.ord, s.datanode, df) for s, df in found]
         unlike = validate.unlike_columns(copies)
         if unlike:
             raise Refused(f"other columns than the first replica: {unlike}")
@@ -75,7 +77,7 @@ class TableRun:
         if taken:
             raise Refused(f"columns to be renamed on reading: {taken}")
         stored = self.store.read("differ")
-        self.rows = keys.collate_key(read_replicas(spark, specs), cfg.pk, cfg.collation)
+        self.rows = keys.collate_key(union_replicas(found), cfg.pk, cfg.collation)
         if stored is not None and stored.schema["pk"] != T.StructField(
             "pk", self.rows.schema[cfg.pk].dataType
         ):
@@ -137,18 +139,19 @@ class TableRun:
             if chunked is None:
                 return EMPTY_TABLE
             chunks = checksum.chunk_checksum(chunked, cfg.pk, cfg.nodes, cfg.table)
-        chunks = self.store.overwrite("chunk", self.ws.stage(chunks, "chunk"))
-        compared = self.ws.stage(compare.chunk_compare(chunks, len(cfg.nodes)), "compared")
+        chunks = self.store.overwrite("chunk", chunks)
         differing = self.store.overwrite(
-            "chunk_differ", compared.filter("differs").drop("differs")
+            "chunk_differ", compare.chunk_differ(chunks, len(cfg.nodes))
         )
         if differing.isEmpty():
-            self.counts.update(chunks=compared.count(), differing_chunks=0, differing_keys=0)
+            last = chunks.agg(F.max("chunk")).first()[0]
+            self.counts.update(chunks=last, differing_chunks=0, differing_keys=0)
             self.store.clear_working_tables()
             return ENDED
         drilled = compare.drill_keys(chunked, differing)
         found = self.ws.stage(compare.key_differ(drilled, cfg.pk, cfg.nodes), "found")
         self._append_differences(found)
+        compared = compare.chunk_compare(chunks, len(cfg.nodes))
         self.counts.update(compare.check_summary(compared, found).first().asDict())
         self.store.clear_working_tables()
         return 0
@@ -175,7 +178,7 @@ class TableRun:
         new = checksum.chunk_checksum(
             counted.filter(F.col("chunk") >= bounds[0]), cfg.pk, cfg.nodes, cfg.table
         )
-        return counted, checksum.chunk_upsert(stored, new)
+        return counted, self.ws.stage(checksum.chunk_upsert(stored, new), "chunk")
 
     def _append_differences(self, found: DataFrame) -> None:
         known = self.store.read("differ")
@@ -272,9 +275,8 @@ class TableRun:
 
     def repaired(self, ord: int, changes: DataFrame) -> DataFrame:
         """A replica after the run's changes."""
-        spec = next(s for s in self.cfg.replicas if s.ord == ord)
         own = changes.filter(F.col("ord") == ord)
-        return repair.replace_into(read_replica(self.spark, spec), own, self.cfg.pk)
+        return repair.replace_into(self.copies[ord], own, self.cfg.pk)
 
 
 def run(spark: SparkSession, cfg: CheckConfig) -> RunResult:
@@ -313,21 +315,28 @@ def run_tables(spark: SparkSession, cfgs: Iterable[CheckConfig]) -> list[RunResu
 
 
 def repaired_specs(spark: SparkSession, cfg: CheckConfig, run_id: str) -> tuple[ReplicaSpec, ...]:
-    """The replicas that a run wrote, as its manifest lists them."""
+    """The replicas of ``cfg`` after its run's repair, as the manifest lists them: written anew,
+    or the run's own copies with its change set applied on read."""
     root = cfg.root or f"{shared_folder(spark)}/replicheck-audit"
     listed = spark.read.parquet(f"{root}/manifest").filter(F.col("run_id") == run_id)
+    written = {r["ord"]: r for r in listed.collect()}
     return tuple(
-        ReplicaSpec(r["ord"], r["datanode"], r["path"])
-        for r in listed.orderBy("ord").collect()
-        if r["path"]
+        ReplicaSpec(spec.ord, spec.datanode, entry["path"])
+        if entry["path"]
+        else replace(spec, reader=partial(_changed, spec, cfg.pk, entry["changes"]))
+        for spec, entry in ((s, written[s.ord]) for s in cfg.replicas)
     )
 
 
+def _changed(spec: ReplicaSpec, pk: str, path: str, spark: SparkSession) -> DataFrame:
+    own = spark.read.parquet(path).filter(F.col("ord") == spec.ord)
+    return repair.replace_into(read_replica(spark, spec), own, pk)
+
+
 def read_changed(spark: SparkSession, cfg: CheckConfig, changes: DataFrame) -> DataFrame:
     """All replicas with a change set applied on read, without writing them anew."""
-    out = None
+    copies = []
     for spec in sorted(cfg.replicas, key=lambda s: s.ord):
         own = changes.filter(F.col("ord") == spec.ord)
-        copy = tag(repair.replace_into(read_replica(spark, spec), own, cfg.pk), spec)
-        out = copy if out is None else out.unionByName(copy)
-    return out
+        copies.append((spec, repair.replace_into(read_replica(spark, spec), own, cfg.pk)))
+    return union_replicas(copies)

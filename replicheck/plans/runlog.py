@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from replicheck.sources.store import literal_rows, read_or_none
 from replicheck.spec import ABORTED, STARTED
 
-EVENT = "run_id string, table_name string, status int, run_mode int, at timestamp"
+RUN = "run_id string, table_name string, status int, run_mode int"
+EVENT = f"{RUN}, at timestamp"
 
 
 class RunLog:
@@ -16,12 +17,15 @@ class RunLog:
         self.spark = spark
         self.path = f"{root}/run"
 
+    def _events(self, run_id: str, table: str, status: int, run_mode: int) -> DataFrame:
+        return literal_rows(self.spark, [(run_id, table, status, run_mode)], RUN)
+
+    def _append(self, events: DataFrame) -> None:
+        stamped = events.withColumn("at", F.current_timestamp())
+        stamped.coalesce(1).write.mode("append").parquet(self.path)
+
     def record(self, run_id: str, table: str, status: int, run_mode: int) -> None:
-        event = [(run_id, table, status, run_mode)]
-        schema = "run_id string, table_name string, status int, run_mode int"
-        literal_rows(self.spark, event, schema).withColumn("at", F.current_timestamp()).write.mode(
-            "append"
-        ).parquet(self.path)
+        self._append(self._events(run_id, table, status, run_mode))
 
     def runs(self) -> DataFrame:
         """One row per run, with its minutes from start to end."""
@@ -32,11 +36,10 @@ class RunLog:
 
     def start(self, run_id: str, table: str, run_mode: int) -> None:
         """Record the start. Runs that started earlier and never ended are marked as aborted."""
-        stale_runs(self.runs(), run_id).select(
-            "run_id", "table_name", F.lit(ABORTED).alias("status"), "run_mode",
-            F.current_timestamp().alias("at"),
-        ).coalesce(1).write.mode("append").parquet(self.path)
-        self.record(run_id, table, STARTED, run_mode)
+        aborted = stale_runs(self.runs(), run_id).select(
+            "run_id", "table_name", F.lit(ABORTED).alias("status"), "run_mode"
+        )
+        self._append(aborted.unionByName(self._events(run_id, table, STARTED, run_mode)))
 
 
 def run_states(events: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from replicheck.sources.readers import (
     key_scan,
     read_replica,
     read_replicas,
+    union_replicas,
     unique_cols_lookup,
 )
 from replicheck.sources.store import AuditStore, Workspace, literal_rows
@@ -21,5 +22,6 @@ __all__ = [
     "literal_rows",
     "read_replica",
     "read_replicas",
+    "union_replicas",
     "unique_cols_lookup",
 ]

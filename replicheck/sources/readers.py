@@ -56,9 +56,13 @@ def tag(df: DataFrame, spec: ReplicaSpec) -> DataFrame:
     )
 
 
+def union_replicas(copies: Sequence[tuple[ReplicaSpec, DataFrame]]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [tag(df, spec) for spec, df in copies])
+
+
 def read_replicas(spark: SparkSession, specs: Sequence[ReplicaSpec]) -> DataFrame:
     """All copies as one DataFrame ``(ord, datanode, *columns)``."""
-    return reduce(DataFrame.unionByName, [tag(read_replica(spark, s), s) for s in specs])
+    return union_replicas([(s, read_replica(spark, s)) for s in specs])
 
 
 def key_scan(rows: DataFrame, pk: str) -> DataFrame:
@@ -76,14 +80,16 @@ def key_lookup_rows(rows: DataFrame, pending: DataFrame, pk: str) -> DataFrame:
     Spark broadcasts the pending keys while they are below its broadcast threshold and joins
     by shuffle beyond it.
     """
-    keys = pending.select(pk).distinct()
+    keys = pending.select(pk)
     return _narrow_scan(rows, keys, pk).join(keys, pk, "left_semi").select(*rows.columns)
 
 
 def _narrow_scan(rows: DataFrame, keys: DataFrame, pk: str) -> DataFrame:
     few = [r[0] for r in keys.limit(LOOKUP_LITERALS + 1).collect()]
+    if not few:
+        return rows.filter(F.lit(False))
     if len(few) <= LOOKUP_LITERALS:
-        return rows.filter(F.col(pk).isin(few)) if few else rows.filter(F.lit(False))
+        return rows.filter(F.col(pk).isin(sorted(set(few))))
     low, high = keys.agg(F.min(pk), F.max(pk)).first()
     return key_range_scan(rows, pk, low, high)
 

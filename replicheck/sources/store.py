@@ -20,12 +20,13 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder()
+    return _local_folder().name
 
 
 @cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="replicheck-")
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """One folder for this process, gone when it ends."""
+    return tempfile.TemporaryDirectory(prefix="replicheck-", ignore_cleanup_errors=True)
 
 
 def read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None):
@@ -49,19 +50,19 @@ class Workspace:
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
         self.path = path or f"{shared_folder(spark)}/replicheck/{uuid.uuid4().hex}"
-        self._staged: list[tuple[str, T.StructType]] = []
+        self._count = 0
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.path}/{name}-{len(self._staged)}"
+        path = f"{self.path}/{name}-{self._count}"
+        self._count += 1
         df.write.mode("overwrite").parquet(path)
-        self._staged.append((path, df.schema))
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
-        """Empty the staged tables once nothing reads them any more."""
-        for path, schema in self._staged:
-            truncate(self.spark, path, schema)
-        self._staged.clear()
+        """Put an empty table in the place of all staged ones, once nothing reads them."""
+        if self._count:
+            truncate(self.spark, self.path, T.StructType([T.StructField("nothing", T.LongType())]))
+            self._count = 0
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str):

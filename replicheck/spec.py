@@ -72,7 +72,7 @@ class CheckConfig:
     fraction_digits: Mapping[str, int] = field(default_factory=dict)
     collation: str | None = None
     algo: str = "crc32"
-    write_replicas: bool = True  # False leaves repairs as a change set beside the old copies
+    write_replicas: bool = False  # write every copy anew instead of a change set beside it
 
     def __post_init__(self) -> None:
         checks = [

@@ -32,8 +32,9 @@ def rows_of(spark, spec):
     return sorted(tuple(r) for r in read_replica(spark, spec).collect())
 
 
-def test_check_and_repair(spark, root):
-    cfg = small(spark, root)
+@pytest.mark.parametrize("anew", [False, True])
+def test_check_and_repair(spark, root, anew):
+    cfg = small(spark, root, write_replicas=anew)
     result = run(spark, cfg)
     assert (result.status, result.counts["differing_keys"], result.counts["status_1"]) == (1, 2, 2)
     expected = [(1, "a", 5), (2, "B", 6), (3, "c", 5)]
@@ -42,14 +43,12 @@ def test_check_and_repair(spark, root):
     assert run(spark, replace(cfg, replicas=copies)).counts["differing_keys"] == 0
 
 
-def test_change_set_alone(spark, root):
-    cfg = small(spark, root, write_replicas=False)
-    result = run(spark, cfg)
-    assert job.repaired_specs(spark, cfg, result.run_id) == ()
-    path = f"{root}/repaired/table_name=t/run={result.run_id}/changes"
-    after = job.read_changed(spark, cfg, spark.read.parquet(path))
-    assert after.groupBy("k", "v", "t").count().filter("count <> 2").isEmpty()
-    assert after.count() == 6
+def test_change_set_has_the_size_of_the_differences(spark, root):
+    same = [(k, "x", 1) for k in range(10, 40)]
+    result = run(spark, small(spark, root, ONE + same, TWO + same))
+    changes = spark.read.parquet(f"{root}/repaired/table_name=t/run={result.run_id}/changes")
+    found = sorted(tuple(r) for r in changes.select("ord", "op", "k", "v").collect())
+    assert found == [(o, "put", k, v) for o in (1, 2) for k, v in ((2, "B"), (3, "c"))]
 
 
 def test_backup_holds_rows_as_they_were(spark, root):
@@ -233,7 +232,7 @@ def test_repair_again_changes_nothing(spark, root):
     once = replace(cfg, replicas=job.repaired_specs(spark, cfg, first.run_id))
     second = run(spark, once)
     assert second.counts["differing_keys"] == 27 and "status_1" not in second.counts
-    twice = job.repaired_specs(spark, cfg, second.run_id)
+    twice = job.repaired_specs(spark, once, second.run_id)
     for a, b in zip(once.replicas, twice):
         before, after = read_replica(spark, a), read_replica(spark, b)
         assert before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
