@@ -249,7 +249,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         # Scans and sinks
         "replica_union": orders(f"SELECT ord, datanode, {cols} FROM rows_"),
-        "matched_replicas": "SELECT ord, datanode, nation.* FROM nation CROSS JOIN "
+        "matched_replicas": "SELECT ord, datanode, c_custkey, c_name FROM customer CROSS JOIN "
         "(VALUES (1, 'dn1'), (2, 'dn3')) v(ord, datanode)",
         "key_scan": orders("SELECT ord, id FROM rows_"),
         "key_range_scan": orders(

@@ -139,11 +139,12 @@ def replica_union(spark, sf_dir):
 def matched_replicas(spark, sf_dir):
     """Three declared nodes, of which one names a host that is not declared."""
     nodes = [
-        ("dn1", "host1", "nation.parquet"),
-        ("dn2", "gone", "nation.parquet"),
-        ("dn3", "host1", "nation.parquet"),
+        ("dn1", "host1", "customer.parquet"),
+        ("dn2", "gone", "customer.parquet"),
+        ("dn3", "host1", "customer.parquet"),
     ]
-    return read_replicas(spark, match_replicas(nodes, {"host1": sf_dir}))
+    rows = read_replicas(spark, match_replicas(nodes, {"host1": sf_dir}))
+    return rows.select("ord", "datanode", "c_custkey", "c_name")
 
 
 @query

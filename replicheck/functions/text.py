@@ -66,13 +66,16 @@ def row_text(
     return F.concat_ws(SEPARATOR, *texts, null_flags(flagged))
 
 
-def row_hash(text: Column, columns: Sequence[str], algo: str = "crc32") -> Column:
-    """CRC32 of the text, or a 64-bit hash of the typed columns and their NULL flags."""
-    if algo == "crc32":
-        return F.crc32(text.cast("binary"))
+def typed_hash(columns: Sequence[str]) -> Column:
+    """A 64-bit hash of the typed columns and their NULL flags instead of a text's CRC."""
     return F.xxhash64(*[F.col(c) for c in columns], null_flags(columns))
 
 
+def text_crc(text: Column) -> Column:
+    """CRC32 of the text's bytes, as an unsigned number in a BIGINT."""
+    return F.crc32(text.cast("binary"))
+
+
 def crc_hex(fold: Column) -> Column:
     """Lower-case hex without padding; nothing folded is '0'."""
     return F.lower(F.hex(F.coalesce(fold, F.lit(0).cast("bigint"))))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replicheck.functions.text import crc_hex, row_hash, row_text
+from replicheck.functions.text import crc_hex, row_text, text_crc, typed_hash
 from replicheck.operators.keys import chunk_assign
 from replicheck.sources.store import Workspace
 
@@ -24,8 +24,11 @@ def row_checksums(
     algo: str = "crc32",
 ) -> DataFrame:
     """``(ord, pk, row_crc)`` of every row: wide columns end in the scan's own stage."""
-    text = row_text(rows.schema, columns, nullable, decimals, fraction_digits)
-    return rows.select("ord", pk, row_hash(text, columns, algo).alias("row_crc"))
+    if algo == "crc32":
+        value = text_crc(row_text(rows.schema, columns, nullable, decimals, fraction_digits))
+    else:
+        value = typed_hash(columns)
+    return rows.select("ord", pk, value.alias("row_crc"))
 
 
 def key_matrix(row_crcs: DataFrame, pk: str, nodes: Nodes) -> DataFrame:

@@ -36,6 +36,18 @@ def drill_keys(chunked: DataFrame, differing: DataFrame) -> DataFrame:
     return chunked.join(differing.select("chunk"), "chunk", "left_semi")
 
 
+def drill_between(ranked: DataFrame, pk: str, differing: DataFrame) -> DataFrame:
+    """Keys of differing chunks by their stored boundaries, which may follow another chunk size
+    or overlap by a key after a resumed check. Boundaries are keys: their ranks give the ranks
+    between them, so that the join is one of equal values."""
+    at = ranked.select(pk, "rn")
+    first = at.select(F.col(pk).alias("upper_boundary"), F.col("rn").alias("_from"))
+    last = at.select(F.col(pk).alias("lower_boundary"), F.col("rn").alias("_to"))
+    ranks = differing.join(first, "upper_boundary").join(last, "lower_boundary")
+    wanted = ranks.select("chunk", F.explode(F.sequence("_from", "_to")).alias("rn"))
+    return ranked.drop("chunk").join(wanted, "rn")
+
+
 def key_checksum(drilled: DataFrame, pk: str, nodes: Nodes) -> DataFrame:
     """Row count and checksum of each drilled key on each replica."""
     return per_replica(drilled, nodes, ["chunk", pk])

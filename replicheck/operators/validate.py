@@ -32,7 +32,9 @@ RESERVED_KEYS = (
 
 def reserved_names(columns: Sequence[str], pk: str) -> list[str]:
     """Columns to be renamed on reading before the table can be compared."""
-    return [c for c in columns if c in RESERVED or (c == pk and c in RESERVED_KEYS)]
+    return [
+        c for c in columns if c.lower() in RESERVED or (c == pk and c.lower() in RESERVED_KEYS)
+    ]
 
 
 def read_if_there(spark: SparkSession, spec: ReplicaSpec) -> DataFrame | None:

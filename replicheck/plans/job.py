@@ -157,28 +157,17 @@ class TableRun:
         return 0
 
     def _resume(self, chunked: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Chunks from the last stored one on are computed from the replicas as they are now;
-        the keys of earlier ones are read again only where those chunks differ."""
+        """Chunks from the last stored one on are computed again. All checksums are those that
+        the interrupted run had stored with its keys: no replica is read a second time."""
         cfg = self.cfg
-        ords = [o for o, _ in cfg.nodes]
-        plain = chunked.drop(*[f"{c}_{o}" for o in ords for c in ("cnt", "crc")])
-        again = keys.chunk_resume(plain, cfg.pk, stored, cfg.chunk_size)
-        bounds = again.agg(F.min("chunk"), F.min(cfg.pk)).first()
-        earlier = stored.filter(F.col("chunk") < bounds[0])
-        differing = compare.chunk_differ(earlier, len(cfg.nodes))
-        drilled = compare.drill_keys(plain.filter(F.col("chunk") < bounds[0]), differing)
-        wanted = again.unionByName(drilled)
-        earlier_keys = drilled.filter(F.col(cfg.pk) < bounds[1])
-        needed = self.rows.filter(F.col(cfg.pk) >= bounds[1]).unionByName(
-            key_lookup_rows(self.rows, earlier_keys, cfg.pk)
-        )
-        matrix = checksum.key_matrix(self.row_crcs(needed), cfg.pk, cfg.nodes)
-        counted = wanted.join(matrix, cfg.pk, "left").fillna(0, [f"cnt_{o}" for o in ords])
-        counted = self.ws.stage(counted, "resumed")
-        new = checksum.chunk_checksum(
-            counted.filter(F.col("chunk") >= bounds[0]), cfg.pk, cfg.nodes, cfg.table
-        )
-        return counted, self.ws.stage(checksum.chunk_upsert(stored, new), "chunk")
+        again = keys.chunk_resume(chunked, cfg.pk, stored, cfg.chunk_size)
+        new = checksum.chunk_checksum(again, cfg.pk, cfg.nodes, cfg.table)
+        chunks = self.ws.stage(checksum.chunk_upsert(stored, new), "chunk")
+        first = again.agg(F.min("chunk")).first()[0]
+        earlier = compare.chunk_differ(stored.filter(F.col("chunk") < first), len(cfg.nodes))
+        # Staged, as the stored chunks are about to be written over.
+        drilled = compare.drill_between(chunked, cfg.pk, self.ws.stage(earlier, "earlier"))
+        return again.unionByName(drilled), chunks
 
     def _append_differences(self, found: DataFrame) -> None:
         known = self.store.read("differ")

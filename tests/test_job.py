@@ -114,23 +114,44 @@ def test_resume_needs_keys(spark, root):
     assert run(spark, cfg).status == 5
 
 
-@pytest.mark.parametrize("stored", [0, 1, 2, 5])
-def test_resume_finds_what_a_full_check_finds(spark, root, stored):
-    cfg = drift.orders_config(SF, root=root, run_mode=1)
+def interrupt(spark, cfg, keep):
+    """The state a check leaves that broke off once ``keep`` of its chunks were stored."""
     part = job.TableRun(spark, cfg)
     part.preflight()
     chunked = part.key_table()
     chunks = job.checksum.chunk_checksum(chunked, "id", cfg.nodes, "orders")
-    part.store.overwrite("chunk", chunks.filter(F.col("chunk") <= stored))
-    result = run(spark, replace(cfg, run_mode=3))
-    assert result.status == 1
+    part.store.overwrite("chunk", chunks.filter(F.col("chunk") <= keep))
+    return part
+
+
+def differing(spark, root):
     found = AuditStore(spark, root, "orders").read("differ")
-    full = replace(cfg, root=root + "-full")
-    run(spark, full)
-    whole = AuditStore(spark, full.root, "orders").read("differ")
-    columns = ["pk", "differ_type"]
-    assert found.select(columns).distinct().exceptAll(whole.select(columns)).isEmpty()
-    assert whole.select(columns).exceptAll(found.select(columns)).isEmpty()
+    return {(r["pk"], r["differ_type"]) for r in found.collect()}
+
+
+@pytest.fixture(scope="module")
+def whole(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("whole") / "audit")
+    run(spark, drift.orders_config(SF, root=root, run_mode=1))
+    return differing(spark, root)
+
+
+@pytest.mark.parametrize("stored", [0, 1, 2, 5])
+def test_resume_finds_what_a_full_check_finds(spark, root, whole, stored):
+    cfg = drift.orders_config(SF, root=root, run_mode=1)
+    interrupt(spark, cfg, stored)
+    assert run(spark, replace(cfg, run_mode=3)).status == 1
+    assert differing(spark, root) == whole
+
+
+def test_resume_twice_with_other_chunk_sizes(spark, root, whole):
+    cfg = drift.orders_config(SF, root=root, run_mode=3)
+    part = interrupt(spark, replace(cfg, run_mode=1), 4)
+    chunked = job.keys.in_chunks(part.store.read("keys"), 30)
+    _, chunks = part._resume(chunked.drop("table_name"), part.store.read("chunk"))
+    part.store.overwrite("chunk", chunks.filter(F.col("chunk") <= 9))
+    assert run(spark, replace(cfg, chunk_size=70)).status == 1
+    assert differing(spark, root) == whole
 
 
 def test_keys_put_in_by_hand(spark, root):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from replicheck import Refused
-from replicheck.functions import crc_hex, row_hash, row_text
+from replicheck.functions import crc_hex, row_text, text_crc, typed_hash
 from replicheck.functions.times import time_value
 
 
@@ -70,13 +70,12 @@ def test_crc_of_raw_bytes(spark):
     raw = bytes(range(256))
     df = spark.createDataFrame([(bytearray(raw),)], "b binary")
     text = row_text(df.schema, ["b"], [])
-    assert df.select(row_hash(text, ["b"])).first()[0] == zlib.crc32(raw + b"#1")
+    assert df.select(text_crc(text)).first()[0] == zlib.crc32(raw + b"#1")
 
 
 def test_typed_hash_tells_apart_what_the_text_does_not(spark):
     df = spark.createDataFrame([("a#b", "c"), ("a", "b#c"), (None, "c")], "a string, b string")
-    text = row_text(df.schema, ["a", "b"], [])
-    hashes = [r[0] for r in df.select(row_hash(text, ["a", "b"], "xxhash64")).collect()]
+    hashes = [r[0] for r in df.select(typed_hash(["a", "b"])).collect()]
     assert len(set(hashes)) == 3
 
 
