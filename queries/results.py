@@ -789,4 +789,5 @@ def run_log(spark, sf_dir):
     log = RunLog(spark, root)
     log.record("broken", "orders", 0, 1)
     _all_modes(spark, sf_dir, root)
-    return log.runs().select("table_name", "run_mode", "status", F.col("ended").isNotNull().alias("ended"))
+    ended = F.col("ended").isNotNull().alias("ended")
+    return log.runs().select("table_name", "run_mode", "status", ended)

@@ -92,10 +92,11 @@ class TableRun:
         cfg = self.cfg
         if not cfg.time_column or cfg.time_column not in first.columns:
             raise Refused(f"no time column {cfg.time_column}")
-        if validate.empty_table_guard(self.rows):
-            raise Refused(f"no rows in {cfg.table}")
         one = self.rows.select("ord", cfg.time_column).limit(1)
-        if validate.time_format_probe(one, cfg.time_column, cfg.time_format).first()["bad"]:
+        probe = validate.time_format_probe(one, cfg.time_column, cfg.time_format).first()
+        if probe is None:
+            raise Refused(f"no rows in {cfg.table}")
+        if probe["bad"]:
             raise Refused(f"{cfg.time_column} does not read as {cfg.time_format}")
 
     # check

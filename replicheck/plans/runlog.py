@@ -43,11 +43,12 @@ class RunLog:
 
 
 def run_states(events: DataFrame) -> DataFrame:
+    """The last event of each run. A run taken for aborted that ends after all has ended."""
     ended = F.col("status") != STARTED
     return (
         events.groupBy("run_id", "table_name")
         .agg(
-            F.max("status").alias("status"),
+            F.max_by("status", F.struct("at", "status")).alias("status"),
             F.max("run_mode").alias("run_mode"),
             F.min("at").alias("started"),
             F.max(F.when(ended, F.col("at"))).alias("ended"),

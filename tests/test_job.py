@@ -241,6 +241,15 @@ def test_stale_runs_are_marked(spark, root):
     assert new["minutes"] == 0 and new["ended"] >= new["started"]
 
 
+def test_run_that_ends_after_all(spark, root):
+    log = RunLog(spark, root)
+    log.start("slow", "t", 1)
+    log.start("other", "u", 1)
+    assert log.runs().filter("run_id = 'slow'").first()["status"] == 2
+    log.record("slow", "t", 1, 1)
+    assert {r["run_id"]: r["status"] for r in log.runs().collect()} == {"slow": 1, "other": 0}
+
+
 def test_working_tables_are_empty_afterwards(spark, root):
     run(spark, small(spark, root))
     store = AuditStore(spark, root, "t")
