@@ -184,6 +184,16 @@ def _contested(held: DataFrame, pk: str, unique_cols: Sequence[str]) -> DataFram
     return full.join(shared.select("uk"), "uk", "left_semi").select(pk).distinct()
 
 
+def _moved(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Entries whose outcome is another than in the round before."""
+    told = ("status", "winner", "uk")
+    was = before.select("differ_id", *[F.col(c).alias(f"was_{c}") for c in told])
+    same = F.lit(True)
+    for c in told:
+        same = same & F.col(c).eqNullSafe(F.col(f"was_{c}"))
+    return after.join(was, "differ_id").filter(~same)
+
+
 def repair_outcomes(
     pending: DataFrame,
     held: DataFrame,
@@ -196,10 +206,10 @@ def repair_outcomes(
     after the other; ``winner`` is the replica whose row is put on all, ``uk`` its tuple.
 
     Putting a row on a replica also removes another key's row with the same unique tuple. A
-    later entry of that key then sees less. So, where pending keys share tuples, outcomes and
-    the owners of tuples are computed in turn until the owners stay the same. An entry depends
-    on entries with smaller ids alone: each round settles at least the next entry of every
-    chain, and what no longer changes is the one-after-the-other result.
+    later entry of that key then sees less. So, where pending keys share tuples, outcomes are
+    computed again from the owners of tuples they imply until they stay the same. An entry
+    depends on entries with smaller ids alone: each round settles at least the next entry of
+    every chain, and what no longer changes is the one-after-the-other result.
     """
     entries = pending.select("differ_id", pk)
     if not unique_cols:
@@ -211,15 +221,13 @@ def repair_outcomes(
     tied = ws.stage(entries.join(contested, pk, "left_semi"), "tied")
     tied_held = ws.stage(held.join(contested, pk, "left_semi"), "tied_held")
     plan = ws.stage(_tied_outcomes(tied, tied_held, pk, replicas, None), "round")
-    owners = ws.stage(tuple_owners(plan, pk, unique_cols), "owners")
     while True:
-        plan = ws.stage(_tied_outcomes(tied, tied_held, pk, replicas, owners), "round")
-        now = ws.stage(tuple_owners(plan, pk, unique_cols), "owners")
-        same = ["owner_uk", "owner_id", "owner_pk"]
-        gained, lost = (a.join(b, same, "left_anti") for a, b in ((now, owners), (owners, now)))
-        if gained.unionByName(lost).isEmpty():
+        owners = tuple_owners(plan, pk, unique_cols)
+        now = ws.stage(_tied_outcomes(tied, tied_held, pk, replicas, owners), "round")
+        settled = _moved(plan, now).isEmpty()
+        plan = now
+        if settled:
             break
-        owners = now
     return _plain_outcomes(free, held, pk, replicas).unionByName(plan)
 
 
