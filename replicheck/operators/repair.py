@@ -58,18 +58,18 @@ def unique_conflict(held: DataFrame, pk: str) -> DataFrame:
     )
 
 
-def _newest() -> Column:
+def _newest(t: str = "t") -> Column:
     """Order of a key's rows: the latest time, and the first replica among equal times."""
-    return F.struct(F.col("t"), -F.col("ord"))
+    return F.struct(F.col(t), -F.col("ord"))
 
 
 def latest_row(rows: DataFrame, pk: str, time_column: str, time_format: str) -> DataFrame:
     """The winning row of each key, whole, with the replica it comes from."""
     t = time_value(time_column, rows.schema[time_column].dataType, time_format)
     return (
-        rows.withColumn("t", t)
+        rows.withColumn("_t", t)
         .groupBy(pk)
-        .agg(F.max_by(F.struct(*rows.columns), _newest()).alias("row"))
+        .agg(F.max_by(F.struct(*rows.columns), _newest("_t")).alias("row"))
         .select("row.*")
     )
 
@@ -144,8 +144,8 @@ def _tied_outcomes(
     """Outcomes of entries one by one, given which entry takes over which unique tuple."""
     seen = entries.join(held, pk, "left")
     if owners is not None:
-        seen = seen.join(owners, F.col("uk") == F.col("owner_uk"), "left")
-        gone = (F.col("owner_id") < F.col("differ_id")) & (F.col("owner_pk") != F.col(pk))
+        seen = seen.join(owners, F.col("uk") == F.col("_owner_uk"), "left")
+        gone = (F.col("_owner_id") < F.col("differ_id")) & (F.col("_owner_pk") != F.col(pk))
         kept = ~F.coalesce(gone, F.lit(False))
         left = [F.when(kept, F.col(c)).alias(c) for c in ("ord", "t", "uk")]
         seen = seen.select("differ_id", pk, *left)
@@ -166,9 +166,9 @@ def tuple_owners(plan: DataFrame, pk: str, unique_cols: Sequence[str]) -> DataFr
     """The entry that puts each unique tuple on all replicas: the first one repaired."""
     return (
         plan.filter(F.col("winner").isNotNull() & _full(F.col("uk"), unique_cols))
-        .groupBy(F.col("uk").alias("owner_uk"))
+        .groupBy(F.col("uk").alias("_owner_uk"))
         .agg(
-            F.min("differ_id").alias("owner_id"), F.min_by(pk, "differ_id").alias("owner_pk")
+            F.min("differ_id").alias("_owner_id"), F.min_by(pk, "differ_id").alias("_owner_pk")
         )
     )
 
@@ -262,7 +262,8 @@ def duplicate_pending(plan: DataFrame, pk: str) -> DataFrame:
 
 
 def _winners(plan: DataFrame, pk: str) -> DataFrame:
-    return plan.filter(F.col("winner").isNotNull()).select(pk, "winner", "differ_id")
+    fixed = plan.filter(F.col("winner").isNotNull())
+    return fixed.select(pk, F.col("winner").alias("_winner"), "differ_id")
 
 
 def backup_rows(
@@ -274,16 +275,16 @@ def backup_rows(
     if unique_cols:
         owners = tuple_owners(plan, pk, unique_cols)
         lost = (
-            (F.struct(*unique_cols) == F.col("owner_uk"))
-            & (F.col("owner_id") < F.col("differ_id"))
-            & (F.col("owner_pk") != F.col(pk))
+            (F.struct(*unique_cols) == F.col("_owner_uk"))
+            & (F.col("_owner_id") < F.col("differ_id"))
+            & (F.col("_owner_pk") != F.col(pk))
         )
         before = before.join(owners, lost, "left_anti")
     columns = [c for c in found.columns if c not in ("ord", "datanode")]
     return before.select(
         *columns,
         F.col("datanode").alias("source_dn"),
-        (F.col("ord") == F.col("winner")).cast("int").alias("repair_standard"),
+        (F.col("ord") == F.col("_winner")).cast("int").alias("repair_standard"),
         "differ_id",
     )
 
@@ -310,8 +311,8 @@ def replace_evicts(
     their unique tuple."""
     owners = tuple_owners(plan, pk, unique_cols)
     return (
-        holders.join(owners, F.col("uk") == F.col("owner_uk"))
-        .filter(F.col(pk) != F.col("owner_pk"))
+        holders.join(owners, F.col("uk") == F.col("_owner_uk"))
+        .filter(F.col(pk) != F.col("_owner_pk"))
         .select("ord", pk)
     )
 
@@ -332,10 +333,10 @@ def repair_changes(
     """
     columns = [c for c in found.columns if c not in ("ord", "datanode")]
     every = F.array(*[F.lit(o).cast("int") for o, _ in nodes])
-    winners = _winners(plan, pk).select(pk, "winner").distinct()
+    winners = _winners(plan, pk).select(pk, "_winner").distinct()
     puts = (
         found.join(winners, pk)
-        .filter(F.col("ord") == F.col("winner"))
+        .filter(F.col("ord") == F.col("_winner"))
         .select(F.explode(every).alias("ord"), F.lit("put").alias("op"), *columns)
     )
     if not unique_cols:

@@ -32,9 +32,12 @@ RESERVED_KEYS = (
 
 def reserved_names(columns: Sequence[str], pk: str) -> list[str]:
     """Columns to be renamed on reading before the table can be compared."""
-    return [
-        c for c in columns if c.lower() in RESERVED or (c == pk and c.lower() in RESERVED_KEYS)
-    ]
+
+    def in_the_way(c: str) -> bool:
+        taken = c.lower() in RESERVED or (c == pk and c.lower() in RESERVED_KEYS)
+        return taken or c.startswith("_") or "." in c or "`" in c
+
+    return [c for c in columns if in_the_way(c)]
 
 
 def read_if_there(spark: SparkSession, spec: ReplicaSpec) -> DataFrame | None:

@@ -305,6 +305,27 @@ def test_keys_of_other_types(spark, tmp_path):
         assert (result.counts["differing_keys"], result.counts["status_1"]) == (1, 1)
 
 
+def test_columns_named_like_our_own(spark, root):
+    schema = "k int, winner string, t string, owner_id int, status int, uk int, chunk int"
+    at = "2020-01-01 00:00:0"
+    cfg = config(
+        spark,
+        schema,
+        [(1, "a", at + "1", 7, 0, 0, 0), (2, "b", at + "1", 8, 0, 0, 0)],
+        [(1, "a", at + "2", 7, 1, 0, 0), (3, "b", at + "2", 8, 0, 0, 0)],
+        root=root,
+        run_mode=0,
+        time_column="t",
+        unique_keys=(("owner_id",),),
+    )
+    result = run(spark, cfg)
+    copies = [rows_of(spark, s) for s in job.repaired_specs(spark, cfg, result.run_id)]
+    # 2 is put on both and removes 3, which has the same owner.
+    expected = [(1, "a", at + "2", 7, 1, 0, 0), (2, "b", at + "1", 8, 0, 0, 0)]
+    assert copies == [expected, expected]
+    assert (result.counts["status_1"], result.counts["status_2"]) == (2, 1)
+
+
 def test_stronger_hash_as_an_option(spark, root):
     """CRC32 is linear: the same change at the same place of two rows cancels in their chunk."""
     copies = [(1, "a", 5), (2, "b", 5)], [(1, "A", 5), (2, "B", 6)]

@@ -53,6 +53,7 @@ def test_unique_key_rule_by_mode():
 def test_reserved_names():
     assert reserved_names(["id", "ord", "chunk"], "id") == ["ord"]
     assert reserved_names(["id", "chunk"], "chunk") == ["chunk"]
+    assert reserved_names(["id", "_t", "a.b", "ORD"], "id") == ["_t", "a.b", "ORD"]
 
 
 def test_jdbc_replica_options():
