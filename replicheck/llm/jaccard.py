@@ -14,7 +14,8 @@ of at least ``percent * S / (100 + percent)``.
   hub and described by its difference from it. Two holders that are not both linked to the hub
   can only be linked if their differences overlap, so the differences are joined by inverted
   lists of their own, again by just as many of their n-grams as linked sets need to meet.
-* Candidates are compared on their whole sets, which are rebuilt from the documents' texts.
+* Candidates that the parities of their n-grams' numbers in bins don't already show to be too
+  different are compared on their whole sets, which are rebuilt from the documents' texts.
 
 N-grams are 64-bit hashes of word hashes. Sizes of a set, hubs and comparisons are exact but for
 collisions of those (a chance of about n * n / 2e19 for two sets of n).
@@ -44,7 +45,7 @@ LIST = 16
 HANDFUL = 64
 #: N-grams at most that the global order puts last: those that most sets hold. Which they are
 #: changes the work, never the result.
-COMMON = 65_536
+COMMON = 262_144
 #: Largest set that may count as small, and what one entry of an inverted list costs in rows.
 SMALL_MOST, ENTRY_COST = 24, 8
 #: Bits of the table that keeps texts nobody asks for out of a shuffle (4 MB at most).
@@ -99,30 +100,79 @@ def set_key(grams: np.ndarray) -> int:
 
 def _ordered(grams: np.ndarray, common: np.ndarray) -> np.ndarray:
     """By the global order: n-grams that many sets hold last, else by hash."""
-    late = np.isin(grams, common, assume_unique=True)
+    late = _is_in(grams, common)
     return np.concatenate((grams[~late], grams[late]))
 
 
-def _sketch(docs: DataFrame, size: int, rule: Rule) -> DataFrame:
-    """Per row its class and size; and how often n-grams come first in sets, by slice."""
+def parities(grams: np.ndarray) -> bytes:
+    """For each of 2 to 4 times as many bins as n-grams, whether an odd number falls into it."""
+    bins = max(64, 1 << (2 * len(grams)).bit_length())
+    odd = np.bincount((grams & np.uint64(bins - 1)).view(np.int64), minlength=bins) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def differ_at_least(a: bytes, b: bytes) -> int:
+    """A lower bound of the n-grams in which two sets differ, by their parities."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _plausible(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """``pairs`` ``(hub, node)`` without those that differ too much by their parities."""
+    sides = pairs.join(nodes.select(F.col("node").alias("hub"), F.col("n").alias("m"), F.col("bits").alias("b")), "hub")
+    sides = sides.join(nodes.select("node", "n", "bits"), "node").select("hub", "node", "m", "n", "b", "bits")
+
+    def make():
+        def step(batch: pa.RecordBatch):
+            columns = (batch.column(c).to_pylist() for c in ("m", "n", "b", "bits"))
+            keep = [differ_at_least(b, c) <= (200 - rule.q) * (m + n) // rule.q for m, n, b, c in zip(*columns)]
+            return batch.select(["hub", "node"]).filter(pa.array(keep, pa.bool_()))
+
+        return step
+
+    return map_batches(sides, "hub long, node long", make)
+
+
+def _is_in(grams: np.ndarray, common: np.ndarray) -> np.ndarray:
+    if not len(common):
+        return np.zeros(len(grams), bool)
+    return common[np.minimum(np.searchsorted(common, grams), len(common) - 1)] == grams
+
+
+def _difference(grams: np.ndarray, centre: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """N-grams of one of two sets only, those first that few sets near ``centre`` differ in: own
+    ones of ``grams``, then what many sets hold and it lacks, then what many hold and the centre
+    lacks, last the centre's own."""
+    more = grams[~np.isin(grams, centre, assume_unique=True)]
+    lacks = centre[~np.isin(centre, grams, assume_unique=True)]
+    a, b = _is_in(more, common), _is_in(lacks, common)
+    return np.concatenate((more[~a], lacks[b], more[a], lacks[~b]))
+
+
+def _sketch(docs: DataFrame, size: int) -> DataFrame:
+    """Per row its class and size; and how many sets hold an n-gram, by slice and where several do."""
 
     def make():
         hashes = WordHash()
 
         def step(batch: pa.RecordBatch):
-            ids, n, key, firsts = batch.column("doc_id").to_pylist(), [], [], {}
+            ids, n, key, bits, sets = batch.column("doc_id").to_pylist(), [], [], [], {}
             for text in batch.column("text").to_pylist():
                 grams = ngram_set(hashes.of(lower_words(text)), size)
                 n.append(len(grams))
                 key.append(set_key(grams))
-                firsts[key[-1]] = grams[: rule.probe(len(grams))]
-            gram, count = np.unique(np.concatenate(list(firsts.values())), return_counts=True)
+                sets[key[-1]] = grams
+                bits.append(parities(grams))
+            gram, count = np.unique(np.concatenate(list(sets.values())), return_counts=True)
             gram, count = gram[count > 1], count[count > 1]
             rows, more = len(n), len(gram)
             return record(
                 doc_id=pa.array(ids + [None] * more, pa.int64()),
                 n=pa.array(n + [None] * more, pa.int64()),
                 node=pa.array(key + [None] * more, pa.int64()),
+                bits=pa.array(bits + [None] * more, pa.binary()),
                 gram=pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(signed(gram))]),
                 count=pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(count)]),
             )
@@ -130,7 +180,7 @@ def _sketch(docs: DataFrame, size: int, rule: Rule) -> DataFrame:
         return step
 
     return map_batches(
-        docs, "doc_id long, n long, node long, gram long, count long", make, 10_000
+        docs, "doc_id long, n long, node long, bits binary, gram long, count long", make, 10_000
     )
 
 
@@ -201,6 +251,15 @@ def _entries(docs: DataFrame, size: int, rule: Rule, bound: int, common: np.ndar
     return map_batches(docs, "gram long, node long, n long, kind int", make, 10_000)
 
 
+def _by_hubs(heavy: DataFrame) -> DataFrame:
+    """``(node, hub)`` of every holder of a long list. The hub is the holder that is in most long
+    lists: what many documents were copied from is nearer to each of them than another copy."""
+    weight = heavy.groupBy("node").agg(F.count("*").alias("weight"))
+    hubs = heavy.join(weight, "node").groupBy("gram").agg(F.max(F.struct("weight", "node")).alias("hub"))
+    chosen = hubs.select("gram", F.col("hub.node").alias("hub"))
+    return heavy.join(chosen, "gram").filter("hub <> node").select("node", "hub").distinct()
+
+
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is among ``wanted``. A table of bits, of a size that does
     not depend on the data, drops most others before the join shuffles anything."""
@@ -263,14 +322,15 @@ def _compare(
                 if state["at"] != (hub, part):
                     raise RuntimeError(f"no text for the hub {hub}")
                 centre = state["set"]
-                there = np.isin(grams, centre, assume_unique=True)
-                n, both = len(grams), int(there.sum())
+                n, both = len(grams), int(np.isin(grams, centre, assume_unique=True).sum())
                 delta, few = np.empty(0, np.uint64), 0
                 if differ:
-                    lacks = centre[~np.isin(centre, grams, assume_unique=True)]
-                    delta = np.concatenate((_ordered(grams[~there], common), lacks))
-                    apart = rule.apart(n)
-                    few = min(len(delta), apart // 2 + 1)
+                    delta = _difference(grams, centre, common)
+                    few = min(len(delta), rule.apart(n) // 2 + 1)
+                    if rule.linked(len(centre), n, both):
+                        # it only looks for sets that are not linked to the hub, which differ from
+                        # the hub by so much that they share over p / q of this difference
+                        few = min(few, len(delta) - rule.p * len(delta) // rule.q)
                 for k, v in (
                     ("hub", hub),
                     ("node", member),
@@ -300,27 +360,29 @@ def link_classes(docs: DataFrame, ws: Workspace, size: int = 4, percent: int = 8
     """``rows`` ``(doc_id, n, node)`` of all documents and ``(node, root)`` of linked classes."""
     rule = Rule(percent)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    first = ws.stage(_sketch(docs, size, rule), "sketch")
-    rows = first.filter("gram is null").select("doc_id", "n", "node")
+    first = ws.stage(_sketch(docs, size), "sketch")
+    sketched = first.filter("gram is null")
+    rows = sketched.select("doc_id", "n", "node")
     nodes = ws.stage(
-        rows.filter("n > 0 and doc_id is not null").groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.min("n").alias("n")
+        sketched.filter("n > 0 and doc_id is not null").groupBy("node").agg(
+            F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.first("bits").alias("bits")
         ),
         "classes",
     )
     top = (
         first.filter("gram is not null").groupBy("gram").agg(F.sum("count").alias("count"))
-        .orderBy(F.desc("count"), "gram").limit(COMMON).select("gram").collect()
+        .orderBy(F.desc("count"), "gram").limit(COMMON).select("gram").toArrow()
     )
-    common = np.sort(np.array([r[0] for r in top], np.int64).view(np.uint64))
+    common = np.sort(top.column("gram").to_numpy().view(np.uint64))
     histogram = nodes.filter(F.col("n") <= SMALL_MOST).groupBy("n").count().collect()
     bound = small_bound({r["n"]: r["count"] for r in histogram}, rule)
 
-    entries = _entries(docs.filter("doc_id is not null"), size, rule, bound, common)
+    # dealt by n-gram once, for the lists' lengths and for the lists
+    entries = _entries(docs.filter("doc_id is not null"), size, rule, bound, common).repartition("gram")
     lists = entries.groupBy("gram").agg(
-        F.count("*").alias("count"), F.min("node").alias("hub"), F.max("node").alias("other"),
-        F.min(F.when(F.col("kind") == 0, F.col("node"))).alias("base"),
-    ).filter("hub <> other").drop("other")
+        F.count("*").alias("count"), F.min("node").alias("least"), F.max("node").alias("most"),
+        F.min(F.when(F.col("kind") == 0, F.col("node"))).alias("base"), F.max("n").alias("longest"),
+    ).filter("least <> most and longest > 0").drop("least", "most", "longest")  # all columns: one exchange serves both
     held = ws.stage(entries.join(lists, "gram").dropDuplicates(["gram", "node", "kind"]), "lists")
 
     ties = held.filter("kind < 2 and base is not null").select(F.col("base").alias("a"), F.col("node").alias("b"))
@@ -330,15 +392,12 @@ def link_classes(docs: DataFrame, ws: Workspace, size: int = 4, percent: int = 8
     near = (
         small.join(large, F.expr("s.gram = l.gram and (s.n < l.n or (s.n = l.n and s.node < l.node))"))
         .filter(F.expr(f"100 * s.n >= {percent} * l.n"))
-        .select(F.col("s.node").alias("node"), F.col("l.node").alias("hub"))
+        .select(F.col("l.node").alias("hub"), F.col("s.node").alias("node"))
         .distinct()
-        .withColumn("differ", F.lit(False))
     )
-    through_hub = (
-        scanned.filter(F.col("count") > LIST).filter("hub <> node").select("node", "hub").distinct()
-        .withColumn("differ", F.lit(True))
-    )
-    pairs = near.union(through_hub).select("hub", "node", "differ")
+    through_hub = _by_hubs(scanned.filter(F.col("count") > LIST)).withColumn("differ", F.lit(True))
+    near = _plausible(near, nodes, rule).withColumn("differ", F.lit(False))
+    pairs = near.union(through_hub.select("hub", "node", "differ"))
     met = ws.stage(_compare(pairs, nodes, docs, size, rule, common), "compared")
 
     deltas = met.filter("differ").select(
@@ -354,13 +413,10 @@ def link_classes(docs: DataFrame, ws: Workspace, size: int = 4, percent: int = 8
                 f"and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
             )
         )
-        .select(
-            F.greatest("x.node", "y.node").alias("node"), F.least("x.node", "y.node").alias("hub"),
-        )
+        .select(F.least("x.node", "y.node").alias("hub"), F.greatest("x.node", "y.node").alias("node"))
         .distinct()
-        .withColumn("differ", F.lit(False))
-        .select("hub", "node", "differ")
     )
+    differing = _plausible(differing, nodes, rule).withColumn("differ", F.lit(False))
     met_again = ws.stage(_compare(differing, nodes, docs, size, rule, common), "compared")
     links = (
         met.union(met_again).filter("linked").select(F.col("hub").alias("a"), F.col("node").alias("b")).union(ties)
