@@ -292,6 +292,12 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT ord, id FROM rows_ UNION ALL SELECT 0, l_orderkey FROM lineitem)
             GROUP BY ord"""
         ),
+        "pending_key_faults": """SELECT 1 AS ord, l_orderkey AS id, count(*) AS cnt FROM lineitem
+            GROUP BY l_orderkey HAVING count(*) > 1 OR l_orderkey IS NULL""",
+        "undeclared_null_faults": orders(
+            """SELECT ord, 'prio' AS column_name, count(*) - count(prio) AS nulls FROM rows_
+            GROUP BY ord HAVING count(*) > count(prio)"""
+        ),
         "pk_type": orders(
             """SELECT 'orders' AS table_name, ord, lower(any_value(typeof(id))) AS pk_type,
             true AS as_stored, count(*) AS cnt FROM rows_ GROUP BY ord

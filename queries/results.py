@@ -252,6 +252,22 @@ def pk_single(spark, sf_dir):
     return validate.pk_single(rows, "id")
 
 
+@query
+def pending_key_faults(spark, sf_dir):
+    """Orders of several lines: as a key of ``lineitem`` they repeat."""
+    lines = drift.table(spark, sf_dir, "lineitem").select(
+        F.lit(1).alias("ord"), F.col("l_orderkey").alias("id")
+    )
+    return validate.pending_key_faults(lines, "id")
+
+
+@query
+def undeclared_null_faults(spark, sf_dir):
+    """NULLs that a check of orders would not see if ``prio`` were not declared nullable."""
+    c = orders(spark, sf_dir)
+    return validate.undeclared_null_faults(c.rows, c.columns, ())
+
+
 @query
 def pk_type(spark, sf_dir):
     """Key types of orders, with an earlier run's keys of the same type, and of customer, with

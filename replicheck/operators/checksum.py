@@ -22,13 +22,38 @@ def row_checksums(
     decimals: Mapping[str, tuple[int, int]] | None = None,
     fraction_digits: Mapping[str, int] | None = None,
     algo: str = "crc32",
+    watched: Sequence[str] = (),
 ) -> DataFrame:
-    """``(ord, pk, row_crc)`` of every row: wide columns end in the scan's own stage."""
+    """``(ord, pk, row_crc)`` of every row: wide columns end in the scan's own stage. With
+    ``watched`` columns also ``nulls_0, ...``: bits that say which of them are NULL."""
     if algo == "crc32":
         value = text_crc(row_text(rows.schema, columns, nullable, decimals, fraction_digits))
     else:
         value = typed_hash(columns)
-    return rows.select("ord", pk, value.alias("row_crc"))
+    return rows.select("ord", pk, value.alias("row_crc"), *null_bits(watched))
+
+
+# Bits of a long that stand for a column each.
+NULL_BITS = 62
+
+
+def null_bits(watched: Sequence[str]) -> list[Column]:
+    out = []
+    for at in range(0, len(watched), NULL_BITS):
+        bits = F.lit(0).cast("long")
+        for k, c in enumerate(watched[at : at + NULL_BITS]):
+            bits = bits + F.when(F.col(c).isNull(), F.lit(1 << k).cast("long")).otherwise(0)
+        out.append(bits.alias(f"nulls_{at // NULL_BITS}"))
+    return out
+
+
+def null_columns(matrix: DataFrame, watched: Sequence[str]) -> list[str]:
+    """Watched columns in which a row of any replica was NULL."""
+    if not watched:
+        return []
+    names = [n for n in matrix.columns if n.startswith("nulls_")]
+    bits = matrix.agg(*[F.bit_or(n).alias(n) for n in names]).first()
+    return [c for k, c in enumerate(watched) if (bits[k // NULL_BITS] or 0) >> k % NULL_BITS & 1]
 
 
 def key_matrix(row_crcs: DataFrame, pk: str, nodes: Nodes) -> DataFrame:
@@ -44,6 +69,7 @@ def key_matrix(row_crcs: DataFrame, pk: str, nodes: Nodes) -> DataFrame:
             F.count(F.when(here, 1)).alias(f"cnt_{ord}"),
             F.bit_xor(F.when(here, F.col("row_crc"))).alias(f"crc_{ord}"),
         ]
+    folds += [F.bit_or(n).alias(n) for n in row_crcs.columns if n.startswith("nulls_")]
     return row_crcs.groupBy(pk).agg(*folds)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import zip_longest
 
 from pyspark.errors import AnalysisException
@@ -45,8 +45,14 @@ def read_if_there(spark: SparkSession, spec: ReplicaSpec) -> DataFrame | None:
     try:
         df = read_replica(spark, spec)
         return df if df.schema is not None else None
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ABSENT:
+            return None
+        raise
+
+
+# Error conditions that mean there is no table.
+ABSENT = ("TABLE_OR_VIEW_NOT_FOUND", "PATH_NOT_FOUND", "SCHEMA_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def table_on_all_replicas(spark: SparkSession, specs: Sequence[ReplicaSpec]) -> DataFrame:
@@ -175,6 +181,30 @@ def undeclared_nulls(rows: DataFrame, columns: Sequence[str], nullable: Sequence
     return counts.select(F.inline(F.array(*entries)))
 
 
+def undeclared_null_faults(
+    rows: DataFrame, columns: Sequence[str], nullable: Sequence[str]
+) -> DataFrame:
+    """NULLs in checksum columns that are not declared nullable: ``(ord, column_name, nulls)``.
+    The row text skips a NULL without a mark there, so unlike rows could look equal."""
+    watched = [c for c in columns if c not in set(nullable)]
+    if not watched:
+        return rows.select("ord", F.lit("").alias("column_name"), F.lit(0).alias("nulls")).limit(0)
+    counts = rows.groupBy("ord").agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in watched])
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("nulls")) for c in watched]
+    return counts.select("ord", F.inline(F.array(*entries))).filter("nulls > 0")
+
+
+def unknown_columns(columns: Sequence[str], named: Mapping[str, Sequence[str]]) -> list[str]:
+    """Names in the configuration that the table lacks, as ``parameter: name``."""
+    return [f"{what}: {c}" for what, cs in named.items() for c in cs if c not in set(columns)]
+
+
+def pending_key_faults(found: DataFrame, pk: str) -> DataFrame:
+    """Among rows found for pending keys, those whose key is NULL or repeats on its replica."""
+    per_key = found.groupBy("ord", pk).agg(F.count("*").alias("cnt"))
+    return per_key.filter(F.col(pk).isNull() | (F.col("cnt") > 1))
+
+
 def backup_schema(schema: T.StructType) -> T.StructType:
     """The table's columns without keys, followed by source, standard mark and entry id."""
     fields = [f for f in schema.fields if f.name not in ("ord", "datanode")]

@@ -1,5 +1,5 @@
 """Whole jobs built from the operators."""
 
-from replicheck.plans.job import RunResult, run, run_tables
+from replicheck.plans.job import RunResult, add_pending, run, run_tables
 
-__all__ = ["RunResult", "run", "run_tables"]
+__all__ = ["RunResult", "add_pending", "run", "run_tables"]

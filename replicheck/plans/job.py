@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from replicheck.operators import checksum, compare, keys, repair, validate
 from replicheck.plans.runlog import RunLog
 from replicheck.sources.readers import key_lookup_rows, read_replica, union_replicas
-from replicheck.sources.store import AuditStore, Workspace, literal_rows, shared_folder
+from replicheck.sources.store import AuditStore, Workspace, literal_rows
 from replicheck.spec import (
     ABORTED,
     CHECK_AND_REPAIR,
@@ -41,6 +41,12 @@ class RunResult:
     reason: str = ""
 
 
+def _root(cfg: CheckConfig) -> str:
+    if not cfg.root:
+        raise Refused("root is needed: a lasting folder for audit tables, backups and changes")
+    return cfg.root
+
+
 class TableRun:
     """One run of one table. Data stays in DataFrames; the driver sees counts and branches."""
 
@@ -48,8 +54,7 @@ class TableRun:
         self.spark = spark
         self.cfg = cfg
         self.run_id = uuid.uuid4().hex
-        root = cfg.root or f"{shared_folder(spark)}/replicheck-audit"
-        self.root = root
+        root = self.root = _root(cfg)
         self.store = AuditStore(spark, root, cfg.table)
         self.log = RunLog(spark, root)
         self.ws = Workspace(spark)
@@ -76,6 +81,9 @@ class TableRun:
         taken = validate.reserved_names(first.columns, cfg.pk)
         if taken:
             raise Refused(f"columns to be renamed on reading: {taken}")
+        unknown = validate.unknown_columns(first.columns, cfg.named_columns)
+        if unknown:
+            raise Refused(f"columns that the table lacks: {', '.join(unknown)}")
         stored = self.store.read("differ")
         self.rows = keys.collate_key(union_replicas(found), cfg.pk, cfg.collation)
         if stored is not None and stored.schema["pk"] != T.StructField(
@@ -87,6 +95,10 @@ class TableRun:
             self._probe_time(first)
         self.columns = validate.checksum_columns(first.schema, cfg.excluded)
         self.nullable = validate.nullable_columns(first.schema, self.columns, cfg.nullable_columns)
+        # typed hashes mark NULLs by themselves, the key is checked on its own
+        self.watched = [
+            c for c in self.columns if c not in {*self.nullable, cfg.pk} and cfg.algo == "crc32"
+        ]
 
     def _probe_time(self, first: DataFrame) -> None:
         cfg = self.cfg
@@ -104,7 +116,14 @@ class TableRun:
     def row_crcs(self, rows: DataFrame) -> DataFrame:
         cfg = self.cfg
         return checksum.row_checksums(
-            rows, cfg.pk, self.columns, self.nullable, cfg.decimals, cfg.fraction_digits, cfg.algo
+            rows,
+            cfg.pk,
+            self.columns,
+            self.nullable,
+            cfg.decimals,
+            cfg.fraction_digits,
+            cfg.algo,
+            self.watched,
         )
 
     def key_table(self) -> DataFrame | None:
@@ -118,9 +137,47 @@ class TableRun:
         ords = [o for o, _ in cfg.nodes]
         if not validate.key_faults(matrix, cfg.pk, ords).isEmpty():
             raise Refused(f"{cfg.pk} has NULLs or repeats within a replica")
-        placed = self.store.overwrite("keys", keys.in_order(matrix, [cfg.pk], cfg.parallel))
+        unmarked = checksum.null_columns(matrix, self.watched)
+        if unmarked:
+            raise Refused(f"NULLs in columns not declared nullable: {', '.join(unmarked)}")
+        kept = matrix.drop(*[n for n in matrix.columns if n.startswith("nulls_")])
+        placed = self.store.overwrite("keys", keys.in_order(kept, [cfg.pk], cfg.parallel))
+        self._keep_fingerprint()
         return keys.in_chunks(placed, cfg.chunk_size)
 
+    def fingerprint(self) -> dict[str, str]:
+        """What stored keys and checksums depend on, part by part."""
+        cfg = self.cfg
+        sources = [
+            (s.ord, s.datanode, s.source, s.format, sorted(s.options.items()), s.reader is not None)
+            for s in sorted(cfg.replicas, key=lambda s: s.ord)
+        ]
+        parts = {
+            "replicas": sources,
+            "key": (cfg.pk, cfg.collation),
+            "columns": self.columns,
+            "nullable columns": self.nullable,
+            "decimals": sorted(cfg.decimals.items()),
+            "fraction digits": sorted(cfg.fraction_digits.items()),
+            "checksum": cfg.algo,
+            "schema": self.rows.schema.simpleString(),
+        }
+        return {name: repr(value) for name, value in parts.items()}
+
+    def _keep_fingerprint(self) -> None:
+        rows = list(self.fingerprint().items())
+        self.store.overwrite(
+            "fingerprint", literal_rows(self.spark, rows, "part string, value string")
+        )
+
+    def _refuse_other_configuration(self) -> None:
+        """Stored checksums only serve the configuration that they were computed under."""
+        stored = self.store.read("fingerprint")
+        known = {r["part"]: r["value"] for r in stored.collect()} if stored is not None else {}
+        other = [k for k, v in self.fingerprint().items() if known.get(k) != v]
+        if other:
+            raise Refused(f"the stored check was made with other {', '.join(other)}")
+
     def check(self) -> int:
         """Record differing keys. Returns the run status, or 0 to go on to a repair."""
         cfg = self.cfg
@@ -128,6 +185,7 @@ class TableRun:
             placed = self.store.read("keys")
             if placed is None or placed.isEmpty():
                 return NO_KEYS
+            self._refuse_other_configuration()
             chunked = keys.in_chunks(placed, cfg.chunk_size)
             stored = self.store.read("chunk")
             if stored is not None and not stored.isEmpty():
@@ -182,6 +240,8 @@ class TableRun:
     def add_pending(self, by_hand: DataFrame) -> None:
         """Keys put in by hand, in the key's column, for a repair without a check."""
         keyed = keys.collate_key(by_hand.select(self.cfg.pk), self.cfg.pk, self.cfg.collation)
+        if not keyed.filter(F.col(self.cfg.pk).isNull()).isEmpty():
+            raise Refused(f"NULL as a pending {self.cfg.pk}")
         unknown = F.lit(0).alias("differ_type")
         self._append_differences(keyed.select(F.lit(0).alias("chunk"), self.cfg.pk, unknown))
 
@@ -208,12 +268,12 @@ class TableRun:
         if not count:
             return ENDED
         found = self.ws.stage(key_lookup_rows(self.rows, pending, cfg.pk), "pending_rows")
+        if not validate.pending_key_faults(found, cfg.pk).isEmpty():
+            raise Refused(f"{cfg.pk} has NULLs or repeats within a replica, among pending keys")
         held = repair.held_rows(
             found, cfg.pk, cfg.time_column, cfg.time_format, self.unique_cols
         )
-        bad = [str(r[0]) for r in repair.bad_times(held, cfg.pk).limit(20).collect()]
-        if bad:
-            raise Refused(f"time of pending keys does not read, first of them: {', '.join(bad)}")
+        self._refuse_bad_times(held)
         holders = self._holders(held)
         plan = self.ws.stage(
             repair.repair_plan(pending, held, cfg.pk, cfg.nodes, self.unique_cols, self.ws), "plan"
@@ -223,6 +283,15 @@ class TableRun:
         self.counts.update({f"status_{r['status']}": r["count"] for r in by_status})
         return ENDED
 
+    def _refuse_bad_times(self, held: DataFrame) -> None:
+        """All pending keys whose time does not read go to an audit table of their own."""
+        bad = self.ws.stage(repair.bad_times(held, self.cfg.pk), "bad_times")
+        count = bad.count()
+        if count:
+            path = f"{self.root}/bad_time/table_name={self.cfg.table}/run={self.run_id}"
+            bad.write.mode("overwrite").parquet(path)
+            raise Refused(f"time of {count} pending keys does not read; they are listed in {path}")
+
     def _holders(self, held: DataFrame) -> DataFrame | None:
         if not self.unique_cols:
             return None
@@ -241,12 +310,10 @@ class TableRun:
         backup = repair.backup_rows(found, plan, cfg.pk, self.unique_cols)
         shape = validate.backup_schema(self.rows.schema)
         backup.select(*shape.names).write.mode("append").parquet(self.store.backup_path(shape))
-        changes = self.ws.stage(
-            repair.repair_changes(found, plan, cfg.pk, cfg.nodes, self.unique_cols, holders),
-            "changes",
-        )
         base = f"{self.root}/repaired/table_name={cfg.table}/run={self.run_id}"
-        changes.write.mode("overwrite").parquet(f"{base}/changes")
+        made = repair.repair_changes(found, plan, cfg.pk, cfg.nodes, self.unique_cols, holders)
+        made.write.mode("overwrite").parquet(f"{base}/changes")
+        changes = self.spark.read.schema(made.schema).parquet(f"{base}/changes")
         if cfg.write_replicas:
             for ord, _ in cfg.nodes:
                 self.repaired(ord, changes).write.mode("overwrite").parquet(f"{base}/ord={ord}")
@@ -275,6 +342,14 @@ def run(spark: SparkSession, cfg: CheckConfig) -> RunResult:
     job = TableRun(spark, cfg)
     job.preflight()
     job.log.start(job.run_id, cfg.table, cfg.run_mode)
+    try:
+        return _logged(job)
+    finally:
+        job.ws.clear()
+
+
+def _logged(job: TableRun) -> RunResult:
+    cfg = job.cfg
     try:
         status = 0
         if cfg.run_mode in (CHECK_AND_REPAIR, CHECK_ONLY, RESUME_CHECK):
@@ -289,10 +364,19 @@ def run(spark: SparkSession, cfg: CheckConfig) -> RunResult:
         job.log.record(job.run_id, cfg.table, FAILED_RUN, cfg.run_mode)
         raise
     job.log.record(job.run_id, cfg.table, status, cfg.run_mode)
-    job.ws.clear()
     return RunResult(job.run_id, cfg.table, status, job.counts)
 
 
+def add_pending(spark: SparkSession, cfg: CheckConfig, by_hand: DataFrame) -> None:
+    """Put keys in for a repair without a check. NULL keys are refused."""
+    job = TableRun(spark, cfg)
+    job.preflight()
+    try:
+        job.add_pending(by_hand)
+    finally:
+        job.ws.clear()
+
+
 def run_tables(spark: SparkSession, cfgs: Iterable[CheckConfig]) -> list[RunResult]:
     """Several tables, one after the other. A refused table is skipped; an error stops."""
     results = []
@@ -307,7 +391,7 @@ def run_tables(spark: SparkSession, cfgs: Iterable[CheckConfig]) -> list[RunResu
 def repaired_specs(spark: SparkSession, cfg: CheckConfig, run_id: str) -> tuple[ReplicaSpec, ...]:
     """The replicas of ``cfg`` after its run's repair, as the manifest lists them: written anew,
     or the run's own copies with its change set applied on read."""
-    root = cfg.root or f"{shared_folder(spark)}/replicheck-audit"
+    root = _root(cfg)
     listed = spark.read.parquet(f"{root}/manifest").filter(F.col("run_id") == run_id)
     written = {r["ord"]: r for r in listed.collect()}
     return tuple(

@@ -35,8 +35,9 @@ class RunLog:
         return run_states(events)
 
     def start(self, run_id: str, table: str, run_mode: int) -> None:
-        """Record the start. Runs that started earlier and never ended are marked as aborted."""
-        aborted = stale_runs(self.runs(), run_id).select(
+        """Record the start. Earlier runs of the table that never ended are marked as aborted."""
+        earlier = self.runs().filter(F.col("table_name") == table)
+        aborted = stale_runs(earlier, run_id).select(
             "run_id", "table_name", F.lit(ABORTED).alias("status"), "run_mode"
         )
         self._append(aborted.unionByName(self._events(run_id, table, STARTED, run_mode)))

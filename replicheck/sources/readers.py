@@ -7,12 +7,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from replicheck.spec import ReplicaSpec
 
-# Pending keys up to this number go to the source as an IN list, so that an index, page
-# statistics or a bloom filter can find them. More keys go as a range and a semi join.
-LOOKUP_LITERALS = 1000
+# Places in the table of bits that keeps rows nobody asks for out of a shuffle: 4 MB at most,
+# whatever the number of keys. Beyond about as many keys it lets every row through.
+BITS = 1 << 25
 
 
 def read_replica(spark: SparkSession, spec: ReplicaSpec) -> DataFrame:
@@ -77,21 +78,38 @@ def key_range_scan(rows: DataFrame, pk: str, low, high) -> DataFrame:
 def key_lookup_rows(rows: DataFrame, pending: DataFrame, pk: str) -> DataFrame:
     """Whole rows of the pending keys, on every replica that holds them.
 
-    Spark broadcasts the pending keys while they are below its broadcast threshold and joins
-    by shuffle beyond it.
+    The keys' range reaches the source, and a table of bits made from the keys is tested in the
+    scan's own stage, so a semi join that shuffles moves hardly more wide rows than it returns.
     """
-    keys = pending.select(pk)
-    return _narrow_scan(rows, keys, pk).join(keys, pk, "left_semi").select(*rows.columns)
-
-
-def _narrow_scan(rows: DataFrame, keys: DataFrame, pk: str) -> DataFrame:
-    few = [r[0] for r in keys.limit(LOOKUP_LITERALS + 1).collect()]
-    if not few:
-        return rows.filter(F.lit(False))
-    if len(few) <= LOOKUP_LITERALS:
-        return rows.filter(F.col(pk).isin(sorted(set(few))))
+    keys = pending.select(pk).filter(F.col(pk).isNotNull())
     low, high = keys.agg(F.min(pk), F.max(pk)).first()
-    return key_range_scan(rows, pk, low, high)
+    if low is None:
+        return rows.filter(F.lit(False))
+    likely = likely_rows(key_range_scan(rows, pk, low, high), keys, pk)
+    return likely.join(keys, pk, "left_semi").select(*rows.columns)
+
+
+def likely_rows(rows: DataFrame, keys: DataFrame, pk: str) -> DataFrame:
+    """Rows whose key may be among ``keys``: all that are, and few others while there are far
+    fewer keys than ``BITS``. Keys under a collation are not told apart by their bytes: all rows."""
+    kind = rows.schema[pk].dataType
+    if isinstance(kind, T.StringType) and kind != T.StringType():
+        return rows
+    slot = F.pmod(F.xxhash64(pk), F.lit(BITS))
+    bits = (
+        keys.select(slot.alias("__slot"))
+        .groupBy(F.expr("bitmap_bucket_number(__slot)").alias("__bucket"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(__slot))").alias("__bits"))
+    )
+    placed = rows.withColumn("__slot", slot).withColumns(
+        {
+            "__bucket": F.expr("bitmap_bucket_number(__slot)"),
+            "__place": F.expr("bitmap_bit_position(__slot)"),
+        }
+    )
+    byte = F.conv(F.hex(F.expr("substring(__bits, cast(__place div 8 as int) + 1, 1)")), 16, 10)
+    is_set = F.floor(byte.cast("long") / F.pow(F.lit(2), F.col("__place") % 8)) % 2 == 1
+    return placed.join(F.broadcast(bits), "__bucket").filter(is_set).select(*rows.columns)
 
 
 def unique_cols_lookup(

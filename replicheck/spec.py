@@ -58,7 +58,7 @@ class CheckConfig:
     table: str
     pk: str
     replicas: tuple[ReplicaSpec, ...]
-    root: str = ""
+    root: str = ""  # a lasting folder for audit tables and backups; a job refuses none
     run_mode: int = CHECK_AND_REPAIR
     chunk_size: int = 1000
     parallel: int = 0  # partitions of the key ordering; 0 leaves the number to Spark
@@ -97,6 +97,18 @@ class CheckConfig:
         """``(ord, datanode)`` in declared order."""
         return sorted((r.ord, r.datanode) for r in self.replicas)
 
+    @property
+    def named_columns(self) -> dict[str, list[str]]:
+        """Columns that parameters name, by parameter."""
+        return {
+            "nullable_columns": list(self.nullable_columns or ()),
+            "exclude_columns": list(self.exclude_columns or ()),
+            "decimals": list(self.decimals),
+            "fraction_digits": list(self.fraction_digits),
+            "unique_keys": [c for key in self.unique_keys for c in key],
+            "time_column": [self.time_column] if self.time_column else [],
+        }
+
     @property
     def repairs(self) -> bool:
         return self.run_mode in (CHECK_AND_REPAIR, REPAIR_ONLY)

@@ -1,5 +1,6 @@
 import datetime
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from copies import config, specs
 from queries import drift
 from replicheck import Refused, ReplicaSpec
 from replicheck.operators import repair, validate
-from replicheck.plans import job, run, run_tables
+from replicheck.plans import add_pending, job, run, run_tables
 from replicheck.plans.runlog import RunLog
 from replicheck.sources import AuditStore, read_replica
 
@@ -244,10 +245,16 @@ def test_stale_runs_are_marked(spark, root):
 def test_run_that_ends_after_all(spark, root):
     log = RunLog(spark, root)
     log.start("slow", "t", 1)
-    log.start("other", "u", 1)
+    log.start("elsewhere", "u", 1)
+    assert log.runs().filter("run_id = 'slow'").first()["status"] == 0
+    log.start("other", "t", 1)
     assert log.runs().filter("run_id = 'slow'").first()["status"] == 2
     log.record("slow", "t", 1, 1)
-    assert {r["run_id"]: r["status"] for r in log.runs().collect()} == {"slow": 1, "other": 0}
+    assert {r["run_id"]: r["status"] for r in log.runs().collect()} == {
+        "slow": 1,
+        "elsewhere": 0,
+        "other": 0,
+    }
 
 
 def test_working_tables_are_empty_afterwards(spark, root):
@@ -335,14 +342,55 @@ def test_stronger_hash_as_an_option(spark, root):
     assert run(spark, replace(cfg, chunk_size=1)).counts["differing_keys"] == 2
 
 
-def test_large_pending_sets_go_without_literals(spark, root, monkeypatch):
-    from replicheck.sources import readers
+def test_undeclared_nulls_are_refused(spark, root):
+    copies = [(1, "x", None)], [(1, None, 6)]
+    with pytest.raises(Refused, match="not declared nullable: v"):
+        run(spark, small(spark, root, *copies, run_mode=1, nullable_columns=("t",)))
+    declared = small(spark, root, *copies, run_mode=1, nullable_columns=("v", "t"))
+    assert run(spark, declared).counts["differing_keys"] == 1
 
-    monkeypatch.setattr(readers, "LOOKUP_LITERALS", 1)
-    cfg = small(spark, root)
-    result = run(spark, cfg)
-    copies = job.repaired_specs(spark, cfg, result.run_id)
-    assert rows_of(spark, copies[0]) == rows_of(spark, copies[1])
+
+@pytest.mark.parametrize(
+    "named", [{"nullable_columns": ("V",)}, {"exclude_columns": ("w",)}, {"decimals": {"w": (9, 2)}}]
+)
+def test_unknown_names_are_refused(spark, root, named):
+    with pytest.raises(Refused, match=next(iter(named))):
+        run(spark, small(spark, root, run_mode=1, **named))
+
+
+def test_repeated_pending_keys_are_refused(spark, root):
+    cfg = small(spark, root, [(1, "a", 5), (1, "b", 7)], [(1, "c", 6)], run_mode=2)
+    add_pending(spark, cfg, spark.createDataFrame([(1,)], "k int"))
+    with pytest.raises(Refused, match="repeats"):
+        run(spark, cfg)
+    with pytest.raises(Refused, match="NULL"):
+        add_pending(spark, cfg, spark.createDataFrame([(None,)], "k int"))
+    assert not (Path(root) / "backup").exists()
+
+
+def test_resume_refuses_another_configuration(spark, root):
+    cfg = drift.orders_config(SF, root=root, run_mode=1)
+    part = job.TableRun(spark, cfg)
+    part.preflight()
+    part.key_table()
+    for change in ({"exclude_columns": ("upd", "st")}, {"replicas": cfg.replicas[:2]}):
+        with pytest.raises(Refused, match="other"):
+            run(spark, replace(cfg, run_mode=3, **change))
+    assert run(spark, replace(cfg, run_mode=3)).status == 1
+
+
+def test_root_is_needed(spark):
+    with pytest.raises(Refused, match="root"):
+        run(spark, small(spark, ""))
+
+
+def test_refused_runs_leave_nothing_staged(spark, root):
+    work = Path(spark.conf.get("spark.checkpoint.dir")) / "replicheck"
+    held = lambda: sum(1 for p in work.rglob("*-[0-9]*") if p.is_dir())
+    before = held()
+    with pytest.raises(Refused):
+        run(spark, small(spark, root, [(1, "a", 5), (1, "b", 7)], run_mode=1))
+    assert held() == before
 
 
 def test_outcome_leaves_other_entries(spark):

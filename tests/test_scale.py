@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from queries import drift
 from queries.results import QUERIES, Check
 from replicheck.operators import checksum, keys, repair, validate
-from replicheck.sources import key_lookup_rows, read_replica, readers
+from replicheck.sources import key_lookup_rows, read_replica
 from replicheck.spec import ReplicaSpec
 from test_keys import plan_of
 
@@ -47,16 +47,18 @@ def test_same_result_without_adaptive_execution(spark, conf, name):
     assert rows_of(QUERIES[name](spark, SF)) == expected
 
 
-def test_lookup_joins_by_shuffle_beyond_the_threshold(spark, conf, ws, monkeypatch):
+def test_lookup_tests_bits_below_the_shuffle(spark, conf, ws):
     rows = read_replica(spark, ReplicaSpec(1, "dn1", f"{SF}/orders.parquet"))
     pending = ws.stage(spark.range(5).select(F.col("id").alias("o_orderkey")), "pending")
-    plan = plan_of(key_lookup_rows(rows, pending, "o_orderkey"))
-    assert "In(o_orderkey, [0,1,2,3,4])" in plan and "BroadcastHashJoin LeftSemi" in plan
-    monkeypatch.setattr(readers, "LOOKUP_LITERALS", 2)
-    conf(autoBroadcastJoinThreshold="-1")
-    plan = plan_of(key_lookup_rows(rows, pending, "o_orderkey"))
+    found = rows_of(key_lookup_rows(rows, pending, "o_orderkey"))
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    lookup = key_lookup_rows(rows, pending, "o_orderkey")
+    assert rows_of(lookup) == found and len(found) == rows.filter("o_orderkey < 5").count()
+    plan = plan_of(lookup)
     assert "GreaterThanOrEqual(o_orderkey,0), LessThanOrEqual(o_orderkey,4)" in plan
-    assert "SortMergeJoin LeftSemi" in plan and "Broadcast" not in plan
+    # from the top: the semi join, the exchange of wide rows, the test, the scan
+    order = [plan.index(x) for x in ("SortMergeJoin LeftSemi", "Exchange", "BroadcastHashJoin")]
+    assert order == sorted(order) and " IN " not in plan
 
 
 def test_key_that_holds_a_third_of_all_rows(spark):
