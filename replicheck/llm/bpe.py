@@ -28,7 +28,7 @@ from replicheck.llm.text import map_batches
 #: Pieces up to this length share vectorised trees; longer ones get a tree of their own.
 FOREST_BYTES = 64
 #: Distinct stretches a task remembers; a full memory starts anew.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 300_000
 #: White space as the pattern's \s has it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 NONE = np.iinfo(np.int64).max

@@ -180,7 +180,7 @@ def _sketch(docs: DataFrame, size: int) -> DataFrame:
         return step
 
     return map_batches(
-        docs, "doc_id long, n long, node long, bits binary, gram long, count long", make, 10_000
+        docs, "doc_id long, n long, node long, bits binary, gram long, count long", make, 5_000
     )
 
 
@@ -248,7 +248,7 @@ def _entries(docs: DataFrame, size: int, rule: Rule, bound: int, common: np.ndar
 
         return step
 
-    return map_batches(docs, "gram long, node long, n long, kind int", make, 10_000)
+    return map_batches(docs, "gram long, node long, n long, kind int", make, 2_000)
 
 
 def _by_hubs(heavy: DataFrame) -> DataFrame:

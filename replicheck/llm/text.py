@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 #: Words a task's cache of hashes holds at most; a full cache starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,10 +79,20 @@ def map_batches(
                 out = step(batch.slice(at, slice_rows))
                 if out is not None and out.num_rows:
                     yield out
+        step = batch = out = None
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps a worker's process for other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries lack it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def record(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
