@@ -36,16 +36,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from replicheck.llm.components import components
-from replicheck.llm.text import WordHash, lower_words, map_batches, mix, record, signed, window_hashes
+from replicheck.llm.text import WordHash, give_back, lower_words, map_batches, mix, record, signed, window_hashes
 from replicheck.sources import Workspace
 
 #: Longest inverted list that is scanned pair by pair.
-LIST = 16
+LIST = 32
 #: Documents that are compared with one set in one go; more are dealt to several tasks.
 HANDFUL = 64
 #: N-grams at most that the global order puts last: those that most sets hold. Which they are
 #: changes the work, never the result.
-COMMON = 262_144
+COMMON = 131_072
 #: Largest set that may count as small, and what one entry of an inverted list costs in rows.
 SMALL_MOST, ENTRY_COST = 24, 8
 #: Bits of the table that keeps texts nobody asks for out of a shuffle (4 MB at most).
@@ -374,6 +374,8 @@ def link_classes(docs: DataFrame, ws: Workspace, size: int = 4, percent: int = 8
         .orderBy(F.desc("count"), "gram").limit(COMMON).select("gram").toArrow()
     )
     common = np.sort(top.column("gram").to_numpy().view(np.uint64))
+    del top
+    give_back()
     histogram = nodes.filter(F.col("n") <= SMALL_MOST).groupBy("n").count().collect()
     bound = small_bound({r["n"]: r["count"] for r in histogram}, rule)
 

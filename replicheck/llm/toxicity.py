@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from replicheck.llm.text import held_out, map_batches, mix, record, seeded
+from replicheck.llm.text import give_back, held_out, map_batches, mix, record, seeded
 
 DIMENSIONS = 1 << 20
 #: The sample that a fit takes at most.
@@ -181,7 +181,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return Model(np.empty(0, np.int64), np.empty(0), 0.0, fitted=False)
     grams = [np.frombuffer(b, np.int32) for b in rows.column("grams").to_pylist()]
     order = without_copies(grams, sorted(range(len(grams)), key=lambda i: (not positive[i], grams[i].tobytes())))
-    return fit_arrays([grams[i] for i in order], positive[order], _prior(docs, labels))
+    model = fit_arrays([grams[i] for i in order], positive[order], _prior(docs, labels))
+    del grams, rows
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", column: str = "score") -> DataFrame:
