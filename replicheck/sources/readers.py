@@ -79,14 +79,15 @@ def key_lookup_rows(rows: DataFrame, pending: DataFrame, pk: str) -> DataFrame:
     """Whole rows of the pending keys, on every replica that holds them.
 
     The keys' range reaches the source, and a table of bits made from the keys is tested in the
-    scan's own stage, so a semi join that shuffles moves hardly more wide rows than it returns.
+    scan's own stage, so a join that shuffles moves hardly more wide rows than it returns.
     """
     keys = pending.select(pk).filter(F.col(pk).isNotNull())
     low, high = keys.agg(F.min(pk), F.max(pk)).first()
     if low is None:
         return rows.filter(F.lit(False))
     likely = likely_rows(key_range_scan(rows, pk, low, high), keys, pk)
-    return likely.join(keys, pk, "left_semi").select(*rows.columns)
+    # an inner join with distinct keys: Spark would move a semi join below the test of bits
+    return likely.join(keys.distinct(), pk).select(*rows.columns)
 
 
 def likely_rows(rows: DataFrame, keys: DataFrame, pk: str) -> DataFrame:
