@@ -3,7 +3,10 @@
 A text's words (A-Z lower-cased) are hashed to ``CLASSES`` - 1 classes, class 0 starts each text.
 Count tables: one row a class (their number is bounded, so that table may be broadcast), and one a
 pair of classes, spread by the pair's hash, which grows with the corpus. Every document is
-exploded to its distinct pairs with their number, joined to the pair table, and summed.
+exploded to its distinct pairs with their number, joined to the pair table, and summed. The exploded
+pairs are shuffled once, for the table and for the join. Pairs of two classes that hold a
+``HEAVY``-th of all words each may be hot; there are at most ``HEAVY ** 2`` of them. Their rows
+are dealt to ``SALTS`` places, and the sums over those places are broadcast.
 
 A word w after v scores ``c(v w) / c(v)`` with a document's own occurrences of the pair taken out
 of ``c(v w)``; where nothing is left it backs off to ``ALPHA * c(w) / N``, with N words in all.
@@ -27,6 +30,8 @@ from replicheck.sources import Workspace
 BITS = 20
 CLASSES = 1 << BITS
 ALPHA = 0.4
+HEAVY = 300
+SALTS = 256
 
 
 def classes(hashes: np.ndarray) -> np.ndarray:
@@ -52,14 +57,17 @@ def _class_counts(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("text"), "class long, count long", make, 10_000)
 
 
-def _pairs(docs: DataFrame) -> DataFrame:
-    """``(doc_id, pair, own)``: distinct pairs of a text; ``pair`` is ``v * CLASSES + w``."""
+def _pairs(docs: DataFrame, heavy: list[int]) -> DataFrame:
+    """``(doc_id, pair, own, salt)``: distinct pairs of a text; ``pair`` is ``v * CLASSES + w``.
+    Pairs of two ``heavy`` classes have a salt of 1 or more, others 0."""
 
     def make():
         hashes = WordHash()
+        hot = np.zeros(CLASSES, bool)
+        hot[heavy] = True
 
         def step(batch: pa.RecordBatch):
-            ids, pairs, own = [], [], []
+            ids, pairs, own, salts = [], [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 if not (w := lower_words(text)):
                     continue
@@ -68,16 +76,22 @@ def _pairs(docs: DataFrame) -> DataFrame:
                 ids.append(pa.repeat(pa.scalar(doc, pa.int64()), len(pair)))
                 pairs.append(pair)
                 own.append(count)
+                # from id and text, so that neither rows without an id nor copies share one place
+                place = 1 + (hash((doc or 0, int(pair.sum()))) % SALTS)
+                salts.append(np.where(hot[pair >> BITS] & hot[pair & (CLASSES - 1)], place, 0))
             if not pairs:
                 return None
             return record(
-                doc_id=pa.concat_arrays(ids), pair=np.concatenate(pairs), own=np.concatenate(own).astype(np.int32)
+                doc_id=pa.concat_arrays(ids),
+                pair=np.concatenate(pairs),
+                own=np.concatenate(own).astype(np.int32),
+                salt=np.concatenate(salts).astype(np.int32),
             )
 
         return step
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_batches(rows, "doc_id long, pair long, own int", make)
+    return map_batches(rows, "doc_id long, pair long, own int, salt int", make)
 
 
 def scores(docs: DataFrame, ws: Workspace | None = None) -> DataFrame:
@@ -89,13 +103,22 @@ def scores(docs: DataFrame, ws: Workspace | None = None) -> DataFrame:
     total = single.filter("class > 0").agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     after = F.broadcast(single.select(F.col("class").alias("v"), F.col("count").alias("c_v")))
     word = F.broadcast(single.select(F.col("class").alias("w"), F.col("count").alias("c_w")))
-    rows = _pairs(docs).repartition("pair")
-    table = rows.groupBy("pair").agg(F.sum("own").alias("c_vw"))
+    heavy = single.filter(F.col("count") * HEAVY > total).select("class").collect()  # at most HEAVY
+    rows = _pairs(docs, [r["class"] for r in heavy]).repartition("pair", "salt")
+    # all columns are used, so that one exchange serves the table and the join
+    by_place = (
+        rows.groupBy("pair", "salt")
+        .agg(F.sum("own").alias("c_here"), F.max("doc_id").alias("last"))
+        .filter("last is not null or c_here > 0")
+        .drop("last")
+    )
+    hot = by_place.filter("salt > 0").groupBy("pair").agg(F.sum("c_here").alias("c_hot"))
+    counted = rows.join(by_place, ["pair", "salt"]).join(F.broadcast(hot), "pair", "left")
+    counted = counted.withColumn("c_vw", F.coalesce("c_hot", "c_here"))
     others = F.col("c_vw") - F.col("own")
     ratio = F.when(others > 0, others / F.col("c_v")).otherwise(F.lit(ALPHA) * F.col("c_w") / F.lit(max(total, 1)))
     scored = (
-        rows.join(table, "pair")
-        .withColumns({"v": F.shiftright("pair", BITS), "w": F.col("pair").bitwiseAND(F.lit(CLASSES - 1))})
+        counted.withColumns({"v": F.shiftright("pair", BITS), "w": F.col("pair").bitwiseAND(F.lit(CLASSES - 1))})
         .join(after, "v")
         .join(word, "w")
         .groupBy("doc_id")
