@@ -105,22 +105,23 @@ def scores(docs: DataFrame, ws: Workspace | None = None) -> DataFrame:
     word = F.broadcast(single.select(F.col("class").alias("w"), F.col("count").alias("c_w")))
     heavy = single.filter(F.col("count") * HEAVY > total).select("class").collect()  # at most HEAVY
     rows = _pairs(docs, [r["class"] for r in heavy]).repartition("pair", "salt")
-    # all columns are used, so that one exchange serves the table and the join
+    # one exchange serves all three uses: each needs all columns and the same rows
+    rows = rows.filter("pair is not null and salt is not null")
     by_place = (
         rows.groupBy("pair", "salt")
-        .agg(F.sum("own").alias("c_here"), F.max("doc_id").alias("last"))
+        .agg(F.sum("own").alias("c_here"), F.max("doc_id").alias("last"), F.max("salt").alias("place"))
         .filter("last is not null or c_here > 0")
         .drop("last")
     )
-    hot = by_place.filter("salt > 0").groupBy("pair").agg(F.sum("c_here").alias("c_hot"))
-    counted = rows.join(by_place, ["pair", "salt"]).join(F.broadcast(hot), "pair", "left")
+    hot = by_place.filter("place > 0").groupBy("pair").agg(F.sum("c_here").alias("c_hot"))
+    counted = rows.join(by_place.drop("place"), ["pair", "salt"]).join(F.broadcast(hot), "pair", "left")
     counted = counted.withColumn("c_vw", F.coalesce("c_hot", "c_here"))
     others = F.col("c_vw") - F.col("own")
     ratio = F.when(others > 0, others / F.col("c_v")).otherwise(F.lit(ALPHA) * F.col("c_w") / F.lit(max(total, 1)))
     scored = (
         counted.withColumns({"v": F.shiftright("pair", BITS), "w": F.col("pair").bitwiseAND(F.lit(CLASSES - 1))})
-        .join(after, "v")
-        .join(word, "w")
+        .join(after, "v", "left")  # every class is there; an inner join would filter below the exchange
+        .join(word, "w", "left")
         .groupBy("doc_id")
         .agg(
             F.sum("own").alias("n_words"),
