@@ -3,10 +3,11 @@
 A text's words (A-Z lower-cased) are hashed to ``CLASSES`` - 1 classes, class 0 starts each text.
 Count tables: one row a class (their number is bounded, so that table may be broadcast), and one a
 pair of classes, spread by the pair's hash, which grows with the corpus. Every document is
-exploded to its distinct pairs with their number, joined to the pair table, and summed. The exploded
-pairs are shuffled once, for the table and for the join. Pairs of two classes that hold a
-``HEAVY``-th of all words each may be hot; there are at most ``HEAVY ** 2`` of them. Their rows
-are dealt to ``SALTS`` places, and the sums over those places are broadcast.
+exploded to its distinct pairs with their number; these rows are shuffled by pair once, get the
+pair's count in the corpus as a sum over all its rows, and are summed by document.
+Pairs of two classes that each hold over 1 / ``HEAVY`` of all words may be hot; there are at most
+``HEAVY ** 2`` of them. They are counted apart, that table is broadcast, and their rows are dealt
+to many places (``SALT_BITS``).
 
 A word w after v scores ``c(v w) / c(v)`` with a document's own occurrences of the pair taken out
 of ``c(v w)``; where nothing is left it backs off to ``ALPHA * c(w) / N``, with N words in all.
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from replicheck.llm.text import WordHash, lower_words, map_batches, record
@@ -31,7 +32,7 @@ BITS = 20
 CLASSES = 1 << BITS
 ALPHA = 0.4
 HEAVY = 300
-SALTS = 256
+SALT_BITS = 8
 
 
 def classes(hashes: np.ndarray) -> np.ndarray:
@@ -57,41 +58,67 @@ def _class_counts(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("text"), "class long, count long", make, 10_000)
 
 
+def _hot_counts(docs: DataFrame, heavy: list[int]) -> DataFrame:
+    """``(pair, c_hot)`` of all pairs of two ``heavy`` classes, combined by slice of rows first."""
+
+    def make():
+        hashes, hot = WordHash(), _flags(heavy)
+
+        def step(batch: pa.RecordBatch):
+            found = []
+            for text in batch.column("text").to_pylist():
+                if w := lower_words(text):
+                    c = classes(hashes.of(w))
+                    both = hot[c]
+                    both = both[:-1] & both[1:]
+                    found.append((c[:-1][both] << BITS) | c[1:][both])
+            if not found:
+                return None
+            pair, count = np.unique(np.concatenate(found), return_counts=True)
+            return record(pair=pair, count=count)
+
+        return step
+
+    counts = map_batches(docs.select("text"), "pair long, count long", make, 10_000)
+    return counts.groupBy("pair").agg(F.sum("count").alias("c_hot"))
+
+
+def _flags(heavy: list[int]) -> np.ndarray:
+    flags = np.zeros(CLASSES, bool)
+    flags[heavy] = True
+    return flags
+
+
 def _pairs(docs: DataFrame, heavy: list[int]) -> DataFrame:
-    """``(doc_id, pair, own, salt)``: distinct pairs of a text; ``pair`` is ``v * CLASSES + w``.
-    Pairs of two ``heavy`` classes have a salt of 1 or more, others 0."""
+    """``(doc_id, key, own)``: distinct pairs of a text. ``key`` is the pair ``v * CLASSES + w``,
+    then ``SALT_BITS`` for its place: 0, or 1 and more for pairs of two ``heavy`` classes."""
 
     def make():
-        hashes = WordHash()
-        hot = np.zeros(CLASSES, bool)
-        hot[heavy] = True
+        hashes, hot = WordHash(), _flags(heavy)
 
         def step(batch: pa.RecordBatch):
-            ids, pairs, own, salts = [], [], [], []
+            ids, keys, own = [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 if not (w := lower_words(text)):
                     continue
                 c = classes(hashes.of(w))
                 pair, count = np.unique((c[:-1] << BITS) | c[1:], return_counts=True)
+                # from id and text, so that neither rows without an id nor copies share one place
+                place = 1 + hash((doc or 0, int(pair.sum()))) % ((1 << SALT_BITS) - 1)
+                both = hot[pair >> BITS] & hot[pair & (CLASSES - 1)]
                 ids.append(pa.repeat(pa.scalar(doc, pa.int64()), len(pair)))
-                pairs.append(pair)
+                keys.append((pair << SALT_BITS) | np.where(both, place, 0))
                 own.append(count)
-                # from id and text, so that neither rows without an id nor copies share one place
-                place = 1 + (hash((doc or 0, int(pair.sum()))) % SALTS)
-                salts.append(np.where(hot[pair >> BITS] & hot[pair & (CLASSES - 1)], place, 0))
-            if not pairs:
+            if not keys:
                 return None
             return record(
-                doc_id=pa.concat_arrays(ids),
-                pair=np.concatenate(pairs),
-                own=np.concatenate(own).astype(np.int32),
-                salt=np.concatenate(salts).astype(np.int32),
+                doc_id=pa.concat_arrays(ids), key=np.concatenate(keys), own=np.concatenate(own).astype(np.int32)
             )
 
         return step
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_batches(rows, "doc_id long, pair long, own int, salt int", make)
+    return map_batches(rows, "doc_id long, key long, own int", make)
 
 
 def scores(docs: DataFrame, ws: Workspace | None = None) -> DataFrame:
@@ -104,23 +131,21 @@ def scores(docs: DataFrame, ws: Workspace | None = None) -> DataFrame:
     after = F.broadcast(single.select(F.col("class").alias("v"), F.col("count").alias("c_v")))
     word = F.broadcast(single.select(F.col("class").alias("w"), F.col("count").alias("c_w")))
     heavy = single.filter(F.col("count") * HEAVY > total).select("class").collect()  # at most HEAVY
-    rows = _pairs(docs, [r["class"] for r in heavy]).repartition("pair", "salt")
-    # one exchange serves all three uses: each needs all columns and the same rows
-    rows = rows.filter("pair is not null and salt is not null")
-    by_place = (
-        rows.groupBy("pair", "salt")
-        .agg(F.sum("own").alias("c_here"), F.max("doc_id").alias("last"), F.max("salt").alias("place"))
-        .filter("last is not null or c_here > 0")
-        .drop("last")
+    heavy = [r["class"] for r in heavy]
+    hot = _hot_counts(docs, heavy)
+    # a window and not a join with the sums: rows are shuffled and sorted once, by one long
+    counted = (
+        _pairs(docs, heavy)
+        .withColumn("c_here", F.sum("own").over(Window.partitionBy("key")))
+        .withColumn("pair", F.shiftright("key", SALT_BITS))
+        .join(F.broadcast(hot), "pair", "left")
+        .withColumn("c_vw", F.coalesce("c_hot", "c_here"))
     )
-    hot = by_place.filter("place > 0").groupBy("pair").agg(F.sum("c_here").alias("c_hot"))
-    counted = rows.join(by_place.drop("place"), ["pair", "salt"]).join(F.broadcast(hot), "pair", "left")
-    counted = counted.withColumn("c_vw", F.coalesce("c_hot", "c_here"))
     others = F.col("c_vw") - F.col("own")
     ratio = F.when(others > 0, others / F.col("c_v")).otherwise(F.lit(ALPHA) * F.col("c_w") / F.lit(max(total, 1)))
     scored = (
         counted.withColumns({"v": F.shiftright("pair", BITS), "w": F.col("pair").bitwiseAND(F.lit(CLASSES - 1))})
-        .join(after, "v", "left")  # every class is there; an inner join would filter below the exchange
+        .join(after, "v", "left")
         .join(word, "w", "left")
         .groupBy("doc_id")
         .agg(
