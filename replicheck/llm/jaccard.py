@@ -416,7 +416,19 @@ def link_classes(docs: DataFrame, ws: Workspace, size: int = 4, percent: int = 8
                 f"and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
             )
         )
-        .select(F.least("x.node", "y.node").alias("hub"), F.greatest("x.node", "y.node").alias("node"))
+        .groupBy("x.hub", F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        .agg(
+            F.count("*").alias("met"),
+            F.first(F.expr("x.size + y.size")).alias("sizes"),
+            F.first(F.expr("x.n + y.n")).alias("both_n"),
+            F.max("x.place").alias("last_x"), F.max("y.place").alias("last_y"),
+            F.first("x.size").alias("size_x"), F.first("y.size").alias("size_y"),
+        )
+        # differences of one hub have one order: what else they share comes after the last place met
+        .filter(
+            f"(sizes - 2 * (met + least(size_x - last_x, size_y - last_y) - 1)) * {rule.q} <= {100 - percent} * both_n"
+        )
+        .select(F.least("a", "b").alias("hub"), F.greatest("a", "b").alias("node"))
         .distinct()
     )
     differing = _plausible(differing, nodes, rule).withColumn("differ", F.lit(False))
