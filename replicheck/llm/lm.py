@@ -1,13 +1,16 @@
 """Stupid-backoff scores of documents under a bigram model of the whole corpus.
 
-A text's words (A-Z lower-cased) are hashed to ``CLASSES`` - 1 classes, class 0 starts each text.
-Count tables: one row a class (their number is bounded, so that table may be broadcast), and one a
-pair of classes, spread by the pair's hash, which grows with the corpus. Every document is
-exploded to its distinct pairs with their number; these rows are shuffled by pair once, get the
-pair's count in the corpus as a sum over all its rows, and are summed by document.
-Pairs of two classes that each hold over 1 / ``HEAVY`` of all words may be hot; there are at most
-``HEAVY ** 2`` of them. They are counted apart, that table is broadcast, and their rows are dealt
-to many places (``SALT_BITS``).
+A text's words (A-Z lower-cased) are known by their full 64-bit hashes; 0 starts each text. Word
+counts are a table spread by the word's hash and pair counts one spread by a word of the pair, so
+both grow with the corpus; neither is broadcast. Every document is exploded to its distinct pairs
+with their number. These rows are shuffled once by the pair's first word, get the pair's count in
+the corpus as a sum over all its rows and the first word's count by a join with the table of words,
+and are summed by document; rows that back off are first shuffled by the second word for its count.
+
+Words that hold over 1 / ``HEAVY`` of all words are heavy; there are at most ``HEAVY`` of them (and
+the start), and their counts go to all tasks. A pair that only begins with a heavy word lies with
+its second word. Pairs of two heavy words may be hot: they are counted apart, that table of at most
+``(HEAVY + 1) ** 2`` rows is broadcast, and their rows are dealt to ``SALTS`` places.
 
 A word w after v scores ``c(v w) / c(v)`` with a document's own occurrences of the pair taken out
 of ``c(v w)``; where nothing is left it backs off to ``ALPHA * c(w) / N``, with N words in all.
@@ -27,21 +30,24 @@ from pyspark.sql import functions as F
 
 from replicheck.llm.text import WordHash, lower_words, map_batches, record
 from replicheck.sources import Workspace
+from replicheck.sources.store import literal_rows
 
-BITS = 20
-CLASSES = 1 << BITS
 ALPHA = 0.4
 HEAVY = 300
-SALT_BITS = 8
+SALTS = 255
+#: No word's hash lies within so much of 0: places and codes of heavy words do.
+RESERVED = 1 << 20
+CODES = 1 << 9
 
 
 def classes(hashes: np.ndarray) -> np.ndarray:
-    """Class 0 for the start, then each word's class of 1 to CLASSES - 1."""
-    return np.concatenate(([0], (hashes % np.uint64(CLASSES - 1)).astype(np.int64) + 1))
+    """0 for the start, then each word's hash as a signed number out of the reserved range."""
+    h = hashes.view(np.int64)
+    return np.concatenate(([0], np.where(np.abs(h) < RESERVED, h ^ (1 << 40), h)))
 
 
-def _class_counts(docs: DataFrame) -> DataFrame:
-    """``(class, count)`` by slice of rows: at most CLASSES rows a slice."""
+def _word_counts(docs: DataFrame) -> DataFrame:
+    """``(word, count)`` by slice of rows."""
 
     def make():
         hashes = WordHash()
@@ -50,108 +56,148 @@ def _class_counts(docs: DataFrame) -> DataFrame:
             found = [classes(hashes.of(w)) for t in batch.column("text").to_pylist() if (w := lower_words(t))]
             if not found:
                 return None
-            name, count = np.unique(np.concatenate(found), return_counts=True)
-            return record(**{"class": name, "count": count})
+            word, count = np.unique(np.concatenate(found), return_counts=True)
+            return record(word=word, count=count)
 
         return step
 
-    return map_batches(docs.select("text"), "class long, count long", make, 10_000)
+    return map_batches(docs.select("text"), "word long, count long", make, 10_000)
 
 
-def _hot_counts(docs: DataFrame, heavy: list[int]) -> DataFrame:
-    """``(pair, c_hot)`` of all pairs of two ``heavy`` classes, combined by slice of rows first."""
+def _codes(words: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    """Each word's place in the sorted ``heavy``, from 1; 0 for other words."""
+    if not len(heavy):
+        return np.zeros(len(words), np.int64)
+    at = np.minimum(np.searchsorted(heavy, words), len(heavy) - 1)
+    return np.where(heavy[at] == words, at + 1, 0)
+
+
+def _hot_counts(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """``(b, c_hot)`` of all pairs of two ``heavy`` words, combined by slice of rows first."""
 
     def make():
-        hashes, hot = WordHash(), _flags(heavy)
+        hashes = WordHash()
 
         def step(batch: pa.RecordBatch):
             found = []
             for text in batch.column("text").to_pylist():
                 if w := lower_words(text):
-                    c = classes(hashes.of(w))
-                    both = hot[c]
-                    both = both[:-1] & both[1:]
-                    found.append((c[:-1][both] << BITS) | c[1:][both])
+                    code = _codes(classes(hashes.of(w)), heavy)
+                    both = (code[:-1] > 0) & (code[1:] > 0)
+                    found.append(code[:-1][both] * CODES + code[1:][both])
             if not found:
                 return None
             pair, count = np.unique(np.concatenate(found), return_counts=True)
-            return record(pair=pair, count=count)
+            return record(b=pair, count=count)
 
         return step
 
-    counts = map_batches(docs.select("text"), "pair long, count long", make, 10_000)
-    return counts.groupBy("pair").agg(F.sum("count").alias("c_hot"))
-
+    counts = map_batches(docs.select("text"), "b long, count long", make, 10_000)
+    return counts.groupBy("b").agg(F.sum("count").alias("c_hot"))
 
-def _flags(heavy: list[int]) -> np.ndarray:
-    flags = np.zeros(CLASSES, bool)
-    flags[heavy] = True
-    return flags
 
-
-def _pairs(docs: DataFrame, heavy: list[int]) -> DataFrame:
-    """``(doc_id, key, own)``: distinct pairs of a text. ``key`` is the pair ``v * CLASSES + w``,
-    then ``SALT_BITS`` for its place: 0, or 1 and more for pairs of two ``heavy`` classes."""
+def _pairs(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """``(own, a, b, doc_id)``: distinct pairs of a text, with ``a`` for their place. They are the
+    two words ``v, w``, or ``w`` and the code of ``v`` where that alone is ``heavy``, or a negative
+    salt and the codes of both. Rows of a slice are sorted, so that equal numbers compress, and
+    the numbers that differ most stand side by side."""
 
     def make():
-        hashes, hot = WordHash(), _flags(heavy)
+        hashes = WordHash()
 
         def step(batch: pa.RecordBatch):
-            ids, keys, own = [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                if not (w := lower_words(text)):
-                    continue
-                c = classes(hashes.of(w))
-                pair, count = np.unique((c[:-1] << BITS) | c[1:], return_counts=True)
-                # from id and text, so that neither rows without an id nor copies share one place
-                place = 1 + hash((doc or 0, int(pair.sum()))) % ((1 << SALT_BITS) - 1)
-                both = hot[pair >> BITS] & hot[pair & (CLASSES - 1)]
-                ids.append(pa.repeat(pa.scalar(doc, pa.int64()), len(pair)))
-                keys.append((pair << SALT_BITS) | np.where(both, place, 0))
-                own.append(count)
-            if not keys:
+            ids, found, salts = [], [], []
+            doc_id = batch.column("doc_id").cast(pa.int64())
+            for doc, text in zip(doc_id.to_pylist(), batch.column("text").to_pylist()):
+                if w := lower_words(text):
+                    found.append(classes(hashes.of(w)))
+                    ids.append(doc)
+                    # from id and text, so that neither rows without an id nor copies share one place
+                    salts.append(-1 - hash((doc or 0, int(found[-1].sum()))) % SALTS)
+            if not found:
                 return None
-            return record(
-                doc_id=pa.concat_arrays(ids), key=np.concatenate(keys), own=np.concatenate(own).astype(np.int32)
+            text_of = np.repeat(np.arange(len(found), dtype=np.int32), [len(c) for c in found])
+            word = np.concatenate(found)
+            code = _codes(word, heavy)
+            first = np.flatnonzero(text_of[:-1] == text_of[1:])
+            v, w, vc, wc, text_of = word[first], word[first + 1], code[first], code[first + 1], text_of[first]
+            salt = np.array(salts, np.int64)[text_of]
+            a = np.where(vc == 0, v, np.where(wc == 0, w, salt))
+            b = np.where(vc == 0, w, np.where(wc == 0, vc, vc * CODES + wc))
+            order = np.lexsort((b, a))  # stable: rows of a pair stay in the order of texts
+            a, b, text_of = a[order], b[order], text_of[order]
+            starts = np.flatnonzero(
+                np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (text_of[1:] != text_of[:-1])))
             )
+            own = np.diff(np.append(starts, len(a))).astype(np.int32)
+            doc_ids = pa.array(ids, pa.int64()).take(pa.array(text_of[starts]))
+            return record(own=own, a=a[starts], b=b[starts], doc_id=doc_ids)
 
         return step
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_batches(rows, "doc_id long, key long, own int", make)
+    # no cast here: an alias would give the two uses of these rows unlike plans and two shuffles
+    return map_batches(docs.select("doc_id", "text"), "own int, a long, b long, doc_id long", make, 1_000)
+
+
+def _known(docs: DataFrame, heavy: np.ndarray, counts: list[int]) -> DataFrame:
+    """``(b, c_hot, c_v, c_w)``: what ``heavy`` words tell of a row by its ``b``; at most
+    ``(HEAVY + 1) ** 2`` rows and two a word."""
+    of = F.array(*[F.lit(c).cast("long") for c in counts]) if counts else F.array().cast("array<long>")
+    hot = _hot_counts(docs, heavy).select(
+        "b", "c_hot", F.try_element_at(of, F.expr(f"int(b div {CODES})")).alias("c_v"),
+        F.try_element_at(of, F.expr(f"int(b % {CODES})")).alias("c_w"),
+    )
+    begin = [(k + 1, None, c, None) for k, c in enumerate(counts)]
+    end = [(int(h), None, None, c) for h, c in zip(heavy, counts)]
+    return hot.union(literal_rows(docs.sparkSession, begin + end, "b long, c_hot long, c_v long, c_w long"))
 
 
 def scores(docs: DataFrame, ws: Workspace | None = None) -> DataFrame:
     """``doc_id, n_words, n_backed_off, score`` for every document."""
     ws = ws or Workspace(docs.sparkSession)
-    single = ws.stage(
-        _class_counts(docs).groupBy("class").agg(F.sum("count").alias("count")), "classes"
-    )
-    total = single.filter("class > 0").agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-    after = F.broadcast(single.select(F.col("class").alias("v"), F.col("count").alias("c_v")))
-    word = F.broadcast(single.select(F.col("class").alias("w"), F.col("count").alias("c_w")))
-    heavy = single.filter(F.col("count") * HEAVY > total).select("class").collect()  # at most HEAVY
-    heavy = [r["class"] for r in heavy]
-    hot = _hot_counts(docs, heavy)
-    # a window and not a join with the sums: rows are shuffled and sorted once, by one long
+    single = ws.stage(_word_counts(docs).groupBy("word").agg(F.sum("count").alias("count")), "words")
+    total = single.filter("word <> 0").agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    found = single.filter(F.col("count") * HEAVY > total).orderBy("word").collect()  # at most HEAVY and the start
+    heavy, counts = np.array([r["word"] for r in found], np.int64), [r["count"] for r in found]
+    known = F.broadcast(ws.stage(_known(docs, heavy, counts), "heavy"))
+    # hash joins, so that the many rows are not sorted once more
+    at_a = single.select(F.col("word").alias("a"), F.col("count").alias("c_a")).hint("shuffle_hash")
+    at_b = single.select(F.col("word").alias("b"), F.col("count").alias("c_b")).hint("shuffle_hash")
+    # a window and not a join with the sums: rows are shuffled once, for both uses below
     counted = (
         _pairs(docs, heavy)
-        .withColumn("c_here", F.sum("own").over(Window.partitionBy("key")))
-        .withColumn("pair", F.shiftright("key", SALT_BITS))
-        .join(F.broadcast(hot), "pair", "left")
-        .withColumn("c_vw", F.coalesce("c_hot", "c_here"))
+        .repartition("a")
+        .withColumn("c_here", F.sum("own").over(Window.partitionBy("a", "b")))
+        .select("doc_id", "a", "b", "own", "c_here")
+    )
+    backs_off = lambda count: F.log(F.lit(ALPHA) * count / F.lit(max(total, 1)))
+    others = F.coalesce("c_hot", "c_here") - F.col("own")
+    c_v = F.coalesce("c_v", "c_a")
+    c_w = F.coalesce("c_w", F.when(F.col("b").between(1, CODES - 1), F.col("c_a")))
+    here = (
+        counted.join(at_a, "a", "left")
+        .join(known, "b", "left")
+        .select(
+            "doc_id", "own", F.when(others > 0, 0).otherwise(F.col("own")).alias("backed"),
+            F.when(others > 0, F.log(others / c_v)).otherwise(backs_off(c_w)).alias("log"),
+        )
+        .filter("log is not null")
+    )
+    # the other rows back off to a word that is not heavy, and only they go to it
+    away = (
+        counted.filter("c_here = own")
+        .join(known.select("b"), "b", "left_anti")
+        .select("doc_id", "b", "own")
+        .join(at_b, "b", "left")
+        .select("doc_id", "own", F.col("own").alias("backed"), backs_off(F.col("c_b")).alias("log"))
     )
-    others = F.col("c_vw") - F.col("own")
-    ratio = F.when(others > 0, others / F.col("c_v")).otherwise(F.lit(ALPHA) * F.col("c_w") / F.lit(max(total, 1)))
     scored = (
-        counted.withColumns({"v": F.shiftright("pair", BITS), "w": F.col("pair").bitwiseAND(F.lit(CLASSES - 1))})
-        .join(after, "v", "left")
-        .join(word, "w", "left")
+        here.union(away)
         .groupBy("doc_id")
         .agg(
             F.sum("own").alias("n_words"),
-            F.sum(F.when(others > 0, 0).otherwise(F.col("own"))).alias("n_backed_off"),
-            F.sum(F.col("own") * F.log(ratio)).alias("sum"),
+            F.sum("backed").alias("n_backed_off"),
+            F.sum(F.col("own") * F.col("log")).alias("sum"),
         )
     )
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()

@@ -42,3 +42,36 @@ def test_scores(spark, ws):
         assert got[d].n_words == n
         assert got[d].score is None if score is None else abs(got[d].score - score) < 1e-9
     assert lm.scores(df.limit(0), ws).count() == 0
+
+
+def plain_words(rows):
+    """The same, with the words themselves as keys and one text a doc_id."""
+    docs = {d: list(zip([b"", *lower_words(t)], lower_words(t))) for d, t in rows}
+    pair = Counter(p for own in docs.values() for p in own)
+    word = Counter(w for own in docs.values() for _, w in own)
+    total = sum(word.values())
+    word[b""] = sum(bool(own) for own in docs.values())
+    for d, own in docs.items():
+        mine, logs = Counter(own), []
+        for p in own:
+            left = pair[p] - mine[p]
+            logs.append(math.log(left / word[p[0]] if left else lm.ALPHA * word[p[1]] / total))
+        yield d, len(own), sum(logs) / len(logs)
+
+
+def test_words_are_not_merged(spark, ws):
+    """Words that agree in 20 bits of their hash, and pairs with no, one and two heavy words."""
+    hashes, seen, alike = WordHash(), {}, []
+    for i in range(8_000):
+        name = f"w{i}"
+        alike += [seen[k], name] if (k := hashes[name.encode()] % ((1 << 20) - 1)) in seen else []
+        seen[k] = name
+    assert len(alike) >= 10
+    rnd = random.Random(5)
+    vocab = ["the", "of", "a"] * 300 + alike * 5 + [f"w{i}" for i in range(900)]
+    rows = [(i, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 60)))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lm.scores(df, ws).collect()}
+    for d, n, score in plain_words(rows):
+        assert got[d].n_words == n
+        assert abs(got[d].score - score) < 1e-9
