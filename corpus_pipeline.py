@@ -17,6 +17,10 @@ from replicheck.llm.queries import vocabulary
 from replicheck.llm.text import read_table
 from replicheck.sources import Workspace
 
+#: Words a shingle and percent of shared shingles from which texts are near copies. The query
+#: op3_ngram_jaccard has a contract of its own.
+SHINGLE, ALIKE = 5, 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays below 0.5."""
@@ -28,7 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each linked group, and all that link with nothing.
     Rows that repeat a doc_id stay or go together; rows without one stay."""
-    groups = jaccard.duplicates(docs)
+    groups = jaccard.duplicates(docs, size=SHINGLE, percent=ALIKE)
     gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
 

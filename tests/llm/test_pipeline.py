@@ -67,3 +67,14 @@ def test_encoded(stages):
 
 def test_ten_queries():
     assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+
+
+def test_near_copies_by_five_words_and_four_fifths(spark):
+    """Also a copy with a fifth of its text added, which is no near copy by four words and 85%."""
+    base = [f"w{i}" for i in range(104)]
+    rows = [(1, " ".join(base)), (2, " ".join(base + [f"x{i}" for i in range(24)])),
+            (3, " ".join(base + [f"y{i}" for i in range(40)])), (4, "another text of six words")]
+    df = spark.createDataFrame([(d, t, "s") for d, t in rows], "doc_id long, text string, source string")
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()}
+    assert kept == {c for _, _, c in brute(rows, size=5, percent=80)} == {1, 3, 4}
+    assert {c for _, _, c in brute(rows)} == {1, 2, 3, 4}
