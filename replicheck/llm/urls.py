@@ -4,8 +4,12 @@ A rule names a host and the beginning of a path; it fits that host and its subdo
 longest fitting rule decides. Hosts pass on what the rules say of their pages: a personalised
 PageRank carries trust from hosts with allowed pages along links, and one over reversed links
 carries distrust from hosts with blocked pages to those that link to them. A host restarts at the
-share of its pages that rules allow (for distrust: block), so both ranks read as shares. Pages
-without a rule are blocked if their host's distrust reaches ``THRESHOLD`` and exceeds its trust.
+share of its pages that rules allow (for distrust: block), so both ranks read as shares. A third
+number, ``led``, is the chance that links lead from a host to a blocked page: a link to another
+host is followed with ``DAMPING``, from page shares that are not blocked it goes on. Unlike
+distrust, which a blocked host divides among all that link to it, it does not fall with their
+number. Pages without a rule are blocked if their host's distrust reaches ``THRESHOLD`` and exceeds
+its trust, or if ``led`` reaches ``LED`` and exceeds its trust.
 
 Host edges are counted from the hyperlinks of all pages; a link without a host stays on its own.
 Edges are aggregated before they meet, every round is a join and an aggregation over hosts, and
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 
 from replicheck.sources import Workspace
 
-ROUNDS, DAMPING, THRESHOLD = 12, 0.85, 0.5
+ROUNDS, DAMPING, THRESHOLD, LED = 12, 0.85, 0.5, 0.5
 #: Rounds between two staged tables.
 STAGED = 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -69,31 +73,35 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def spread(seeds: DataFrame, edges: DataFrame, ws: Workspace, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """``(host, trust, distrust)`` from ``seeds`` ``(host, trust, distrust)`` after ``rounds``."""
-    leaves = edges.groupBy("src").agg(F.sum("links").alias("total"))
-    enters = edges.groupBy("dst").agg(F.sum("links").alias("total"))
+    """``(host, trust, distrust, led)`` from ``seeds`` ``(host, trust, distrust)`` after ``rounds``."""
+    leaves = edges.groupBy("src").agg(F.sum("links").alias("total"), F.sum(F.when(F.col("src") != F.col("dst"), F.col("links"))).alias("outside"))
+    enters = edges.groupBy("dst").agg(F.sum("links").alias("entering"))
     zero = F.lit(0.0)
+    outward = F.when(F.col("src") != F.col("dst"), F.col("links") / F.col("outside")).otherwise(zero)
     ways = ws.stage(
         edges.join(leaves, "src")
-        .select(F.col("src").alias("at"), F.col("dst").alias("to"), (F.col("links") / F.col("total")).alias("t"), zero.alias("d"))
+        .select(F.col("src").alias("at"), F.col("dst").alias("to"), (F.col("links") / F.col("total")).alias("t"), zero.alias("d"), zero.alias("l"))
         .union(
-            edges.join(enters, "dst").select(F.col("dst").alias("at"), F.col("src").alias("to"), zero.alias("t"), (F.col("links") / F.col("total")).alias("d"))
+            edges.join(enters, "dst").join(leaves, "src")
+            .select(F.col("dst").alias("at"), F.col("src").alias("to"), zero.alias("t"), (F.col("links") / F.col("entering")).alias("d"), outward.alias("l"))
         )
         .groupBy("at", "to")
-        .agg(F.sum("t").alias("t"), F.sum("d").alias("d")),
+        .agg(F.sum("t").alias("t"), F.sum("d").alias("d"), F.sum("l").alias("l")),
         "ways",
     )
-    again = seeds.select("host", (F.col("trust") * (1 - damping)).alias("trust"), (F.col("distrust") * (1 - damping)).alias("distrust"))
-    now = seeds
+    again = seeds.select("host", (F.col("trust") * (1 - damping)).alias("trust"), (F.col("distrust") * (1 - damping)).alias("distrust"), zero.alias("led"), F.col("distrust").alias("seed"))
+    now = seeds.select("host", "trust", "distrust", zero.alias("led"), F.col("distrust").alias("seed"))
     for k in range(1, rounds + 1):
+        reached = F.col("seed") + (1 - F.col("seed")) * F.col("led")  # a blocked page, at once or by links
         passed = (
             now.join(ways, now["host"] == ways["at"])
-            .select(F.col("to").alias("host"), (F.col("trust") * F.col("t") * damping).alias("trust"), (F.col("distrust") * F.col("d") * damping).alias("distrust"))
-        )
-        now = passed.union(again).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
+            .select(F.col("to").alias("host"), (F.col("trust") * F.col("t") * damping).alias("trust"), (F.col("distrust") * F.col("d") * damping).alias("distrust"),
+                    (reached * F.col("l") * damping).alias("led"), zero.alias("seed"))
+        )
+        now = passed.union(again).groupBy("host").agg(*[F.sum(c).alias(c) for c in ("trust", "distrust", "led", "seed")])
         if k % STAGED == 0:
             now = ws.stage(now, "ranks")
-    return now
+    return now.drop("seed")
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], ws: Workspace | None = None, threshold: float = THRESHOLD) -> DataFrame:
@@ -110,6 +118,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], ws: Workspace | No
     )
     ranks = spread(seeds, edges, ws)
     bad = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
+    bad = bad | (F.col("led") >= LED) & (F.col("led") > F.col("trust"))
     return ruled.join(ranks, "host", "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("said", F.when(bad, "block").otherwise("allow")).alias("verdict"),

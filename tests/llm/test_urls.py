@@ -86,3 +86,24 @@ def test_pages(spark, ws):
 def test_empty(spark, ws):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert urls.judge(df, URL_RULES, ws).count() == 0
+
+
+def test_many_feeders_of_one_blocked_host(spark, ws):
+    """At the production value: a verdict does not depend on how many hosts link to a blocked one."""
+    pages, want = [(0, "http://spam.net/", "")], {0: "block"}
+    for at, k in enumerate((1, 2, 10)):
+        for own in (0, 6):
+            for i in range(k):
+                name = f"f{at}o{own}n{i}.com"
+                to = LINK.format(f"http://bad{at}{own}.net/x") + LINK.format("/own") * own
+                want[len(pages)] = "block"
+                pages.append((len(pages), f"http://{name}/", to))
+    want[len(pages)] = "block"  # leads to a feeder
+    pages.append((len(pages), "http://second.com/", LINK.format("http://f2o6n3.com/")))
+    want[len(pages)] = "allow"  # one link of three
+    pages.append((len(pages), "http://mixed.com/", "".join(LINK.format(f"http://{h}/") for h in ("spam.net", "fine.com", "good.com"))))
+    for h in ("bad00", "bad06", "bad10", "bad16", "bad20", "bad26"):
+        want[len(pages)] = "block"
+        pages.append((len(pages), f"http://{h}.net/x", None))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.page_id: r.verdict for r in urls.judge(df, URL_RULES, ws).collect()} == want
