@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from replicheck.llm.queries import URL_RULES
+from replicheck.llm.source_audit import DOCUMENTS, TERMS
 from replicheck.llm.urls import DAMPING, LOWER, ROUNDS, THRESHOLD, UPPER, split_rule
 
 OP3 = f"""
@@ -33,6 +34,37 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+OP12 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+t AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= {DOCUMENTS}),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+grid AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, v.v FROM g JOIN kept k ON k.lang = g.lang
+  JOIN v ON v.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (
+  SELECT *, 1 + (1000000000 * (n + 5)::HUGEINT) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p FROM grid),
+l AS (SELECT lang, term, any_value(v) AS v, sum(n) AS n FROM grid GROUP BY lang, term),
+q AS (SELECT lang, term, 1 + (1000000000 * (n + 5)::HUGEINT) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q FROM l),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY a.lang, a.source, b.source),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, (p - q)::BIGINT FROM p JOIN q ON q.lang = p.lang AND q.term = p.term
+  WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {TERMS}
+"""
+
 
 def _op2() -> str:
     cases = []
@@ -75,4 +107,4 @@ FROM ruled LEFT JOIN r{ROUNDS} r ON r.host = ruled.host
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": _op2(), "op3_ngram_jaccard": OP3, "op7_topk_search": OP7}
+    return {"op2_url_filter": _op2(), "op3_ngram_jaccard": OP3, "op7_topk_search": OP7, "op12_source_audit": OP12}
