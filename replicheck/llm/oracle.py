@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from replicheck.llm.lexical import APART
 from replicheck.llm.queries import URL_RULES
 from replicheck.llm.source_audit import DOCUMENTS, TERMS
 from replicheck.llm.urls import DAMPING, LOWER, ROUNDS, THRESHOLD, UPPER, split_rule
@@ -34,6 +35,28 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+OP11 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[^{APART}]+') AS w FROM documents),
+i AS (
+  SELECT row_number() OVER () AS no, item_id, list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^{APART}]+')) AS w FROM benchmark),
+s AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+m AS (SELECT row, doc_id, 10 + (90 * len(w) * n) // l AS m FROM d, s WHERE len(w) > 0),
+tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM d) GROUP BY row, term),
+w AS (SELECT term, floor(1000 * ln((2 * n + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s),
+scored AS (
+  SELECT no, item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM (SELECT no, item_id, unnest(w) AS term FROM i) JOIN tf USING (term) JOIN w USING (term) JOIN m USING (row)
+  GROUP BY no, item_id, row, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY no ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 OP12 = f"""
 WITH d AS (
   SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
@@ -107,4 +130,10 @@ FROM ruled LEFT JOIN r{ROUNDS} r ON r.host = ruled.host
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": _op2(), "op3_ngram_jaccard": OP3, "op7_topk_search": OP7, "op12_source_audit": OP12}
+    return {
+        "op2_url_filter": _op2(),
+        "op3_ngram_jaccard": OP3,
+        "op7_topk_search": OP7,
+        "op11_lexical_search": OP11,
+        "op12_source_audit": OP12,
+    }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replicheck.llm import (
-    bpe, html_diff, jaccard, lm, mixing, pii, rules, source_audit, token_counts, topk, toxicity, urls,
+    bpe, html_diff, jaccard, lexical, lm, mixing, pii, rules, source_audit, token_counts, topk, toxicity, urls,
 )
 from replicheck.llm.text import read_table
 
@@ -65,6 +65,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_diff.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(read_table(spark, sf_dir, "documents"))
 
@@ -78,6 +82,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_url_filter, op3_ngram_jaccard, op4_toxicity, op5_pii, op6_lm_score, op7_topk_search,
-        op8_source_mix, op9_quality_rules, op10_html_text, op12_source_audit, op13_token_counts,
+        op8_source_mix, op9_quality_rules, op10_html_text, op11_lexical_search,
+        op12_source_audit, op13_token_counts,
     )
 }
