@@ -209,7 +209,7 @@ def clear_working_tables(spark, sf_dir):
     chunks = store.overwrite("chunk", c.chunks(chunked))
     store.overwrite("keys", chunked.select("id", "rn", "chunk"))
     store.overwrite("chunk_differ", compare.chunk_differ(chunks, 3))
-    before = {name: store.read(name).count() for name in store.WORKING}
+    before = {name: store.read(name).count() for name in ("keys", "chunk", "chunk_differ")}
     store.clear_working_tables()
     return literal_rows(
         spark,
@@ -374,7 +374,7 @@ def backup_schema_drift(spark, sf_dir):
     shape = validate.backup_schema(c.rows.schema)
     store = _store(c)
     backup = repair.backup_rows(*c.planned(), "id", c.unique_cols).select(*shape.names)
-    backup.write.parquet(store.backup_path(shape))
+    store.append(store.backup_name(shape), backup)
     stored = store.backups(shape)
     wider = c.rows.withColumn("note", F.lit("x"))
     entries = [
@@ -447,17 +447,18 @@ def chunk_resume(spark, sf_dir):
 
 @query
 def resumed_differ(spark, sf_dir):
-    """Differing keys that an interrupted check records once it is resumed."""
+    """Differing keys that a check records which broke off after its first range and was resumed."""
     ws = Workspace(spark)
-    cfg = drift.orders_config(sf_dir, run_mode=3, root=f"{ws.path}/audit")
-    c = orders(spark, sf_dir)
-    store = AuditStore(spark, cfg.root, cfg.table)
-    matrix = checksum.key_matrix(c.crcs(), "id", c.nodes)
-    placed = store.overwrite("keys", keys.in_order(matrix, ["id"]))
-    chunks = c.chunks(keys.in_chunks(placed, cfg.chunk_size))
-    store.overwrite("chunk", chunks.filter(F.col("chunk") <= STORED_CHUNKS))
-    job.run(spark, cfg)
-    return store.read("differ").select("pk", "differ_type", "status")
+    cfg = drift.orders_config(sf_dir, run_mode=1, root=f"{ws.path}/audit")
+    broken = job.TableRun(spark, replace(cfg, range_keys=STORED_CHUNKS * cfg.chunk_size))
+    broken.preflight()
+    broken.store.log.take()
+    broken.scan()
+    broken.order_keys()
+    broken.open_keys()
+    broken.commit_range(*broken.ranges()[0])
+    job.run(spark, replace(cfg, run_mode=3, take_over=True))
+    return AuditStore(spark, cfg.root, cfg.table).read("differ").select("pk", "differ_type", "status")
 
 
 # Checksums

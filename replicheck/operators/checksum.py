@@ -23,14 +23,17 @@ def row_checksums(
     fraction_digits: Mapping[str, int] | None = None,
     algo: str = "crc32",
     watched: Sequence[str] = (),
+    file: str | None = None,
 ) -> DataFrame:
     """``(ord, pk, row_crc)`` of every row: wide columns end in the scan's own stage. With
-    ``watched`` columns also ``nulls_0, ...``: bits that say which of them are NULL."""
+    ``watched`` columns also ``nulls_0, ...``: bits that say which of them are NULL. With a
+    ``file`` column also its hash, to know where the row lies."""
     if algo == "crc32":
         value = text_crc(row_text(rows.schema, columns, nullable, decimals, fraction_digits))
     else:
         value = typed_hash(columns)
-    return rows.select("ord", pk, value.alias("row_crc"), *null_bits(watched))
+    where = [F.when(F.col(file).isNotNull(), F.xxhash64(file)).alias("_file")] if file else []
+    return rows.select("ord", pk, value.alias("row_crc"), *null_bits(watched), *where)
 
 
 # Bits of a long that stand for a column each.
@@ -69,6 +72,8 @@ def key_matrix(row_crcs: DataFrame, pk: str, nodes: Nodes) -> DataFrame:
             F.count(F.when(here, 1)).alias(f"cnt_{ord}"),
             F.bit_xor(F.when(here, F.col("row_crc"))).alias(f"crc_{ord}"),
         ]
+        if "_file" in row_crcs.columns:
+            folds.append(F.max(F.when(here, F.col("_file"))).alias(f"_file_{ord}"))
     folds += [F.bit_or(n).alias(n) for n in row_crcs.columns if n.startswith("nulls_")]
     return row_crcs.groupBy(pk).agg(*folds)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,18 +37,6 @@ def drill_keys(chunked: DataFrame, differing: DataFrame) -> DataFrame:
     return chunked.join(differing.select("chunk"), "chunk", "left_semi")
 
 
-def drill_between(ranked: DataFrame, pk: str, differing: DataFrame) -> DataFrame:
-    """Keys of differing chunks by their stored boundaries, which may follow another chunk size
-    or overlap by a key after a resumed check. Boundaries are keys: their ranks give the ranks
-    between them, so that the join is one of equal values."""
-    at = ranked.select(pk, "rn")
-    first = at.select(F.col(pk).alias("upper_boundary"), F.col("rn").alias("_from"))
-    last = at.select(F.col(pk).alias("lower_boundary"), F.col("rn").alias("_to"))
-    ranks = differing.join(first, "upper_boundary").join(last, "lower_boundary")
-    wanted = ranks.select("chunk", F.explode(F.sequence("_from", "_to")).alias("rn"))
-    return ranked.drop("chunk").join(wanted, "rn")
-
-
 def key_checksum(drilled: DataFrame, pk: str, nodes: Nodes) -> DataFrame:
     """Row count and checksum of each drilled key on each replica."""
     return per_replica(drilled, nodes, ["chunk", pk])
@@ -77,19 +66,26 @@ def differ_type(nodes: Nodes) -> Column:
     ).when(unlike.isNotNull(), F.lit(UNLIKE))
 
 
-def key_differ(drilled: DataFrame, pk: str, nodes: Nodes) -> DataFrame:
-    """Keys with an anomaly: ``(chunk, pk, differ_type)``.
+def key_differ(
+    drilled: DataFrame, pk: str, nodes: Nodes, keep: Sequence[Column] = ()
+) -> DataFrame:
+    """Keys with an anomaly: ``(chunk, pk, differ_type)`` and what else is to be kept.
 
     The test reads only a key's own row, so Spark applies it below the join of ``drill_keys``
     and only differing keys are joined.
     """
-    return drilled.select("chunk", pk, differ_type(nodes).alias("differ_type")).filter(
-        F.col("differ_type").isNotNull()
-    )
+    kind = differ_type(nodes).alias("differ_type")
+    return drilled.select("chunk", pk, kind, *keep).filter(F.col("differ_type").isNotNull())
 
 
 def numbered_differ(
-    differing: DataFrame, pk: str, table: str, ws: Workspace, after: int = 0, partitions: int = 0
+    differing: DataFrame,
+    pk: str,
+    table: str,
+    ws: Workspace,
+    after: int = 0,
+    partitions: int = 0,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Differing keys as pending entries, numbered on from ``after`` in chunk and key order."""
     ranked = with_rank(differing, ["chunk", pk], ws, partitions, "differ")
@@ -99,6 +95,7 @@ def numbered_differ(
         F.col(pk).alias("pk"),
         F.lit(PENDING).cast("int").alias("status"),
         F.col("differ_type").cast("int").alias("differ_type"),
+        *keep,
     )
 
 

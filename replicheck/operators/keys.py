@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from replicheck.sources.store import Workspace
@@ -12,11 +13,6 @@ from replicheck.sources.store import Workspace
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, row number in it below
 
 
-def collate_key(rows: DataFrame, pk: str, collation: str | None) -> DataFrame:
-    """Let a string key compare, sort and group by ``collation``."""
-    return rows.withColumn(pk, F.collate(pk, collation)) if collation else rows
-
-
 def key_universe(rows: DataFrame, pk: str) -> DataFrame:
     """Every key that some replica holds, once."""
     return rows.select(pk).distinct()
@@ -54,28 +50,87 @@ def in_order(df: DataFrame, order: Sequence[str], partitions: int = 0) -> DataFr
     )
 
 
-def numbered(placed: DataFrame) -> DataFrame:
+def starts(placed: DataFrame) -> DataFrame:
+    """``(part, start, rows)``: how many rows lie before each partition of ``in_order``. One row
+    per partition is all that is summed in one place."""
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(F.shiftrightunsigned("place", _LOCAL_BITS).alias("part")).agg(
+        F.count("*").alias("rows")
+    )
+    return counts.select("part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start"), "rows")
+
+
+def numbered(placed: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Staged rows of ``in_order`` numbered 1, 2, … as ``rn``, exactly.
 
     No task sees all rows: a partition's first number follows from the row counts of those
-    before it, and one row per partition is all that is summed in one place and broadcast.
+    before it (``starts``, if they are ``known``), which are broadcast.
     """
-    part = F.shiftrightunsigned("place", _LOCAL_BITS)
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy(part.alias("_part"))
-        .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    before = (known if known is not None else starts(placed)).select(
+        F.col("part").alias("_part"), F.col("start").alias("_start")
     )
     local = F.col("place").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")
+        placed.withColumn("_part", F.shiftrightunsigned("place", _LOCAL_BITS))
+        .join(F.broadcast(before), "_part")
         .withColumn("rn", F.col("_start") + local + 1)
         .drop("place", "_part", "_start")
     )
 
 
+def in_span(
+    placed: DataFrame, known: DataFrame, bounds: Sequence[tuple[int, int]], first: int, last: int
+) -> DataFrame:
+    """Rows numbered ``first`` to ``last``. Places of partitions outside reach the scan as
+    bounds, so that other files are not read; ``bounds`` are the ``(part, start)`` of ``known``."""
+    inside = [part for part, start in bounds if start < last]
+    low = max([part for part, start in bounds if start < first], default=0)
+    high = max(inside, default=-1)
+    near = placed.filter(
+        (F.col("place") >= low << _LOCAL_BITS) & (F.col("place") < (high + 1) << _LOCAL_BITS)
+    )
+    return numbered(near, known).filter(F.col("rn").between(first, last))
+
+
+@dataclass(frozen=True)
+class Segment:
+    """Chunks counted on from ``chunk``, ``size`` keys each, from key number ``rn`` on. The
+    ``number`` tells apart what was counted by one segment and by another."""
+
+    rn: int
+    chunk: int
+    size: int
+    number: int = 1
+
+    def chunk_of(self, rank: Column) -> Column:
+        return chunk_number(rank - (self.rn - 1), self.size, self.chunk)
+
+    def holding(self, rank: int) -> int:
+        return self.chunk + (rank - self.rn) // self.size
+
+    def first_key(self, chunk: int) -> int:
+        return self.rn + (chunk - self.chunk) * self.size
+
+
+def segment_after(
+    segments: Sequence[Segment], last_chunk: int, size: int, number: int
+) -> list[Segment]:
+    """The cut of a check resumed after ``last_chunk`` was stored: counting starts anew at the
+    last key of the chunk before it, and numbers go on from it. Without one before, the check
+    starts at the first key."""
+    kept = [s for s in segments if s.chunk < last_chunk]
+    if not kept:
+        return [Segment(1, 1, size, number)]
+    return [*kept, Segment(kept[-1].first_key(last_chunk) - 1, last_chunk, size, number)]
+
+
+def segment_spans(segments: Sequence[Segment], keys: int) -> list[tuple[Segment, int, int]]:
+    """Each segment with the numbers of its first and last key. A segment's first key is also
+    the last one of the segment before."""
+    ends = [*[s.rn for s in segments[1:]], keys]
+    return [(s, s.rn, end) for s, end in zip(segments, ends)]
+
+
 def with_rank(
     df: DataFrame, order: Sequence[str], ws: Workspace, partitions: int = 0, name: str = "ranked"
 ) -> DataFrame:

@@ -15,8 +15,9 @@ from replicheck.spec import DELETED, FAILED, MANUAL, PENDING, REPAIRED, UNIQUE_C
 
 def pending_keys(differ: DataFrame, table: str, pk: str) -> DataFrame:
     """Entries not yet dealt with, also those of earlier runs or put in by hand."""
+    seen = ["files"] if "files" in differ.columns else []
     return differ.filter((F.col("status") == PENDING) & (F.col("table_name") == table)).select(
-        F.col("id").alias("differ_id"), F.col("pk").alias(pk), "differ_type"
+        F.col("id").alias("differ_id"), F.col("pk").alias(pk), "differ_type", *seen
     )
 
 
@@ -290,13 +291,17 @@ def backup_rows(
 
 
 def tuple_holders(
-    rows: DataFrame, held: DataFrame, pk: str, unique_cols: Sequence[str]
+    rows: DataFrame,
+    held: DataFrame,
+    pk: str,
+    unique_cols: Sequence[str],
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Every row ``(ord, pk, uk)``, pending or not, with a unique tuple that a pending key holds.
-    Reads the key and the unique columns only."""
+    Reads the key and the unique columns only, and what else is to be kept."""
     tuples = held.filter(_full(F.col("uk"), unique_cols)).select("uk").distinct()
-    narrow = rows.select("ord", pk, F.struct(*unique_cols).alias("uk"))
-    return narrow.join(tuples, "uk", "left_semi").select("ord", pk, "uk")
+    narrow = rows.select("ord", pk, F.struct(*unique_cols).alias("uk"), *keep)
+    return narrow.join(tuples, "uk", "left_semi").select("ord", pk, "uk", *keep)
 
 
 def unique_faults(holders: DataFrame) -> DataFrame:
@@ -347,6 +352,14 @@ def repair_changes(
     )
 
 
+def changed_files(places: DataFrame, changes: DataFrame, pk: str, file: str) -> DataFrame:
+    """``(ord, file)`` of files with a row that the changes replace or take out, from the places
+    ``(ord, pk, file)`` of rows."""
+    changed = changes.select("ord", pk).distinct()
+    known = places.filter(F.col(file).isNotNull())
+    return known.join(changed, ["ord", pk]).select("ord", F.col(file).alias("file")).distinct()
+
+
 def replace_into(replica: DataFrame, changes: DataFrame, pk: str) -> DataFrame:
     """One replica after its changes: changed keys taken out, rows to put added. Keys compare
     as in the changes, which carry the collation."""
@@ -370,10 +383,12 @@ def differ_outcome(plan: DataFrame) -> DataFrame:
 def differ_status_update(differ: DataFrame, outcome: DataFrame) -> DataFrame:
     """Differing keys with the outcomes written in, by id."""
     changes = outcome.select("id", "to_status", "to_type")
+    seen = ["files"] if "files" in differ.columns else []
     return differ.join(changes, "id", "left").select(
         "id",
         "table_name",
         "pk",
         F.coalesce("to_status", "status").alias("status"),
         F.coalesce("to_type", "differ_type").alias("differ_type"),
+        *seen,
     )

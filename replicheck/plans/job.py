@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass, field, replace
-from functools import partial
+from dataclasses import astuple, dataclass, field, replace
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,18 @@ from pyspark.sql import types as T
 
 from replicheck.operators import checksum, compare, keys, repair, validate
 from replicheck.plans.runlog import RunLog
-from replicheck.sources.readers import key_lookup_rows, read_replica, union_replicas
+from replicheck.sources.readers import (
+    FILE,
+    collate,
+    in_files,
+    located_rows,
+    read_files,
+    read_replica,
+    snapshots,
+    tag,
+    union_replicas,
+    with_file,
+)
 from replicheck.sources.store import AuditStore, Workspace, literal_rows
 from replicheck.spec import (
     ABORTED,
@@ -47,6 +58,14 @@ def _root(cfg: CheckConfig) -> str:
     return cfg.root
 
 
+#: Ranges that a check's chunks are committed in, at most, and keys of a range, at least, where
+#: the configuration does not say.
+RANGES, RANGE_KEYS = 64, 5_000_000
+
+#: Where the rows of a differing key were seen.
+SEEN = "array<struct<ord: int, snapshot: string, file: bigint>>"
+
+
 class TableRun:
     """One run of one table. Data stays in DataFrames; the driver sees counts and branches."""
 
@@ -55,11 +74,25 @@ class TableRun:
         self.cfg = cfg
         self.run_id = uuid.uuid4().hex
         root = self.root = _root(cfg)
-        self.store = AuditStore(spark, root, cfg.table)
+        self.store = AuditStore(spark, root, cfg.table, self.run_id)
         self.log = RunLog(spark, root)
         self.ws = Workspace(spark)
         self.counts: dict[str, int] = {}
 
+    def tidy(self) -> None:
+        """Delete what broken runs left. Only the table's owner may."""
+        self.store.sweep()
+        listed = self.store.read("manifest")
+        kept = {r["run_id"] for r in listed.select("run_id").distinct().collect()} if listed else set()
+        base = f"{self.root}/repaired/table_name={self.cfg.table}"
+        for name in self.store.log.files.names(base):
+            if name.removeprefix("run=") not in kept:
+                self.store.log.files.delete(f"{base}/{name}")
+
+    def leave(self) -> None:
+        self.store.log.leave()
+        self.ws.clear()
+
     # pre-flight
 
     def preflight(self) -> None:
@@ -85,7 +118,9 @@ class TableRun:
         if unknown:
             raise Refused(f"columns that the table lacks: {', '.join(unknown)}")
         stored = self.store.read("differ")
-        self.rows = keys.collate_key(union_replicas(found), cfg.pk, cfg.collation)
+        self.found = found
+        self.rows = collate(union_replicas(found), cfg.pk, cfg.collation)
+        self.snapshots = snapshots(spark, specs)
         if stored is not None and stored.schema["pk"] != T.StructField(
             "pk", self.rows.schema[cfg.pk].dataType
         ):
@@ -113,10 +148,11 @@ class TableRun:
 
     # check
 
-    def row_crcs(self, rows: DataFrame) -> DataFrame:
+    def row_crcs(self) -> DataFrame:
         cfg = self.cfg
+        rows = union_replicas([(s, with_file(df, s)) for s, df in self.found])
         return checksum.row_checksums(
-            rows,
+            collate(rows, cfg.pk, cfg.collation),
             cfg.pk,
             self.columns,
             self.nullable,
@@ -124,36 +160,20 @@ class TableRun:
             cfg.fraction_digits,
             cfg.algo,
             self.watched,
+            FILE,
         )
 
-    def key_table(self) -> DataFrame | None:
-        """All keys in chunks with their checksums; None where no replica has a row."""
-        cfg = self.cfg
-        matrix = self.ws.stage(
-            checksum.key_matrix(self.row_crcs(self.rows), cfg.pk, cfg.nodes), "matrix"
-        )
-        if matrix.isEmpty():
-            return None
-        ords = [o for o, _ in cfg.nodes]
-        if not validate.key_faults(matrix, cfg.pk, ords).isEmpty():
-            raise Refused(f"{cfg.pk} has NULLs or repeats within a replica")
-        unmarked = checksum.null_columns(matrix, self.watched)
-        if unmarked:
-            raise Refused(f"NULLs in columns not declared nullable: {', '.join(unmarked)}")
-        kept = matrix.drop(*[n for n in matrix.columns if n.startswith("nulls_")])
-        placed = self.store.overwrite("keys", keys.in_order(kept, [cfg.pk], cfg.parallel))
-        self._keep_fingerprint()
-        return keys.in_chunks(placed, cfg.chunk_size)
-
     def fingerprint(self) -> dict[str, str]:
         """What stored keys and checksums depend on, part by part."""
         cfg = self.cfg
+        specs = sorted(cfg.replicas, key=lambda s: s.ord)
         sources = [
             (s.ord, s.datanode, s.source, s.format, sorted(s.options.items()), s.reader is not None)
-            for s in sorted(cfg.replicas, key=lambda s: s.ord)
+            for s in specs
         ]
         parts = {
             "replicas": sources,
+            **{f"files of {s.datanode}": self.snapshots.get(s.ord) for s in specs},
             "key": (cfg.pk, cfg.collation),
             "columns": self.columns,
             "nullable columns": self.nullable,
@@ -164,86 +184,183 @@ class TableRun:
         }
         return {name: repr(value) for name, value in parts.items()}
 
-    def _keep_fingerprint(self) -> None:
-        rows = list(self.fingerprint().items())
-        self.store.overwrite(
-            "fingerprint", literal_rows(self.spark, rows, "part string, value string")
-        )
-
-    def _refuse_other_configuration(self) -> None:
+    def _refuse_other_configuration(self, known: dict[str, str]) -> None:
         """Stored checksums only serve the configuration that they were computed under."""
-        stored = self.store.read("fingerprint")
-        known = {r["part"]: r["value"] for r in stored.collect()} if stored is not None else {}
-        other = [k for k, v in self.fingerprint().items() if known.get(k) != v]
+        own = self.fingerprint()
+        other = [k for k in {**own, **known} if known.get(k) != own.get(k)]
         if other:
             raise Refused(f"the stored check was made with other {', '.join(other)}")
 
+    def _commit(self, step: str, parts=None, clear=(), **facts) -> None:
+        """Commit a step of the check at hand, with what is known of it."""
+        self.work = {**self.work, **facts}
+        done = {"check": self.work if self.work.get("fingerprint") else None}
+        self.store.commit(f"{self.work['id']}-{step}", parts, clear, done)
+
+    def scan(self) -> None:
+        """Read the replicas, once: every key's checksums. What this run keeps from here on is
+        under ``root``, so that a run that breaks off is resumed without reading them again."""
+        cfg = self.cfg
+        self.work = {"id": self.run_id}
+        self._commit("begin", clear=self.store.WORKING)
+        matrix = checksum.key_matrix(self.row_crcs(), cfg.pk, cfg.nodes)
+        self._commit("matrix", {"matrix": matrix}, fingerprint=self.fingerprint())
+
+    def order_keys(self) -> bool:
+        """Sort the stored keys into their chunks. False where no replica has a row."""
+        cfg = self.cfg
+        matrix = self.store.read("matrix").drop("table_name")
+        if matrix.isEmpty():
+            return False
+        ords = [o for o, _ in cfg.nodes]
+        faults = []
+        if not validate.key_faults(matrix, cfg.pk, ords).isEmpty():
+            faults.append(f"{cfg.pk} has NULLs or repeats within a replica")
+        if unmarked := checksum.null_columns(matrix, self.watched):
+            faults.append(f"NULLs in columns not declared nullable: {', '.join(unmarked)}")
+        if faults:
+            self._commit("end", clear=self.store.WORKING, fingerprint=None)
+            raise Refused("; ".join(faults))
+        kept = matrix.drop(*[n for n in matrix.columns if n.startswith("nulls_")])
+        placed = keys.in_order(kept, [cfg.pk], cfg.parallel)
+        first = keys.Segment(1, 1, cfg.chunk_size)
+        self._commit("keys", {"keys": placed}, clear=["matrix"], segments=[astuple(first)], stored=0)
+        return True
+
+    def open_keys(self) -> None:
+        """Find one's way in the stored keys."""
+        self.placed = self.store.read("keys").drop("table_name")
+        self.starts = self.ws.stage(keys.starts(self.placed), "starts")
+        listed = self.starts.collect()  # one row for each partition of the keys
+        self.bounds = [(r["part"], r["start"]) for r in listed]
+        self.total = sum(r["rows"] for r in listed)
+        self.segments = [keys.Segment(*s) for s in self.work["segments"]]
+
+    def keys_between(self, segment: keys.Segment, first: int, last: int) -> DataFrame:
+        """Keys of these numbers with their chunks, from the files that hold them alone."""
+        near = keys.in_span(self.placed, self.starts, self.bounds, first, last)
+        return near.withColumn("chunk", segment.chunk_of(F.col("rn")))
+
+    def ranges(self) -> list[tuple[int, int]]:
+        """The last segment's keys from the first chunk that is not stored on, in ranges of
+        whole chunks: numbers of their first and last keys."""
+        segment = self.segments[-1]
+        size = self.cfg.range_keys or max(RANGE_KEYS, -(-self.total // RANGES))
+        step = max(1, size // segment.size) * segment.size
+        stored = self.work["stored"]
+        first = segment.first_key(max(stored + 1, segment.chunk))
+        return [(k, min(k + step - 1, self.total)) for k in range(first, self.total + 1, step)]
+
+    def commit_range(self, first: int, last: int) -> None:
+        """Compute the chunks of a range and commit them by themselves."""
+        cfg, segment = self.cfg, self.segments[-1]
+        rows = checksum.chunk_checksum(
+            self.keys_between(segment, first, last), cfg.pk, cfg.nodes, cfg.table
+        )
+        self._commit(
+            f"chunks-{segment.number}-{first}",
+            {"chunk": rows.withColumn("segment", F.lit(segment.number))},
+            stored=segment.holding(last),
+        )
+
+    def chunks(self) -> DataFrame:
+        """Stored results of chunks, the last ones of a chunk that was computed again."""
+        ends = [*[s.chunk for s in self.segments[1:]], None]
+        valid = F.lit(False)
+        for segment, end in zip(self.segments, ends):
+            own = F.col("segment") == segment.number
+            valid = valid | (own if end is None else own & (F.col("chunk") < end))
+        return self.store.read("chunk").filter(valid).drop("segment")
+
     def check(self) -> int:
         """Record differing keys. Returns the run status, or 0 to go on to a repair."""
         cfg = self.cfg
         if cfg.run_mode == RESUME_CHECK:
-            placed = self.store.read("keys")
-            if placed is None or placed.isEmpty():
+            self.work = self.store.facts("check")
+            if not self.work:
                 return NO_KEYS
-            self._refuse_other_configuration()
-            chunked = keys.in_chunks(placed, cfg.chunk_size)
-            stored = self.store.read("chunk")
-            if stored is not None and not stored.isEmpty():
-                chunked, chunks = self._resume(chunked, stored)
-            else:
-                chunks = checksum.chunk_checksum(chunked, cfg.pk, cfg.nodes, cfg.table)
+            self._refuse_other_configuration(self.work["fingerprint"])
         else:
-            self.store.clear_working_tables()
-            chunked = self.key_table()
-            if chunked is None:
-                return EMPTY_TABLE
-            chunks = checksum.chunk_checksum(chunked, cfg.pk, cfg.nodes, cfg.table)
-        chunks = self.store.overwrite("chunk", chunks)
-        differing = self.store.overwrite(
-            "chunk_differ", compare.chunk_differ(chunks, len(cfg.nodes))
+            self.scan()
+        if "segments" not in self.work and not self.order_keys():
+            self._commit("end", clear=self.store.WORKING, fingerprint=None)
+            return EMPTY_TABLE
+        if cfg.run_mode == RESUME_CHECK:
+            self._cut_anew()
+        self.open_keys()
+        for first, last in self.ranges():
+            self.commit_range(first, last)
+        return self._conclude()
+
+    def _cut_anew(self) -> None:
+        """Count on from the last chunk that was stored, by the chunk size of this run."""
+        known = [keys.Segment(*s) for s in self.work["segments"]]
+        number = self.work.get("cuts", 1) + 1
+        cut = keys.segment_after(known, self.work["stored"], self.cfg.chunk_size, number)
+        self._commit(
+            f"cut-{number}",
+            segments=[astuple(s) for s in cut],
+            stored=cut[-1].chunk - 1,
+            cuts=number,
         )
+
+    def _conclude(self) -> int:
+        """From stored chunks to differing keys, recorded in one commit that ends the check."""
+        cfg = self.cfg
+        chunks = self.chunks()
+        compared = compare.chunk_compare(chunks, len(cfg.nodes))
+        differing = compare.chunk_differ(chunks, len(cfg.nodes))
+        self._commit(f"compared-{self.run_id}", {"chunk_differ": differing}, clear=["chunk_differ"])
+        differing = self.store.read("chunk_differ")
         if differing.isEmpty():
             last = chunks.agg(F.max("chunk")).first()[0]
             self.counts.update(chunks=last, differing_chunks=0, differing_keys=0)
-            self.store.clear_working_tables()
+            self._commit("end", clear=self.store.WORKING, fingerprint=None)
             return ENDED
+        chunked = reduce(
+            DataFrame.unionByName,
+            [self.keys_between(*s) for s in keys.segment_spans(self.segments, self.total)],
+        )
+        seen = F.array(
+            *[
+                F.struct(
+                    F.lit(o).cast("int").alias("ord"),
+                    F.lit(self.snapshots.get(o)).cast("string").alias("snapshot"),
+                    F.col(f"_file_{o}").alias("file"),
+                )
+                for o, _ in cfg.nodes
+            ]
+        )
         drilled = compare.drill_keys(chunked, differing)
-        found = self.ws.stage(compare.key_differ(drilled, cfg.pk, cfg.nodes), "found")
-        self._append_differences(found)
-        compared = compare.chunk_compare(chunks, len(cfg.nodes))
+        found = self.ws.stage(
+            compare.key_differ(drilled, cfg.pk, cfg.nodes, [seen.alias("files")]), "found"
+        )
         self.counts.update(compare.check_summary(compared, found).first().asDict())
-        self.store.clear_working_tables()
+        self._commit(
+            "end", {"differ": self._numbered(found)}, clear=self.store.WORKING, fingerprint=None
+        )
         return 0
 
-    def _resume(self, chunked: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Chunks from the last stored one on are computed again. All checksums are those that
-        the interrupted run had stored with its keys: no replica is read a second time."""
-        cfg = self.cfg
-        again = keys.chunk_resume(chunked, cfg.pk, stored, cfg.chunk_size)
-        new = checksum.chunk_checksum(again, cfg.pk, cfg.nodes, cfg.table)
-        chunks = self.ws.stage(checksum.chunk_upsert(stored, new), "chunk")
-        first = again.agg(F.min("chunk")).first()[0]
-        earlier = compare.chunk_differ(stored.filter(F.col("chunk") < first), len(cfg.nodes))
-        # Staged, as the stored chunks are about to be written over.
-        drilled = compare.drill_between(chunked, cfg.pk, self.ws.stage(earlier, "earlier"))
-        return again.unionByName(drilled), chunks
-
-    def _append_differences(self, found: DataFrame) -> None:
+    def _numbered(self, found: DataFrame) -> DataFrame:
         known = self.store.read("differ")
         last = known.agg(F.max("id")).first()[0] if known is not None else None
         cfg = self.cfg
-        numbered = compare.numbered_differ(
-            found, cfg.pk, cfg.table, self.ws, last or 0, cfg.parallel
+        return compare.numbered_differ(
+            found, cfg.pk, cfg.table, self.ws, last or 0, cfg.parallel, keep=["files"]
         )
-        self.store.append("differ", numbered)
 
     def add_pending(self, by_hand: DataFrame) -> None:
         """Keys put in by hand, in the key's column, for a repair without a check."""
-        keyed = keys.collate_key(by_hand.select(self.cfg.pk), self.cfg.pk, self.cfg.collation)
+        keyed = collate(by_hand.select(self.cfg.pk), self.cfg.pk, self.cfg.collation)
         if not keyed.filter(F.col(self.cfg.pk).isNull()).isEmpty():
             raise Refused(f"NULL as a pending {self.cfg.pk}")
-        unknown = F.lit(0).alias("differ_type")
-        self._append_differences(keyed.select(F.lit(0).alias("chunk"), self.cfg.pk, unknown))
+        by_hand = keyed.select(
+            F.lit(0).alias("chunk"),
+            self.cfg.pk,
+            F.lit(0).alias("differ_type"),
+            F.lit(None).cast(SEEN).alias("files"),
+        )
+        self.store.append("differ", self._numbered(by_hand), f"{self.run_id}-by-hand")
 
     # repair
 
@@ -267,7 +384,7 @@ class TableRun:
             return OVER_LIMIT
         if not count:
             return ENDED
-        found = self.ws.stage(key_lookup_rows(self.rows, pending, cfg.pk), "pending_rows")
+        found = self.ws.stage(self._lookup(pending), "pending_rows")
         if not validate.pending_key_faults(found, cfg.pk).isEmpty():
             raise Refused(f"{cfg.pk} has NULLs or repeats within a replica, among pending keys")
         held = repair.held_rows(
@@ -283,6 +400,12 @@ class TableRun:
         self.counts.update({f"status_{r['status']}": r["count"] for r in by_status})
         return ENDED
 
+    def _lookup(self, pending: DataFrame) -> DataFrame:
+        """Whole rows of the pending keys and their files."""
+        return located_rows(
+            self.spark, self.found, pending, self.cfg.pk, self.snapshots, self.cfg.collation
+        )
+
     def _refuse_bad_times(self, held: DataFrame) -> None:
         """All pending keys whose time does not read go to an audit table of their own."""
         bad = self.ws.stage(repair.bad_times(held, self.cfg.pk), "bad_times")
@@ -295,8 +418,10 @@ class TableRun:
     def _holders(self, held: DataFrame) -> DataFrame | None:
         if not self.unique_cols:
             return None
+        rows = union_replicas([(s, with_file(df, s)) for s, df in self.found])
+        rows = collate(rows, self.cfg.pk, self.cfg.collation)
         holders = self.ws.stage(
-            repair.tuple_holders(self.rows, held, self.cfg.pk, self.unique_cols), "holders"
+            repair.tuple_holders(rows, held, self.cfg.pk, self.unique_cols, [FILE]), "holders"
         )
         if not repair.unique_faults(holders).isEmpty():
             raise Refused(f"{', '.join(self.unique_cols)} repeats within a replica")
@@ -305,30 +430,69 @@ class TableRun:
     def _write_repair(
         self, found: DataFrame, plan: DataFrame, holders: DataFrame | None
     ) -> None:
-        """Backup first, then changes and new copies, the manifest and the outcomes last."""
+        """Changes and new copies lie in a folder of this run. They count, like the backup and
+        the outcomes, once one commit names them all: a run that breaks off before has done
+        nothing."""
         cfg = self.cfg
-        backup = repair.backup_rows(found, plan, cfg.pk, self.unique_cols)
+        rows = found.drop(FILE)
+        backup = repair.backup_rows(rows, plan, cfg.pk, self.unique_cols)
         shape = validate.backup_schema(self.rows.schema)
-        backup.select(*shape.names).write.mode("append").parquet(self.store.backup_path(shape))
         base = f"{self.root}/repaired/table_name={cfg.table}/run={self.run_id}"
-        made = repair.repair_changes(found, plan, cfg.pk, cfg.nodes, self.unique_cols, holders)
+        made = repair.repair_changes(rows, plan, cfg.pk, cfg.nodes, self.unique_cols, holders)
         made.write.mode("overwrite").parquet(f"{base}/changes")
         changes = self.spark.read.schema(made.schema).parquet(f"{base}/changes")
-        if cfg.write_replicas:
-            for ord, _ in cfg.nodes:
-                self.repaired(ord, changes).write.mode("overwrite").parquet(f"{base}/ord={ord}")
-        manifest = [
-            (self.run_id, cfg.table, ord, dn, f"{base}/ord={ord}" if cfg.write_replicas else None)
-            for ord, dn in cfg.nodes
-        ]
-        literal_rows(
+        paths = self._write_copies(base, found, holders, changes) if cfg.write_replicas else {}
+        manifest = literal_rows(
             self.spark,
-            manifest,
-            "run_id string, table_name string, ord int, datanode string, path string",
-        ).withColumn("changes", F.lit(f"{base}/changes")).write.mode("append").parquet(
-            f"{self.root}/manifest"
+            [(self.run_id, ord, dn, paths.get(ord), f"{base}/changes") for ord, dn in cfg.nodes],
+            "run_id string, ord int, datanode string, path string, changes string",
+        )
+        now = snapshots(self.spark, cfg.replicas)
+        other = [dn for ord, dn in cfg.nodes if now.get(ord) != self.snapshots.get(ord)]
+        if other:
+            raise Refused(f"written anew during the run: {', '.join(other)}")
+        self.store.commit(
+            f"{self.run_id}-repair",
+            {
+                self.store.backup_name(shape): backup.select(*shape.names),
+                "outcome": repair.differ_outcome(plan),
+                "manifest": manifest,
+            },
         )
-        self.store.append("outcome", repair.differ_outcome(plan))
+
+    def _write_copies(
+        self, base: str, found: DataFrame, holders: DataFrame | None, changes: DataFrame
+    ) -> dict[int, str]:
+        """New copies, each at its path. Of a copy that lies in files, only those are written
+        anew that hold a changed key; its path lists the others."""
+        cfg, by_file = self.cfg, [(s, df) for s, df in self.found if in_files(s)]
+        paths = {}
+        for spec, _ in self.found:
+            if not in_files(spec):
+                paths[spec.ord] = f"{base}/ord={spec.ord}"
+                self.repaired(spec.ord, changes).write.mode("overwrite").parquet(paths[spec.ord])
+        if not by_file:
+            return paths
+        places = found.select("ord", F.col(cfg.pk), FILE)
+        if holders is not None:
+            places = places.unionByName(holders.select("ord", F.col(cfg.pk), FILE))
+        listed = repair.changed_files(places, changes, cfg.pk, FILE).collect()
+        touched = {ord: set() for ord, _ in cfg.nodes}
+        for r in listed:  # names of files, as few as the copies have
+            touched[r["ord"]].add(r["file"])
+        new, kept = [], []
+        for spec, df in by_file:
+            part = read_files(self.spark, spec, df.schema, sorted(touched[spec.ord]))
+            own = changes.filter(F.col("ord") == spec.ord)
+            new.append(tag(repair.replace_into(part, own, cfg.pk), spec).drop("datanode"))
+            kept += [(spec.ord, f) for f in df.inputFiles() if f not in touched[spec.ord]]
+            paths[spec.ord] = f"{base}/files"
+        written = reduce(DataFrame.unionByName, new)
+        written.write.mode("overwrite").partitionBy("ord").parquet(f"{base}/files/new")
+        listing = self.spark.createDataFrame(kept, "ord int, file string")
+        listing.write.mode("overwrite").parquet(f"{base}/files/kept")
+        self.counts["files_rewritten"] = sum(map(len, touched.values()))
+        return paths
 
     def repaired(self, ord: int, changes: DataFrame) -> DataFrame:
         """A replica after the run's changes."""
@@ -338,14 +502,17 @@ class TableRun:
 
 def run(spark: SparkSession, cfg: CheckConfig) -> RunResult:
     """One table in its run mode. ``Refused`` is raised before anything is recorded, or, where
-    the data itself forbids it, after the run is marked as failed."""
+    the data itself forbids it, after the run is marked as failed. While another run works on
+    the table, ``InUse`` is."""
     job = TableRun(spark, cfg)
     job.preflight()
-    job.log.start(job.run_id, cfg.table, cfg.run_mode)
+    job.store.log.take(cfg.take_over)
     try:
+        job.tidy()
+        job.log.start(job.run_id, cfg.table, cfg.run_mode)
         return _logged(job)
     finally:
-        job.ws.clear()
+        job.leave()
 
 
 def _logged(job: TableRun) -> RunResult:
@@ -371,10 +538,11 @@ def add_pending(spark: SparkSession, cfg: CheckConfig, by_hand: DataFrame) -> No
     """Put keys in for a repair without a check. NULL keys are refused."""
     job = TableRun(spark, cfg)
     job.preflight()
+    job.store.log.take(cfg.take_over)
     try:
         job.add_pending(by_hand)
     finally:
-        job.ws.clear()
+        job.leave()
 
 
 def run_tables(spark: SparkSession, cfgs: Iterable[CheckConfig]) -> list[RunResult]:
@@ -391,15 +559,30 @@ def run_tables(spark: SparkSession, cfgs: Iterable[CheckConfig]) -> list[RunResu
 def repaired_specs(spark: SparkSession, cfg: CheckConfig, run_id: str) -> tuple[ReplicaSpec, ...]:
     """The replicas of ``cfg`` after its run's repair, as the manifest lists them: written anew,
     or the run's own copies with its change set applied on read."""
-    root = _root(cfg)
-    listed = spark.read.parquet(f"{root}/manifest").filter(F.col("run_id") == run_id)
-    written = {r["ord"]: r for r in listed.collect()}
-    return tuple(
-        ReplicaSpec(spec.ord, spec.datanode, entry["path"])
-        if entry["path"]
-        else replace(spec, reader=partial(_changed, spec, cfg.pk, entry["changes"]))
-        for spec, entry in ((s, written[s.ord]) for s in cfg.replicas)
-    )
+    manifest = AuditStore(spark, _root(cfg), cfg.table).read("manifest")
+    if manifest is None:
+        raise Refused(f"no repair of {cfg.table} is recorded")
+    written = {r["ord"]: r for r in manifest.filter(F.col("run_id") == run_id).collect()}
+    specs = []
+    for spec in cfg.replicas:
+        path, changes = written[spec.ord]["path"], written[spec.ord]["changes"]
+        if path is None:
+            specs.append(replace(spec, reader=partial(_changed, spec, cfg.pk, changes)))
+        elif in_files(spec):
+            specs.append(replace(spec, reader=partial(_files_and_new, spec, path)))
+        else:
+            specs.append(ReplicaSpec(spec.ord, spec.datanode, path))
+    return tuple(specs)
+
+
+def _files_and_new(spec: ReplicaSpec, path: str, spark: SparkSession) -> DataFrame:
+    """A copy from the files that its repair left as they were and those it wrote anew."""
+    schema = read_replica(spark, spec).schema
+    listed = spark.read.parquet(f"{path}/kept").filter(F.col("ord") == spec.ord)
+    kept = read_files(spark, spec, schema, [r["file"] for r in listed.collect()])
+    tagged = T.StructType([*schema.fields, T.StructField("ord", T.IntegerType())])
+    new = spark.read.schema(tagged).parquet(f"{path}/new").filter(F.col("ord") == spec.ord)
+    return kept.unionByName(new.drop("ord"))
 
 
 def _changed(spec: ReplicaSpec, pk: str, path: str, spark: SparkSession) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,11 @@ from replicheck.spec import ReplicaSpec
 # whatever the number of keys. Beyond about as many keys it lets every row through.
 BITS = 1 << 25
 
+# Formats whose rows know the file they come from.
+FILE_FORMATS = ("parquet", "orc", "csv", "json")
+# The column that names it; names of a table's own columns do not begin like this.
+FILE = "_file"
+
 
 def read_replica(spark: SparkSession, spec: ReplicaSpec) -> DataFrame:
     """One copy as it is stored, with its own columns only."""
@@ -26,6 +32,49 @@ def read_replica(spark: SparkSession, spec: ReplicaSpec) -> DataFrame:
     return reader.load(spec.source) if spec.source else reader.load()
 
 
+def in_files(spec: ReplicaSpec) -> bool:
+    return spec.reader is None and spec.format in FILE_FORMATS and spec.source is not None
+
+
+def with_file(df: DataFrame, spec: ReplicaSpec) -> DataFrame:
+    """A copy with the file each row lies in, NULL where that is not known."""
+    file = F.col("_metadata.file_path") if in_files(spec) else F.lit(None).cast("string")
+    return df.withColumn(FILE, file)
+
+
+def read_files(
+    spark: SparkSession, spec: ReplicaSpec, schema: T.StructType, files: Iterable[str]
+) -> DataFrame:
+    """Rows of some files of a copy, as ``with_file`` or ``inputFiles`` name them."""
+    paths = [unquote(f) for f in files]
+    reader = spark.read.format(spec.format).options(**spec.options).schema(schema)
+    folder = unquote(spec.source).rstrip("/").rpartition("/")[2]
+    if any(p.split("/")[-2] != folder and p.split("/")[-1] != folder for p in paths):
+        reader = reader.option("basePath", spec.source)  # folders below name columns
+    if not paths:
+        return reader.load(spec.source).filter(F.lit(False))
+    return reader.load(paths)
+
+
+def snapshots(spark: SparkSession, specs: Sequence[ReplicaSpec]) -> dict[int, str]:
+    """What identifies the stored state of each copy by its ``ord``: the number of its files, and
+    a digest of their paths, sizes and times. Copies that lie in no files have none."""
+    found = []
+    for spec in specs:
+        files = [unquote(f) for f in read_replica(spark, spec).inputFiles()]
+        if files:
+            listed = spark.read.format("binaryFile").load(files)
+            digest = F.hex(F.bit_xor(F.xxhash64("path", "length", "modificationTime")))
+            found.append(
+                listed.agg(
+                    F.lit(spec.ord).alias("ord"),
+                    F.concat_ws(":", F.count("*"), F.sum("length"), digest).alias("snapshot"),
+                )
+            )
+    rows = reduce(DataFrame.unionByName, found).collect() if found else []
+    return {r["ord"]: r["snapshot"] for r in rows}
+
+
 def jdbc_replica(
     ord: int,
     datanode: str,
@@ -90,6 +139,56 @@ def key_lookup_rows(rows: DataFrame, pending: DataFrame, pk: str) -> DataFrame:
     return likely.join(keys.distinct(), pk).select(*rows.columns)
 
 
+def located_rows(
+    spark: SparkSession,
+    copies: Sequence[tuple[ReplicaSpec, DataFrame]],
+    pending: DataFrame,
+    pk: str,
+    current: dict[int, str],
+    collation: str | None = None,
+) -> DataFrame:
+    """The same rows with their files, for pending keys that carry in ``files`` where a check
+    saw them, as ``(ord, snapshot, file)``.
+
+    A key is looked up in its own files while every copy still is what the check saw; copies
+    that hold it in no file are not read for it. Other keys are looked up by a scan.
+    """
+    everything = collate(union_replicas([(s, with_file(df, s)) for s, df in copies]), pk, collation)
+    if any(not in_files(s) or s.ord not in current for s, _ in copies):
+        return key_lookup_rows(everything, pending, pk)
+    identity = [F.struct(F.lit(s.ord).alias("ord"), F.lit(current[s.ord]).alias("snapshot")) for s, _ in copies]
+    seen = F.transform("files", lambda f: F.struct(f["ord"].alias("ord"), f["snapshot"].alias("snapshot")))
+    known = F.coalesce(F.size(F.array_except(F.array(*identity), seen)) == 0, F.lit(False))
+    split = pending.select(pk, "files", known.alias("known"))
+    listed = (
+        split.filter("known")
+        .select(F.inline("files"))
+        .filter("file is not null")
+        .select("ord", "file")
+        .distinct()
+    )
+    hashes = {(r["ord"], r["file"]) for r in listed.collect()}
+    parts = []
+    rest = split.filter(~F.col("known"))
+    if not rest.isEmpty():
+        parts.append(key_lookup_rows(everything, rest, pk))
+    if hashes:
+        near = []
+        for spec, df in copies:
+            named = spark.createDataFrame([(f,) for f in df.inputFiles()], "file string")
+            hashed = named.select("file", F.xxhash64("file").alias("hash")).collect()
+            files = [r["file"] for r in hashed if (spec.ord, r["hash"]) in hashes]
+            near.append((spec, with_file(read_files(spark, spec, df.schema, files), spec)))
+        rows = collate(union_replicas(near), pk, collation)
+        parts.append(key_lookup_rows(rows, split.filter("known"), pk))
+    return reduce(DataFrame.unionByName, parts) if parts else everything.filter(F.lit(False))
+
+
+def collate(rows: DataFrame, pk: str, collation: str | None) -> DataFrame:
+    """Let a string key compare, sort and group by ``collation``."""
+    return rows.withColumn(pk, F.collate(pk, collation)) if collation else rows
+
+
 def likely_rows(rows: DataFrame, keys: DataFrame, pk: str) -> DataFrame:
     """Rows whose key may be among ``keys``: all that are, and few others while there are far
     fewer keys than ``BITS``. Keys under a collation are not told apart by their bytes: all rows."""

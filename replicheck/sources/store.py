@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import cache
 
 from pyspark.errors import AnalysisException
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from replicheck.sources.commits import CommitLog
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, as ``spark.checkpoint.dir`` names it."""
@@ -83,46 +86,89 @@ def truncate(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 
 class AuditStore:
-    """Audit tables of checked tables below ``root``.
+    """Audit tables of one checked table below ``root``, as the log of commits has them.
 
-    ``keys``, ``chunk`` and ``chunk_differ`` live during a check and are emptied after it.
-    ``differ`` and its ``outcome`` are append-only: a status is updated by appending the outcome
-    and joining it in on read. ``backup`` holds rows as they were before their repair.
+    ``matrix``, ``keys``, ``chunk`` and ``chunk_differ`` live during a check and are emptied
+    after it. ``differ`` and its ``outcome`` only grow: a status is updated by appending the
+    outcome and joining it in on read. ``backup`` holds rows as they were before their repair.
     """
 
-    WORKING = ("keys", "chunk", "chunk_differ")
+    WORKING = ("matrix", "keys", "chunk", "chunk_differ")
 
-    def __init__(self, spark: SparkSession, root: str, table: str):
+    def __init__(self, spark: SparkSession, root: str, table: str, owner: str | None = None):
         self.spark = spark
         self.root = root
         self.table = table
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}/table_name={self.table}"
+        self.log = CommitLog(spark, root, table, owner)
+
+    def folder(self, name: str, transaction: str) -> str:
+        return f"{self.root}/{name}/table_name={self.table}/part={transaction}"
+
+    def write(self, name: str, df: DataFrame, transaction: str) -> tuple[str, dict]:
+        """Write a part. It counts once it is committed."""
+        kept, folder = df.drop("table_name"), self.folder(name, transaction)
+        kept.write.mode("overwrite").parquet(folder)
+        return folder, json.loads(kept.schema.json())
+
+    def commit(
+        self,
+        transaction: str,
+        parts: Mapping[str, DataFrame] | None = None,
+        clear: Sequence[str] = (),
+        facts: Mapping[str, object] | None = None,
+    ) -> None:
+        """Write parts and commit them together; parts that are live no more are deleted. A
+        transaction that was committed before changes nothing."""
+        if transaction in self.log.state().done:
+            return
+        added = {name: self.write(name, df, transaction) for name, df in (parts or {}).items()}
+        for folder in self.log.commit(transaction, added, clear, facts) or ():
+            self.log.files.delete(folder)
 
     def overwrite(self, name: str, df: DataFrame) -> DataFrame:
-        kept = df.drop("table_name")
-        kept.write.mode("overwrite").parquet(self.path(name))
-        return self.read(name, kept.schema)
+        self.commit(uuid.uuid4().hex, {name: df}, clear=[name])
+        return self.read(name)
 
-    def append(self, name: str, df: DataFrame) -> None:
-        df.drop("table_name").write.mode("append").parquet(self.path(name))
+    def append(self, name: str, df: DataFrame, transaction: str | None = None) -> None:
+        """Append rows; the same transaction appends only once."""
+        self.commit(transaction or uuid.uuid4().hex, {name: df})
 
-    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame | None:
-        df = read_or_none(self.spark, self.path(name), schema)
-        return df.withColumn("table_name", F.lit(self.table)) if df is not None else None
+    def read(self, name: str) -> DataFrame | None:
+        """Rows of all committed parts; None where none was ever committed."""
+        state = self.log.state()
+        if name not in state.schemas:
+            return None
+        schema = T.StructType.fromJson(state.schemas[name])
+        folders = state.parts[name]
+        if folders:
+            df = self.spark.read.schema(schema).parquet(*folders)
+        else:
+            df = literal_rows(self.spark, [], schema)
+        return df.withColumn("table_name", F.lit(self.table))
 
-    def clear_working_tables(self, names: Sequence[str] = WORKING) -> None:
-        for name in names:
-            df = self.read(name)
-            if df is not None:
-                truncate(self.spark, self.path(name), df.drop("table_name").schema)
+    def facts(self, name: str):
+        return self.log.state().facts.get(name)
 
-    def backup_path(self, schema: T.StructType) -> str:
-        """Folder for backups of this shape. Another shape gets another folder, so that
+    def clear_working_tables(self, names: Sequence[str] = WORKING) -> None:
+        self.commit(uuid.uuid4().hex, clear=names)
+
+    def sweep(self) -> None:
+        """Delete parts that no commit names: what runs that broke off have left. Only the
+        table's owner may do it."""
+        state = self.log.state()
+        files = self.log.files
+        for name in files.names(self.root):
+            base = f"{self.root}/{name}/table_name={self.table}"
+            live = {f.rpartition("/")[2] for f in state.parts.get(name, ())}
+            for part in files.names(base):
+                if part.startswith("part=") and part not in live:
+                    files.delete(f"{base}/{part}")
+
+    def backup_name(self, schema: T.StructType) -> str:
+        """The audit table for backups of this shape. Another shape gets another one, so that
         earlier backups stay as they are."""
-        shape = uuid.uuid5(uuid.NAMESPACE_OID, schema.simpleString()).hex[:12]
-        return f"{self.path('backup')}/shape={shape}"
+        return f"backup-{uuid.uuid5(uuid.NAMESPACE_OID, schema.simpleString()).hex[:12]}"
 
     def backups(self, schema: T.StructType) -> DataFrame | None:
-        return read_or_none(self.spark, self.backup_path(schema), schema)
+        df = self.read(self.backup_name(schema))
+        return None if df is None else df.drop("table_name")

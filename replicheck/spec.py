@@ -21,6 +21,10 @@ class Refused(ValueError):
     """The table cannot be compared or repaired as configured; nothing was changed."""
 
 
+class InUse(Refused):
+    """Another run works on the table."""
+
+
 @dataclass(frozen=True)
 class ReplicaSpec:
     """One copy of the table. ``ord`` is its place in the declared order, which decides
@@ -61,6 +65,8 @@ class CheckConfig:
     root: str = ""  # a lasting folder for audit tables and backups; a job refuses none
     run_mode: int = CHECK_AND_REPAIR
     chunk_size: int = 1000
+    range_keys: int = 0  # keys of a range whose chunks are committed; 0 makes ranges by itself
+    take_over: bool = False  # end the run that owns the audit tables, if one does
     parallel: int = 0  # partitions of the key ordering; 0 leaves the number to Spark
     auto_repair_size: int = 1000  # most keys repaired without asking; 0 sets no limit
     time_column: str | None = None
@@ -80,6 +86,7 @@ class CheckConfig:
             (len(self.replicas) >= 1, "at least one replica is needed"),
             (self.run_mode in (0, 1, 2, 3), f"run_mode {self.run_mode} is not one of 0, 1, 2, 3"),
             (self.chunk_size >= 1, "chunk_size must be at least 1"),
+            (self.range_keys >= 0, "range_keys must not be negative"),
             (self.parallel >= 0, "parallel must not be negative"),
             (self.auto_repair_size >= 0, "auto_repair_size must not be negative"),
             (self.time_format in ("str", "int"), "time_format must be 'str' or 'int'"),

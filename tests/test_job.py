@@ -117,11 +117,15 @@ def test_resume_needs_keys(spark, root):
 
 def interrupt(spark, cfg, keep):
     """The state a check leaves that broke off once ``keep`` of its chunks were stored."""
-    part = job.TableRun(spark, cfg)
+    part = job.TableRun(spark, replace(cfg, range_keys=cfg.chunk_size))
     part.preflight()
-    chunked = part.key_table()
-    chunks = job.checksum.chunk_checksum(chunked, "id", cfg.nodes, "orders")
-    part.store.overwrite("chunk", chunks.filter(F.col("chunk") <= keep))
+    part.store.log.take()
+    part.scan()
+    part.order_keys()
+    part.open_keys()
+    for first, last in part.ranges()[:keep]:
+        part.commit_range(first, last)
+    part.leave()
     return part
 
 
@@ -147,10 +151,17 @@ def test_resume_finds_what_a_full_check_finds(spark, root, whole, stored):
 
 def test_resume_twice_with_other_chunk_sizes(spark, root, whole):
     cfg = drift.orders_config(SF, root=root, run_mode=3)
-    part = interrupt(spark, replace(cfg, run_mode=1), 4)
-    chunked = job.keys.in_chunks(part.store.read("keys"), 30)
-    _, chunks = part._resume(chunked.drop("table_name"), part.store.read("chunk"))
-    part.store.overwrite("chunk", chunks.filter(F.col("chunk") <= 9))
+    interrupt(spark, replace(cfg, run_mode=1), 4)
+    part = job.TableRun(spark, replace(cfg, chunk_size=30, range_keys=60))
+    part.preflight()
+    part.store.log.take()
+    part.work = part.store.facts("check")
+    part._cut_anew()
+    part.open_keys()
+    for first, last in part.ranges()[:3]:
+        part.commit_range(first, last)
+    part.leave()
+    assert part.chunks().agg(F.max("chunk")).first()[0] == 9
     assert run(spark, replace(cfg, chunk_size=70)).status == 1
     assert differing(spark, root) == whole
 
@@ -158,9 +169,7 @@ def test_resume_twice_with_other_chunk_sizes(spark, root, whole):
 def test_keys_put_in_by_hand(spark, root):
     cfg = small(spark, root, run_mode=2)
     assert run(spark, cfg).status == 1
-    by_hand = job.TableRun(spark, cfg)
-    by_hand.preflight()
-    by_hand.add_pending(spark.createDataFrame([(2,), (9,)], "k int"))
+    add_pending(spark, cfg, spark.createDataFrame([(2,), (9,)], "k int"))
     result = run(spark, cfg)
     assert (result.counts["status_1"], result.counts["status_2"]) == (1, 1)
     copies = job.repaired_specs(spark, cfg, result.run_id)
@@ -215,7 +224,9 @@ def test_bad_time_is_refused_before_any_write(spark, root):
     base = dict(root=root, time_column="t", run_mode=0)
     first = [(1, "a", good), (2, "b", None)]
     cfg = config(spark, schema, first, [(1, "a", good), (2, "c", good)], **base)
-    refused(spark, cfg, "2")
+    refused(spark, cfg, "time of 1 pending keys")
+    (listed,) = spark.read.parquet(f"{root}/bad_time/table_name=t").select("ord", "k").collect()
+    assert tuple(listed) == (1, 2)
     assert AuditStore(spark, root, "t").read("outcome") is None
     refused(spark, config(spark, schema, [(1, "a", day)], [(1, "b", day)], **base), "read as")
 
@@ -261,6 +272,7 @@ def test_working_tables_are_empty_afterwards(spark, root):
     run(spark, small(spark, root))
     store = AuditStore(spark, root, "t")
     assert all(store.read(name).isEmpty() for name in store.WORKING)
+    assert not any(store.log.files.names(f"{root}/{name}/table_name=t") for name in store.WORKING)
 
 
 def test_repair_again_changes_nothing(spark, root):
@@ -365,14 +377,12 @@ def test_repeated_pending_keys_are_refused(spark, root):
         run(spark, cfg)
     with pytest.raises(Refused, match="NULL"):
         add_pending(spark, cfg, spark.createDataFrame([(None,)], "k int"))
-    assert not (Path(root) / "backup").exists()
+    assert not list(Path(root).glob("backup*"))
 
 
 def test_resume_refuses_another_configuration(spark, root):
     cfg = drift.orders_config(SF, root=root, run_mode=1)
-    part = job.TableRun(spark, cfg)
-    part.preflight()
-    part.key_table()
+    interrupt(spark, cfg, 0)
     for change in ({"exclude_columns": ("upd", "st")}, {"replicas": cfg.replicas[:2]}):
         with pytest.raises(Refused, match="other"):
             run(spark, replace(cfg, run_mode=3, **change))
