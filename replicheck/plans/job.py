@@ -16,6 +16,7 @@ from replicheck.plans.runlog import RunLog
 from replicheck.sources.readers import (
     FILE,
     collate,
+    files_of,
     in_files,
     located_rows,
     read_files,
@@ -485,7 +486,7 @@ class TableRun:
             part = read_files(self.spark, spec, df.schema, sorted(touched[spec.ord]))
             own = changes.filter(F.col("ord") == spec.ord)
             new.append(tag(repair.replace_into(part, own, cfg.pk), spec).drop("datanode"))
-            kept += [(spec.ord, f) for f in df.inputFiles() if f not in touched[spec.ord]]
+            kept += [(spec.ord, f) for f in files_of(df) if f not in touched[spec.ord]]
             paths[spec.ord] = f"{base}/files"
         written = reduce(DataFrame.unionByName, new)
         written.write.mode("overwrite").partitionBy("ord").parquet(f"{base}/files/new")

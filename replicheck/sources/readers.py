@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 from urllib.parse import unquote
@@ -42,13 +43,18 @@ def with_file(df: DataFrame, spec: ReplicaSpec) -> DataFrame:
     return df.withColumn(FILE, file)
 
 
+def files_of(df: DataFrame) -> list[str]:
+    """The files a copy lies in, spelled as ``with_file`` does."""
+    return [re.sub("^([^:/]+):///", r"\1:/", f) for f in df.inputFiles()]
+
+
 def read_files(
     spark: SparkSession, spec: ReplicaSpec, schema: T.StructType, files: Iterable[str]
 ) -> DataFrame:
-    """Rows of some files of a copy, as ``with_file`` or ``inputFiles`` name them."""
+    """Rows of some files of a copy, as ``with_file`` names them."""
     paths = [unquote(f) for f in files]
     reader = spark.read.format(spec.format).options(**spec.options).schema(schema)
-    folder = unquote(spec.source).rstrip("/").rpartition("/")[2]
+    folder = spec.source.rstrip("/").rpartition("/")[2]
     if any(p.split("/")[-2] != folder and p.split("/")[-1] != folder for p in paths):
         reader = reader.option("basePath", spec.source)  # folders below name columns
     if not paths:
@@ -61,7 +67,7 @@ def snapshots(spark: SparkSession, specs: Sequence[ReplicaSpec]) -> dict[int, st
     a digest of their paths, sizes and times. Copies that lie in no files have none."""
     found = []
     for spec in specs:
-        files = [unquote(f) for f in read_replica(spark, spec).inputFiles()]
+        files = [unquote(f) for f in files_of(read_replica(spark, spec))]
         if files:
             listed = spark.read.format("binaryFile").load(files)
             digest = F.hex(F.bit_xor(F.xxhash64("path", "length", "modificationTime")))
@@ -175,7 +181,7 @@ def located_rows(
     if hashes:
         near = []
         for spec, df in copies:
-            named = spark.createDataFrame([(f,) for f in df.inputFiles()], "file string")
+            named = spark.createDataFrame([(f,) for f in files_of(df)], "file string")
             hashed = named.select("file", F.xxhash64("file").alias("hash")).collect()
             files = [r["file"] for r in hashed if (spec.ord, r["hash"]) in hashes]
             near.append((spec, with_file(read_files(spark, spec, df.schema, files), spec)))
