@@ -195,6 +195,120 @@ def _moved(before: DataFrame, after: DataFrame) -> DataFrame:
     return after.join(was, "differ_id").filter(~same)
 
 
+def _links(entries: DataFrame, held: DataFrame, pk: str, unique_cols: Sequence[str]) -> DataFrame:
+    """Each key that earlier entries of other keys may take rows from: ``(pk, before, alone,
+    shared)`` with one of those keys, whether it is the only one and both are pending once, and
+    the tuples both hold. A tuple has no more holders than there are replicas."""
+    full = held.filter(_full(F.col("uk"), unique_cols)).select(pk, "uk").distinct()
+    ids = entries.groupBy(pk).agg(
+        F.min("differ_id").alias("first"), F.max("differ_id").alias("last"), F.count("*").alias("n")
+    )
+    mine = full.join(ids, pk)
+    theirs = mine.select(
+        "uk",
+        F.col(pk).alias("before"),
+        F.col("first").alias("before_first"),
+        F.col("n").alias("before_n"),
+    )
+    return (
+        mine.join(theirs, "uk")
+        .filter((F.col("before") != F.col(pk)) & (F.col("before_first") < F.col("last")))
+        .groupBy(pk)
+        .agg(
+            F.min("before").alias("before"),
+            (
+                (F.min("before") == F.max("before")) & (F.max("n") == 1) & (F.max("before_n") == 1)
+            ).alias("alone"),
+            F.collect_set("uk").alias("shared"),
+        )
+    )
+
+
+def _put(out: Column, unique_cols: Sequence[str]) -> Column:
+    """The unique tuple that an outcome puts on all replicas, NULL where none can be in the way."""
+    return F.when(out["winner"].isNotNull() & _full(out["uk"], unique_cols), out["uk"])
+
+
+def _given(base: Column, cases: Column, put: Column) -> Column:
+    """A key's outcome once the key before it has put a tuple."""
+    return F.coalesce(F.get(F.filter(cases, lambda c: c["put"] == put), F.lit(0))["out"], base)
+
+
+def _chains(
+    entries: DataFrame, held: DataFrame, links: DataFrame, pk: str, unique_cols: Sequence[str], ws: Workspace
+) -> DataFrame:
+    """Keys that depend on one other key alone, as functions of what a key further ahead puts,
+    which itself is no such key: ``(differ_id, pk, before, base, cases)``.
+
+    Such keys form chains. At first each is a function of the key before it: ``base`` if that
+    one puts no shared tuple, else the case of the tuple. Then, round by round, each is combined
+    with the one it depends on, which doubles the distance: a chain of n keys takes log2(n)
+    rounds, not n.
+    """
+    alone = links.filter("alone").select(pk, "before", "shared")
+    puts = alone.select(
+        pk, F.explode(F.concat(F.array(F.lit(None).cast(held.schema["uk"].dataType)), "shared")).alias("put")
+    )
+    evicted = F.coalesce(F.col("uk") == F.col("put"), F.lit(False))
+    seen = held.join(puts, pk).select(
+        pk, "put", *[F.when(~evicted, F.col(c)).alias(c) for c in ("ord", "t", "uk")]
+    )
+    out = F.struct(
+        "status", F.when(F.col("status") == REPAIRED, F.col("winner")).alias("winner"), "uk"
+    )
+    functions = (
+        _facts(seen, [pk, "put"])
+        .select(pk, "put", out.alias("out"))
+        .groupBy(pk)
+        .agg(
+            F.max(F.when(F.col("put").isNull(), F.col("out"))).alias("base"),
+            F.collect_list(F.when(F.col("put").isNotNull(), F.struct("put", "out"))).alias("cases"),
+        )
+    )
+    nodes = alone.select(F.col(pk).alias("before"), F.lit(True).alias("open"))
+    step = ws.stage(
+        entries.join(functions, pk)
+        .join(alone.drop("shared"), pk)
+        .join(nodes, "before", "left")
+        .select("differ_id", pk, "before", "base", "cases", F.coalesce("open", F.lit(False)).alias("open")),
+        "chain",
+    )
+    while not step.filter("open").isEmpty():
+        ahead = step.select(
+            F.col(pk).alias("before"),
+            F.col("before").alias("further"),
+            F.col("base").alias("ahead_base"),
+            F.col("cases").alias("ahead_cases"),
+            F.col("open").alias("ahead_open"),
+        )
+
+        def after(out: Column) -> Column:
+            return _given(F.col("base"), F.col("cases"), _put(out, unique_cols))
+
+        combined = step.filter("open").join(ahead, "before").select(
+            "differ_id",
+            pk,
+            F.col("further").alias("before"),
+            after(F.col("ahead_base")).alias("base"),
+            F.transform(
+                "ahead_cases", lambda c: F.struct(c["put"].alias("put"), after(c["out"]).alias("out"))
+            ).alias("cases"),
+            F.col("ahead_open").alias("open"),
+        )
+        step = ws.stage(step.filter("NOT open").unionByName(combined), "chain")
+    return step.drop("open")
+
+
+def _along(chains: DataFrame, plan: DataFrame, pk: str, unique_cols: Sequence[str]) -> DataFrame:
+    """Outcomes of keys in chains, given those of the keys that the chains depend on."""
+    ahead = plan.select(F.col(pk).alias("before"), F.struct("status", "winner", "uk").alias("ahead"))
+    put = _put(F.col("ahead"), unique_cols)
+    out = _given(F.col("base"), F.col("cases"), put)
+    return chains.join(ahead, "before").select("differ_id", pk, out.alias("out")).select(
+        "differ_id", pk, "out.status", "out.winner", "out.uk"
+    )
+
+
 def repair_outcomes(
     pending: DataFrame,
     held: DataFrame,
@@ -207,10 +321,12 @@ def repair_outcomes(
     after the other; ``winner`` is the replica whose row is put on all, ``uk`` its tuple.
 
     Putting a row on a replica also removes another key's row with the same unique tuple. A
-    later entry of that key then sees less. So, where pending keys share tuples, outcomes are
-    computed again from the owners of tuples they imply until they stay the same. An entry
-    depends on entries with smaller ids alone: each round settles at least the next entry of
-    every chain, and what no longer changes is the one-after-the-other result.
+    later entry of that key then sees less. Keys that no earlier entry can touch have their
+    outcomes by themselves, keys that only one can touch follow along chains (``_chains``). What
+    several earlier entries can touch is computed again from the owners of tuples that all
+    outcomes imply, until it stays the same. An entry depends on entries with smaller ids alone:
+    each round settles at least the next of those entries on every way through them, and what no
+    longer changes is the one-after-the-other result.
     """
     entries = pending.select("differ_id", pk)
     if not unique_cols:
@@ -221,15 +337,26 @@ def repair_outcomes(
     free = entries.join(contested, pk, "left_anti")
     tied = ws.stage(entries.join(contested, pk, "left_semi"), "tied")
     tied_held = ws.stage(held.join(contested, pk, "left_semi"), "tied_held")
-    plan = ws.stage(_tied_outcomes(tied, tied_held, pk, replicas, None), "round")
+    links = ws.stage(_links(tied, tied_held, pk, unique_cols), "links")
+    first = tied.join(links, pk, "left_anti")
+    first_held = tied_held.join(links, pk, "left_anti")
+    fixed = ws.stage(_tied_outcomes(first, first_held, pk, replicas, None), "first")
+    chains = _chains(tied, tied_held, links, pk, unique_cols, ws)
+    several = links.filter("NOT alone").select(pk)
+    moving = ws.stage(tied.join(several, pk, "left_semi"), "moving")
+    if moving.isEmpty():
+        plan = fixed.unionByName(_along(chains, fixed, pk, unique_cols))
+        return _plain_outcomes(free, held, pk, replicas).unionByName(plan)
+    moving_held = ws.stage(tied_held.join(several, pk, "left_semi"), "moving_held")
+    last = ws.stage(_tied_outcomes(moving, moving_held, pk, replicas, None), "round")
     while True:
+        heads = fixed.unionByName(last)
+        plan = heads.unionByName(_along(chains, heads, pk, unique_cols))
         owners = tuple_owners(plan, pk, unique_cols)
-        now = ws.stage(_tied_outcomes(tied, tied_held, pk, replicas, owners), "round")
-        settled = _moved(plan, now).isEmpty()
-        plan = now
-        if settled:
-            break
-    return _plain_outcomes(free, held, pk, replicas).unionByName(plan)
+        now = ws.stage(_tied_outcomes(moving, moving_held, pk, replicas, owners), "round")
+        if _moved(last, now).isEmpty():
+            return _plain_outcomes(free, held, pk, replicas).unionByName(plan)
+        last = now
 
 
 def repair_plan(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from copies import specs
 from replicheck.operators import repair
-from replicheck.sources import key_lookup_rows, read_replicas
+from replicheck.sources import Workspace, key_lookup_rows, read_replicas
 from walk import walk
 
 SCHEMA = "id int, u string, t long, note string"
@@ -99,6 +99,60 @@ def test_long_chain_settles(spark, ws):
     assert after == expected[1]
 
 
+def counting(monkeypatch):
+    """Names of tables staged in rounds."""
+    stage, names = Workspace.stage, []
+
+    def counted(self, df, name):
+        if name in ("chain", "round"):
+            names.append(name)
+        return stage(self, df, name)
+
+    monkeypatch.setattr(Workspace, "stage", counted)
+    return names
+
+
+@pytest.mark.parametrize("order", ["ascending", "descending", "mixed"])
+def test_a_thousand_shifted_codes_take_few_rounds(spark, ws, monkeypatch, order):
+    n = 1000
+    first = {k: (f"c{k}", 10 + k % 3, "a") for k in range(n)}
+    second = {k: (f"c{k - 1}", 1 + k % 2 * 20, "b") for k in range(1, n)}
+    keys = list(range(n))
+    if order == "descending":
+        keys.reverse()
+    elif order == "mixed":
+        random.Random(7).shuffle(keys)
+    pending = list(enumerate(keys, start=1))
+    expected = walk([first, second], pending, True)
+    rounds = counting(monkeypatch)
+    outcomes, after, backups = repaired(spark, ws, [first, second], pending, True)
+    assert len(rounds) <= 15
+    assert outcomes == expected[0]
+    assert after == expected[1]
+    assert sorted(backups) == sorted(expected[2])
+
+
+def test_chains_that_part_and_meet(spark, ws):
+    """Shifted codes on three replicas, with keys pending twice in between."""
+    n = 60
+    copies = [
+        {k: (f"c{k}", 5 + k % 4, "a") for k in range(n)},
+        {k: (f"c{k - 1}", 1 + k % 5, "b") for k in range(1, n)},
+        {k: (f"c{k - 1 - k % 2}", 2 + k % 7, "c") for k in range(2, n, 3)},
+    ]
+    copies[2] = {k: r for i, (k, r) in enumerate(copies[2].items()) if r[0] not in
+                 {x[0] for j, x in copies[2].items() if j < k}}
+    rnd = random.Random(3)
+    keys = [*range(n), *rnd.sample(range(n), 9)]
+    for seed in range(2):
+        random.Random(seed).shuffle(keys)
+        pending = list(enumerate(keys, start=1))
+        expected = walk(copies, pending, True)
+        outcomes, after, backups = repaired(spark, ws, copies, pending, True)
+        assert outcomes == expected[0] and after == expected[1]
+        assert sorted(backups) == sorted(expected[2])
+
+
 def test_null_in_the_unique_column(spark, ws):
     copies = [{1: (None, 3, "a"), 2: (None, 1, "a")}, {1: ("q", 4, "b"), 2: (None, 2, "b")}]
     outcomes, after, _ = repaired(spark, ws, copies, [(1, 1), (2, 2)], True)
