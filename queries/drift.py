@@ -222,3 +222,46 @@ def part_config(sf_dir: str, **changes) -> CheckConfig:
         auto_repair_size=0,
     )
     return CheckConfig(**{**base, **changes})
+
+
+# Two copies of ``customer`` with shifted codes. dn2 has each key with the code that its
+# predecessor has on dn1, in runs of ``RUN`` keys; dn1 lacks the keys at two places of a run.
+
+RUN, HOLES = 64, (40, 50)
+
+
+def chain_replica(ord: int):
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = F.col("c_custkey")
+        place = key % RUN
+        here = ~place.isin(*HOLES) if ord == 1 else place != 0
+        return (
+            table(spark, sf_dir, "customer")
+            .filter(here)
+            .select(
+                key.alias("k"),
+                F.concat(F.lit("c"), (key - (ord - 1)).cast("string")).alias("code"),
+                (key % 7 + ord).cast("bigint").alias("t"),
+            )
+        )
+
+    return read
+
+
+def chain_config(sf_dir: str, **changes) -> CheckConfig:
+    specs = tuple(
+        ReplicaSpec(o, dn, reader=lambda spark, o=o: chain_replica(o)(spark, sf_dir))
+        for o, dn in NODES[:2]
+    )
+    base = dict(
+        table="customer",
+        pk="k",
+        replicas=specs,
+        chunk_size=100,
+        time_column="t",
+        time_format="int",
+        unique_keys=(("code",),),
+        nullable_columns=(),
+        auto_repair_size=0,
+    )
+    return CheckConfig(**{**base, **changes})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from queries.drift import CODES, DRIFT
+from queries.drift import CODES, DRIFT, HOLES, RUN
 from queries.results import ABSENT_KEYS, STORED_CHUNKS
 
 
@@ -165,30 +165,35 @@ def _part_rows(ord: int) -> str:
     FROM part WHERE p_partkey % 50 NOT IN ({', '.join(absent)})"""
 
 
-# What one repair after the other comes to at each place of the fifty, read off ``CODES``:
-# place 10 puts the code of 11 everywhere, so that 11 is gone; 20 does so with 21; 30 takes its
-# code from 31 on dn2, which frees 31 of its conflict, and 31 frees 32 in the same way; at 40
-# both copies have the same code, and the newer one wins.
-# place: (status, differ_type, winner)
-PART_OUTCOMES = {
-    10: (1, 1, 2),
-    11: (2, 1, None),
-    20: (1, 1, 1),
-    21: (2, 1, None),
-    30: (1, 1, 1),
-    31: (1, 2, 1),
-    32: (1, 2, 1),
-    40: (1, 2, 2),
-}
-_OUTCOMES = ", ".join(
-    f"({place}, {s}, {d}, {'NULL' if w is None else w})"
-    for place, (s, d, w) in PART_OUTCOMES.items()
-)
+# Repairs that a repair of another key can depend on lie this far apart at most.
+PART_LINKS = 4
+
+
+def _part_plan() -> str:
+    """Outcomes of one repair after the other, by rounds: in each, an entry sees the rows that
+    no earlier entry of another key has taken from it, as the round before has it."""
+    rounds = ["own0 AS (SELECT NULL::VARCHAR AS code, NULL::BIGINT AS id, NULL::BIGINT AS k WHERE false)"]
+    for n in range(1, PART_LINKS + 1):
+        rounds.append(f"""seen{n} AS (
+  SELECT p.differ_id, p.k, p.was, r.ord, r.code, r.t FROM pending p LEFT JOIN (
+    SELECT q.differ_id, r.* FROM pending q JOIN rows_ r USING (k) WHERE NOT EXISTS (
+      SELECT 1 FROM own{n - 1} o WHERE o.code = r.code AND o.id < q.differ_id AND o.k <> r.k)) r
+  ON r.differ_id = p.differ_id),
+out{n} AS (
+  SELECT differ_id, k, was, CASE WHEN count(DISTINCT code) > 1 THEN 4 WHEN count(ord) > 1 AND min(t) = max(t) THEN 5
+    WHEN count(ord) = 0 THEN 2 ELSE 1 END AS status, arg_max(ord, (t, -ord)) AS best, max(code) AS code
+  FROM seen{n} GROUP BY differ_id, k, was),
+own{n} AS (SELECT code, min(differ_id) AS id, arg_min(k, differ_id) AS k FROM out{n} WHERE status = 1 GROUP BY code)""")
+    return ", ".join(rounds)
+
+
 PARTS = f"""rows_ AS ({_part_rows(1)} UNION ALL {_part_rows(2)}),
-outcomes AS (SELECT * FROM (VALUES {_OUTCOMES}) v(place, status, differ_type, winner)),
-plan AS (SELECT row_number() OVER (ORDER BY p_partkey) AS differ_id, p_partkey AS k, status,
-    differ_type, winner::INT AS winner
-  FROM part JOIN outcomes ON place = p_partkey % 50),
+pending AS (
+  SELECT row_number() OVER (ORDER BY k) AS differ_id, k, CASE WHEN count(*) < 2 THEN 1 ELSE 2 END AS was
+  FROM rows_ GROUP BY k HAVING count(*) < 2 OR count(DISTINCT (code, price, t)) > 1),
+{_part_plan()},
+plan AS (SELECT differ_id, k, status::INT AS status, CASE status WHEN 4 THEN 3 ELSE was END::INT AS differ_type,
+  CASE WHEN status = 1 THEN best END::INT AS winner FROM out{PART_LINKS}),
 puts AS (SELECT r.* FROM plan p JOIN rows_ r ON r.k = p.k AND r.ord = p.winner),
 evicted AS (SELECT r.ord, r.k FROM rows_ r JOIN puts p ON p.code = r.code AND p.k <> r.k)"""
 
@@ -260,6 +265,9 @@ def oracle_sql() -> dict[str, str]:
         "key_lookup_rows": orders(
             f"SELECT ord, datanode, {cols} FROM rows_ WHERE id IN (SELECT id FROM found)"
         ),
+        "located_rows": orders(
+            f"SELECT ord, datanode, {cols} FROM rows_ WHERE id IN (SELECT id FROM found)"
+        ),
         "unique_cols_lookup": orders(
             "SELECT ord, id, uk FROM rows_ WHERE id IN (SELECT id FROM found)"
         ),
@@ -406,6 +414,7 @@ def oracle_sql() -> dict[str, str]:
         "chunk_bitxor": orders("SELECT chunk, ord, fold FROM chunks"),
         "chunk_crc_hex": orders("SELECT chunk, ord, crc FROM chunks"),
         "chunk_checksum": orders("SELECT * EXCLUDE (fold) FROM chunks"),
+        "ranged_chunks": orders("SELECT * EXCLUDE (fold) FROM chunks"),
         "chunk_checksum_text_key": customers(
             """SELECT 'customer' AS table_name, chunk, low AS upper_boundary,
             high AS lower_boundary, ord, 'dn' || ord AS datanode, crc, cnt FROM chunks"""
@@ -471,6 +480,17 @@ def oracle_sql() -> dict[str, str]:
             FROM held JOIN plan USING (id) WHERE plan.status = 1"""
         ),
         "replace_into": orders(f"SELECT ord, datanode, {cols} FROM repaired"),
+        "replace_files": orders(f"SELECT ord, datanode, {cols} FROM repaired"),
+        # Up to the first hole each key has lost its second code to the key before it. The key
+        # of the hole has lost its only one; from there on nothing is taken, and keys with two
+        # codes cannot be repaired, but that of the second hole has one.
+        "chain_plan": f"""WITH p AS (SELECT c_custkey AS k, c_custkey % {RUN} AS place FROM customer)
+            SELECT row_number() OVER (ORDER BY k) AS differ_id, k,
+              CASE WHEN place < {HOLES[0]} OR place = {HOLES[1]} THEN 1
+                WHEN place = {HOLES[0]} THEN 2 ELSE 4 END AS status,
+              CASE WHEN place IN (0, {HOLES[0]}, {HOLES[1]}) THEN 1
+                WHEN place < {HOLES[0]} THEN 2 ELSE 3 END AS differ_type,
+              CASE WHEN place < {HOLES[0]} THEN 1 WHEN place = {HOLES[1]} THEN 2 END AS winner FROM p""",
         "contested_plan": parts("SELECT * FROM plan"),
         "replace_evicts": parts("SELECT ord, k FROM evicted"),
         "contested_repair": parts(

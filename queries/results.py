@@ -166,6 +166,29 @@ def key_lookup_rows(spark, sf_dir):
     return readers.key_lookup_rows(c.rows, c.pending(), "id")
 
 
+def _in_files(c: Check, partitions: int = 8) -> CheckConfig:
+    """The same check over copies that lie in files, as Spark writes them."""
+    specs = []
+    for s in c.cfg.replicas:
+        path = f"{c.ws.path}/copies/{s.datanode}"
+        copy = read_replica(c.spark, s).repartitionByRange(partitions, c.pk)
+        copy.write.mode("overwrite").parquet(path)
+        specs.append(ReplicaSpec(s.ord, s.datanode, path))
+    return replace(c.cfg, replicas=tuple(specs), root=f"{c.ws.path}/audit")
+
+
+@query
+def located_rows(spark, sf_dir):
+    """Rows of differing keys, from the files that the check saw them in."""
+    c = orders(spark, sf_dir)
+    cfg = _in_files(c)
+    job.run(spark, replace(cfg, run_mode=1))
+    part = job.TableRun(spark, replace(cfg, run_mode=2))
+    part.preflight()
+    pending = c.ws.stage(repair.pending_keys(part.differ(), cfg.table, cfg.pk), "located")
+    return part._lookup(pending).select(c.rows.columns)
+
+
 @query
 def unique_cols_lookup(spark, sf_dir):
     c = orders(spark, sf_dir)
@@ -461,6 +484,24 @@ def resumed_differ(spark, sf_dir):
     return AuditStore(spark, cfg.root, cfg.table).read("differ").select("pk", "differ_type", "status")
 
 
+@query
+def ranged_chunks(spark, sf_dir):
+    """Results of chunks, committed in ranges of three chunks each."""
+    ws = Workspace(spark)
+    cfg = drift.orders_config(sf_dir, run_mode=1, root=f"{ws.path}/audit")
+    part = job.TableRun(spark, replace(cfg, range_keys=3 * cfg.chunk_size))
+    part.preflight()
+    part.store.log.take()
+    part.scan()
+    part.order_keys()
+    part.open_keys()
+    size = 1 + len(part.ranges()) // 4  # a few commits whatever the number of keys
+    part.cfg = replace(part.cfg, range_keys=3 * size * cfg.chunk_size)
+    for first, last in part.ranges():
+        part.commit_range(first, last)
+    return part.chunks()
+
+
 # Checksums
 
 
@@ -689,6 +730,22 @@ def replace_into(spark, sf_dir):
     return orders(spark, sf_dir).repaired()
 
 
+@query
+def replace_files(spark, sf_dir):
+    """All replicas after a repair that wrote anew only files with changed keys."""
+    c = orders(spark, sf_dir)
+    cfg = replace(_in_files(c), write_replicas=True)
+    result = job.run(spark, cfg)
+    return read_replicas(spark, job.repaired_specs(spark, cfg, result.run_id))
+
+
+@query
+def chain_plan(spark, sf_dir):
+    """Outcomes along chains of keys that each take their code from the next one."""
+    c = Check(spark, drift.chain_config(sf_dir))
+    return _outcome_columns(c.planned()[1], "k")
+
+
 @query
 def contested_plan(spark, sf_dir):
     """Outcomes where rows put by one repair remove rows of other pending keys."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from itertools import zip_longest
 
 from pyspark.errors import AnalysisException
@@ -77,6 +79,51 @@ def unlike_columns(replicas: Sequence[tuple[int, str, DataFrame]]) -> list[tuple
     return unlike
 
 
+@dataclass(frozen=True)
+class Declared:
+    """What the catalogue declares of a column beside its type."""
+
+    nullable: bool
+    default: str | None
+
+
+def catalogue_columns(spark: SparkSession, spec: ReplicaSpec) -> dict[str, Declared] | None:
+    """Columns of a replica as its catalogue declares them; None where it lies in none or is a
+    view."""
+    if spec.reader is not None or spec.format != "table":
+        return None
+    try:
+        told = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {spec.source} AS JSON").first()[0])
+    except AnalysisException:  # a catalogue that cannot tell
+        return None
+    if "VIEW" in told.get("type", "VIEW"):
+        return None
+    return {
+        c["name"]: Declared(c.get("nullable", True), c.get("default"))
+        for c in told["columns"]
+    }
+
+
+def unlike_declarations(
+    replicas: Sequence[tuple[str, Mapping[str, Declared] | None]],
+) -> list[tuple[str, str, str, str, str]]:
+    """Columns declared otherwise than on the first replica that lies in a catalogue:
+    ``(datanode, column, what, expected, found)``."""
+    known = [(dn, columns) for dn, columns in replicas if columns is not None]
+    unlike = []
+    for dn, columns in known[1:]:
+        for name, want in known[0][1].items():
+            have = columns.get(name)
+            if have is None:
+                continue  # a matter of ``unlike_columns``
+            if want.nullable != have.nullable:
+                says = {True: "NULL", False: "NOT NULL"}
+                unlike.append((dn, name, "nullability", says[want.nullable], says[have.nullable]))
+            if want.default != have.default:
+                unlike.append((dn, name, "default", str(want.default), str(have.default)))
+    return unlike
+
+
 def schema_equal(spark: SparkSession, replicas: Sequence[tuple[int, str, DataFrame]]) -> DataFrame:
     """One row per column that is not as on the first replica."""
     return literal_rows(
@@ -159,11 +206,17 @@ def checksum_columns(schema: T.StructType, exclude: Sequence[str]) -> list[str]:
 
 
 def nullable_columns(
-    schema: T.StructType, columns: Sequence[str], declared: Sequence[str] | None = None
+    schema: T.StructType,
+    columns: Sequence[str],
+    declared: Sequence[str] | None = None,
+    catalogue: Mapping[str, Declared] | None = None,
 ) -> list[str]:
-    """Columns with a NULL flag. Parquet reads call every column nullable: declare them."""
+    """Columns with a NULL flag: those declared, else those of the catalogue. Parquet reads call
+    every column nullable: declare them."""
     if declared is not None:
         return [c for c in columns if c in set(declared)]
+    if catalogue is not None:
+        return [c for c in columns if c not in catalogue or catalogue[c].nullable]
     return [c for c in columns if schema[c].nullable]
 
 

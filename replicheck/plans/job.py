@@ -109,6 +109,10 @@ class TableRun:
         unlike = validate.unlike_columns(copies)
         if unlike:
             raise Refused(f"other columns than the first replica: {unlike}")
+        declared = [(s.datanode, validate.catalogue_columns(spark, s)) for s in specs]
+        unlike = validate.unlike_declarations(declared)
+        if unlike:
+            raise Refused(f"declared otherwise than on the first replica: {unlike}")
         first = copies[0][2]
         if cfg.pk not in first.columns:
             raise Refused(f"no column {cfg.pk}")
@@ -130,7 +134,10 @@ class TableRun:
         if cfg.repairs:
             self._probe_time(first)
         self.columns = validate.checksum_columns(first.schema, cfg.excluded)
-        self.nullable = validate.nullable_columns(first.schema, self.columns, cfg.nullable_columns)
+        catalogue = next((columns for _, columns in declared if columns is not None), None)
+        self.nullable = validate.nullable_columns(
+            first.schema, self.columns, cfg.nullable_columns, catalogue
+        )
         # typed hashes mark NULLs by themselves, the key is checked on its own
         self.watched = [
             c for c in self.columns if c not in {*self.nullable, cfg.pk} and cfg.algo == "crc32"
