@@ -5,7 +5,7 @@ from __future__ import annotations
 from replicheck.llm.lexical import APART
 from replicheck.llm.queries import URL_RULES
 from replicheck.llm.source_audit import DOCUMENTS, TERMS
-from replicheck.llm.urls import DAMPING, LOWER, ROUNDS, THRESHOLD, UPPER, split_rule
+from replicheck.llm.urls import DAMPING, LED, LOWER, ROUNDS, THRESHOLD, UPPER, split_rule
 
 OP3 = f"""
 WITH RECURSIVE w AS (
@@ -102,9 +102,10 @@ def _op2() -> str:
     for k in range(1, ROUNDS + 1):
         last = "seeds" if k == 1 else f"r{k - 1}"
         rounds.append(
-            f"r{k} AS MATERIALIZED (SELECT host, sum(t) AS t, sum(d) AS d FROM ("
-            f"SELECT w.b AS host, x.t * w.t * {DAMPING} AS t, x.d * w.d * {DAMPING} AS d FROM {last} x JOIN ways w ON w.a = x.host"
-            f" UNION ALL SELECT host, t * (1 - {DAMPING}), d * (1 - {DAMPING}) FROM seeds) GROUP BY host)"
+            f"r{k} AS MATERIALIZED (SELECT host, sum(t) AS t, sum(d) AS d, sum(l) AS l, sum(s) AS s FROM ("
+            f"SELECT w.b AS host, x.t * w.t * {DAMPING} AS t, x.d * w.d * {DAMPING} AS d,"
+            f" (x.s + (1 - x.s) * x.l) * w.l * {DAMPING} AS l, 0.0 AS s FROM {last} x JOIN ways w ON w.a = x.host"
+            f" UNION ALL SELECT host, t * (1 - {DAMPING}), d * (1 - {DAMPING}), 0.0, d FROM seeds) GROUP BY host)"
         )
     link = "CASE WHEN starts_with(u, '//') THEN 'http:' || u ELSE u END"
     return f"""
@@ -115,20 +116,37 @@ WITH p AS (
 ruled AS (SELECT page_id, host, path, CASE {rule} END AS rule, CASE {said} END AS said FROM p),
 seeds AS MATERIALIZED (
   SELECT host, avg(CASE WHEN said = 'allow' THEN 1.0 ELSE 0.0 END) AS t,
-    avg(CASE WHEN said = 'block' THEN 1.0 ELSE 0.0 END) AS d FROM ruled GROUP BY host),
+    avg(CASE WHEN said = 'block' THEN 1.0 ELSE 0.0 END) AS d, 0.0 AS l, d AS s FROM ruled GROUP BY host),
 urls AS (SELECT host, {link} AS u FROM (SELECT host,
     unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*["'']?([^"''\\s>]*)', 1)) AS u FROM p WHERE host <> '')),
 edges AS MATERIALIZED (SELECT a, b, count(*) AS n FROM (SELECT host AS a, CASE WHEN regexp_matches(u, '^[A-Za-z][A-Za-z0-9+.-]*://')
     THEN {host.format(rest.format('u'))} ELSE host END AS b FROM urls) WHERE b <> '' GROUP BY a, b),
-ways AS MATERIALIZED (SELECT a, b, sum(t) AS t, sum(d) AS d FROM (
-  SELECT a, b, n / sum(n) OVER (PARTITION BY a) AS t, 0.0 AS d FROM edges
-  UNION ALL SELECT b, a, 0.0, n / sum(n) OVER (PARTITION BY b) FROM edges) GROUP BY a, b),
+leaves AS (SELECT a, sum(n) FILTER (a <> b) AS n FROM edges GROUP BY a),
+ways AS MATERIALIZED (SELECT a, b, sum(t) AS t, sum(d) AS d, sum(l) AS l FROM (
+  SELECT a, b, n / sum(n) OVER (PARTITION BY a) AS t, 0.0 AS d, 0.0 AS l FROM edges
+  UNION ALL SELECT e.b, e.a, 0.0, e.n / sum(e.n) OVER (PARTITION BY e.b), CASE WHEN e.a <> e.b THEN e.n / l.n ELSE 0.0 END
+    FROM edges e JOIN leaves l ON l.a = e.a) GROUP BY a, b),
 {', '.join(rounds)}
-SELECT page_id, ruled.host, path, rule, coalesce(said, CASE WHEN d >= {THRESHOLD} AND d > t THEN 'block' ELSE 'allow' END) AS verdict
+SELECT page_id, ruled.host, path, rule, coalesce(said, CASE WHEN d >= {THRESHOLD} AND d > t
+  OR l >= {LED} AND l > t THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled LEFT JOIN r{ROUNDS} r ON r.host = ruled.host
 """
 
 
+#: Queries that SQL cannot express. Their tests compare them with the library the tokens belong
+#: to, with plain Python, or by what they find among labelled and planted cases.
+WITHOUT_SQL = {
+    "op1_byte_bpe",
+    "op4_toxicity",
+    "op5_pii",
+    "op6_lm_score",
+    "op8_source_mix",
+    "op9_quality_rules",
+    "op10_html_text",
+    "op13_token_counts",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_url_filter": _op2(),

@@ -1,8 +1,11 @@
 """Rules by a plain reading of the contract, ranks by dense matrices."""
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 
 from replicheck.llm import urls
+from replicheck.llm.oracle import oracle_sql
 from replicheck.llm.queries import URL_RULES
 
 THRESHOLD = 0.1
@@ -70,8 +73,11 @@ def test_pages(spark, ws):
     backward = m.T / np.maximum(m.T.sum(1, keepdims=True), 1)
     seed = lambda v: np.array([np.mean([x == v for x in hosts.get(h, [None])]) for h in names])
     trust, distrust = seed("allow"), seed("block")
-    t, d = trust, distrust
+    t, d, led = trust, distrust, np.zeros(len(names))
+    outside = m - np.diag(np.diag(m))
+    outward = outside / np.maximum(outside.sum(1, keepdims=True), 1)
     for _ in range(urls.ROUNDS):
+        led = urls.DAMPING * outward @ (distrust + (1 - distrust) * led)
         t = (1 - urls.DAMPING) * trust + urls.DAMPING * forward.T @ t
         d = (1 - urls.DAMPING) * distrust + urls.DAMPING * backward.T @ d
     for i, u, _ in PAGES:
@@ -79,6 +85,7 @@ def test_pages(spark, ws):
         if host in at:
             assert abs((got[i].trust or 0) - t[at[host]]) < 1e-9 and abs((got[i].distrust or 0) - d[at[host]]) < 1e-9
         bad = d[at[host]] >= THRESHOLD and d[at[host]] > t[at[host]]
+        bad = bad or (led[at[host]] >= urls.LED and led[at[host]] > t[at[host]])
         assert got[i].verdict == (plain_rule(host, path)[1] or ("block" if bad else "allow"))
     assert {got[i].verdict for i in (5, 16)} == {"block"}  # they link to blocked hosts
 
@@ -107,3 +114,8 @@ def test_many_feeders_of_one_blocked_host(spark, ws):
         pages.append((len(pages), f"http://{h}.net/x", None))
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     assert {r.page_id: r.verdict for r in urls.judge(df, URL_RULES, ws).collect()} == want
+    con = duckdb.connect()
+    columns = {c: [p[k] for p in pages] for k, c in enumerate(("page_id", "url", "html"))}
+    con.register("pages", pa.table(columns))
+    sql = oracle_sql()["op2_url_filter"]
+    assert dict(con.sql(f"SELECT page_id, verdict FROM ({sql})").fetchall()) == want
