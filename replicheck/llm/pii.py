@@ -35,10 +35,14 @@ PATTERNS = {
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
-REGION = re.compile(r"[^\s]*[0-9@][^\s]*(?:\x20[^\s]*[0-9@][^\s]*)*")
+#: The pattern of an ip as it is searched: digits are taken whole and from their first one on,
+#: which finds the same and reads each digit a few times only.
+WHOLE_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
+SIGN, SPACE = re.compile("[0-9@]"), re.compile(r"\s")
 ATOM = re.compile(r"[A-Za-z]+|[0-9]+|.", re.S)
-#: Atoms in a segment at most; regions a fit takes at most; and documents they come from.
-LONGEST, REGIONS, DOCUMENTS = 24, 1_500, 20_000
+#: Atoms and characters in a segment at most; regions a fit takes at most, and documents they
+#: come from; characters of a region that a fit learns from, at most.
+LONGEST, LENGTH, REGIONS, DOCUMENTS, LEARNT = 24, 320, 1_500, 20_000, 200
 MARGIN = 0.5
 SEED = 5
 
@@ -81,7 +85,7 @@ def _matches(kind: str, text: str):
     """All matches of a pattern. The search for an address starts anew at the stretch before
     each ``@``, as the pattern else tries every place of a long stretch without one."""
     if kind != "email":
-        yield from PATTERNS[kind].finditer(text)
+        yield from (WHOLE_IP if kind == "ip" else PATTERNS[kind]).finditer(text)
         return
     end = 0
     at = text.find("@")
@@ -141,6 +145,8 @@ def _candidates(region: str) -> tuple[list[int], list[tuple[int, int]]]:
             continue
         figures, at = 0, False
         for j in range(i, min(n, i + LONGEST)):
+            if bounds[j + 1] - bounds[i] > LENGTH:
+                break
             atom = region[bounds[j] : bounds[j + 1]]
             figures += len(atom) if atom[0] in "0123456789" else 0
             at = at or atom == "@"
@@ -216,7 +222,20 @@ class Field:
 def regions(text: str | None) -> list[tuple[int, int]]:
     if not text:
         return []
-    return [m.span() for m in REGION.finditer(text)]
+    out: list[tuple[int, int]] = []
+    at = 0
+    while sign := SIGN.search(text, at):
+        start = sign.start()  # widened to the white space on both sides
+        while start > at and not text[start - 1].isspace():
+            start -= 1
+        space = SPACE.search(text, sign.end())
+        end = space.start() if space else len(text)
+        if out and start == out[-1][1] + 1 and text[start - 1] == " ":
+            out[-1] = (out[-1][0], end)
+        else:
+            out.append((start, end))
+        at = end
+    return out
 
 
 def train(examples: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = 6) -> Field:
@@ -244,7 +263,7 @@ def fit(docs: DataFrame) -> Field:
             for text in batch.column("text").to_pylist():
                 base = base_spans(text)
                 for a, b in regions(text):
-                    if b - a > 200:
+                    if b - a > LEARNT:
                         continue
                     inside = [(k, s - a, e - a) for k, s, e in base if a <= s and e <= b]
                     found.append(text[a:b])

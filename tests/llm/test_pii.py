@@ -2,6 +2,11 @@
 
 import random
 import re
+import time
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from replicheck.llm import pii
 
@@ -81,3 +86,33 @@ def test_masking(spark):
     out = pii.redact(df)
     assert out.schema == df.schema
     assert sorted(map(tuple, out.collect())) == [(1, "<EMAIL> x <IP>", "s"), (2, None, "s"), (3, "none", "s")]
+
+
+REGION = re.compile(r"[^\s]*[0-9@][^\s]*(?:\x20[^\s]*[0-9@][^\s]*)*")
+PIECES = ["1", "22", "333", ".", "1.1", "1.2.3.4", "@", "a", "b.c", "+1", " ", "  ", "\n", "\x85", "-", "é", "日本", "a@b.c"]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=25).map("".join))
+def test_searches_find_what_the_plain_patterns_find(text):
+    assert pii.regions(text) == [m.span() for m in REGION.finditer(text)]
+    found = [(m.start(), m.end()) for m in pii._matches("ip", text)]
+    assert found == [m.span() for m in pii.PATTERNS["ip"].finditer(text)]
+
+
+MB = 1_000_000
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["日" * MB, "1" * (MB // 2) + " 1.1" * (MB // 8), "1" * MB, "@" * MB, "a" * MB + "@", ("a" * 50 + "@") * (MB // 51),
+     "+1" + " " * MB, "+1 " * (MB // 3), "1." * (MB // 2), "a" * MB + " 12345 " + "b" * MB + "7"],
+    ids=["no space", "ends", "digits", "at", "word", "words", "phone", "phones", "dots", "long atoms"],
+)
+def test_long_texts_take_linear_time(text):
+    start = time.perf_counter()
+    pii.base_spans(text)
+    found = pii.regions(text)
+    if len(found) == 1 and text.endswith("7"):  # few atoms, each of them long
+        pii.Field().spans(text[slice(*found[0])])
+    assert time.perf_counter() - start < 5
