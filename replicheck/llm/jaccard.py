@@ -43,6 +43,8 @@ from replicheck.sources import Workspace
 LIST = 32
 #: Documents that are compared with one set in one go; more are dealt to several tasks.
 HANDFUL = 64
+#: Holders of a long list that meet its hub in one task.
+PART = 256
 #: N-grams at most that the global order puts last: those that most sets hold. Which they are
 #: changes the work, never the result.
 COMMON = 131_072
@@ -253,11 +255,18 @@ def _entries(docs: DataFrame, size: int, rule: Rule, bound: int, common: np.ndar
 
 def _by_hubs(heavy: DataFrame) -> DataFrame:
     """``(node, hub)`` of every holder of a long list. The hub is the holder that is in most long
-    lists: what many documents were copied from is nearer to each of them than another copy."""
+    lists: what many documents were copied from is nearer to each of them than another copy.
+    A list is dealt to as many tasks as its counted length asks for."""
     weight = heavy.groupBy("node").agg(F.count("*").alias("weight"))
-    hubs = heavy.join(weight, "node").groupBy("gram").agg(F.max(F.struct("weight", "node")).alias("hub"))
-    chosen = hubs.select("gram", F.col("hub.node").alias("hub"))
-    return heavy.join(chosen, "gram").filter("hub <> node").select("node", "hub").distinct()
+    hubs = heavy.join(weight, "node").groupBy("gram").agg(
+        F.max(F.struct("weight", "node")).alias("hub"), F.max("count").alias("count")
+    )
+    parts = F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col("count"), F.lit(PART)))
+    chosen = hubs.select("gram", F.col("hub.node").alias("hub"), F.explode(parts).alias("part"))
+    dealt = heavy.withColumn(
+        "part", F.pmod(F.xxhash64("node"), F.call_function("div", F.col("count"), F.lit(PART)) + 1)
+    )
+    return dealt.join(chosen, ["gram", "part"]).filter("hub <> node").select("node", "hub").distinct()
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -283,9 +292,9 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _compare(
-    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, rule: Rule, common: np.ndarray
+    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, rule: Rule, common: np.ndarray, ws: Workspace
 ) -> DataFrame:
-    """``pairs`` ``(hub, node, differ)`` compared on whole sets: ``(hub, node, n, linked, grams,
+    """``pairs`` ``(hub, node, differ)``, which are read several times, compared on whole sets: ``(hub, node, n, linked, grams,
     few)``. Where ``differ`` is true, ``grams`` holds the n-grams by which the node's difference
     from the hub meets others, and ``few`` how many of them larger differences need."""
     rep = nodes.select(F.col("node").alias("member"), "doc_id")
@@ -298,7 +307,7 @@ def _compare(
             "hub", "part", F.col("hub").alias("member"), "differ"
         )
     )
-    placed = sides.join(rep, "member")
+    placed = ws.stage(sides.join(rep, "member"), "placed")
     texts = _texts_of(docs, placed.select("doc_id").distinct())
     schema = "hub long, node long, n long, linked boolean, differ boolean, size long, few long, grams array<long>"
     together = (
@@ -398,10 +407,11 @@ def link_classes(docs: DataFrame, ws: Workspace, size: int = 4, percent: int = 8
         .select(F.col("l.node").alias("hub"), F.col("s.node").alias("node"))
         .distinct()
     )
-    through_hub = _by_hubs(scanned.filter(F.col("count") > LIST)).withColumn("differ", F.lit(True))
-    near = _plausible(near, nodes, rule).withColumn("differ", F.lit(False))
-    pairs = near.union(through_hub.select("hub", "node", "differ"))
-    met = ws.stage(_compare(pairs, nodes, docs, size, rule, common), "compared")
+    near = _plausible(ws.stage(near, "near"), nodes, rule).withColumn("differ", F.lit(False))
+    heavy = ws.stage(scanned.filter(F.col("count") > LIST).select("gram", "node", "count"), "heavy")
+    through_hub = _by_hubs(heavy).withColumn("differ", F.lit(True))
+    pairs = ws.stage(near.union(through_hub.select("hub", "node", "differ")), "pairs")
+    met = ws.stage(_compare(pairs, nodes, docs, size, rule, common, ws), "compared")
 
     deltas = met.filter("differ").select(
         "hub", "node", "n", "linked", "size", "few", F.posexplode("grams").alias("place", "gram")
@@ -431,8 +441,8 @@ def link_classes(docs: DataFrame, ws: Workspace, size: int = 4, percent: int = 8
         .select(F.least("a", "b").alias("hub"), F.greatest("a", "b").alias("node"))
         .distinct()
     )
-    differing = _plausible(differing, nodes, rule).withColumn("differ", F.lit(False))
-    met_again = ws.stage(_compare(differing, nodes, docs, size, rule, common), "compared")
+    differing = _plausible(ws.stage(differing, "differing"), nodes, rule).withColumn("differ", F.lit(False))
+    met_again = ws.stage(_compare(ws.stage(differing, "pairs"), nodes, docs, size, rule, common, ws), "compared")
     links = (
         met.union(met_again).filter("linked").select(F.col("hub").alias("a"), F.col("node").alias("b")).union(ties)
     )
