@@ -1,10 +1,13 @@
 """Exact top-k search by inner product, in tiles.
 
 Vectors are packed in their own partitions: rows of up to ``SHARD`` candidates, rows of up to
-``BLOCK`` queries. Each pair of a block and a shard is a tile, a matrix product of bounded size
-that keeps each query's k best of the shard. Lists of a query are merged as a tree, ``FAN`` lists
-at a time, so no task ever sees more than ``FAN * k`` candidates of a query. Work is queries times
-candidates, as exact search by products needs; rows that move are tiles, never pairs.
+``BLOCK`` queries. Packs of one length are numbered and dealt to the cells of a grid: the blocks of
+a row of the grid go to all its cells, the shards of a column to all of its. A cell holds at most
+``HELD`` blocks and reads its shards one after the other; each block and shard is a tile, a matrix
+product of bounded size that keeps each query's k best. Both sides move to their cells in one
+exchange, a block once a column and a shard once a row. Lists of a query are merged as a tree,
+``FAN`` lists at a time, so no task ever sees more than ``FAN * k`` candidates of a query. Work is
+queries times candidates, as exact search by products needs.
 
 Components become ``floor(scale * x)``, as whole numbers in doubles: products and sums below 2**53
 are exact. Vectors that are null, empty, or hold null or non-finite components take no part;
@@ -23,7 +26,9 @@ from pyspark.sql import functions as F
 from replicheck.llm.text import record
 from replicheck.sources import Workspace
 
-SHARD, BLOCK, FAN = 8_192, 1_024, 16
+SHARD, BLOCK, HELD, FAN = 8_192, 1_024, 8, 16
+#: Cells of a grid's row at least, where there are as many shards.
+COLUMNS = 64
 
 
 def _usable(column: str) -> Column:
@@ -63,44 +68,84 @@ def _packed(rows: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _tiles(queries: DataFrame, shards: DataFrame, k: int) -> DataFrame:
-    """Each query's k best of each shard. Blocks and shards are joined by tile: both sides are
-    repeated by pack numbers of the other one, of which there are few."""
-    blocks = queries.select(F.col("pack").alias("block"), "dim")
-    groups = shards.select(F.col("pack").alias("shard"), "dim")
-    tiles = blocks.join(groups, "dim").select("block", "shard")
-    q = queries.select(F.col("pack").alias("block"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), "dim")
-    c = shards.select(F.col("pack").alias("shard"), F.col("ids").alias("c_ids"), F.col("data").alias("c_data"))
-    joined = tiles.repartition("block", "shard").join(q, "block").join(c, "shard")
+def _numbered(packs: DataFrame, name: str, ws: Workspace) -> DataFrame:
+    """``(pack, dim, no)``: packs of a length numbered from 0; one row a pack is all that a task
+    sees of a length."""
+    place = F.row_number().over(Window.partitionBy("dim").orderBy("pack")) - 1
+    return ws.stage(packs.select("pack", "dim", place.cast("long").alias("no")), name)
+
+
+def _grid(queries: DataFrame, shards: DataFrame, ws: Workspace) -> tuple[DataFrame, int]:
+    """``(dim, row, column, kind, ids, data)``: blocks (kind 0) and shards (kind 1) in the cells
+    that they are wanted in; and the columns of the widest grid."""
+    blocks, groups = _numbered(queries, "blocks", ws), _numbered(shards, "groups", ws)
+    div = lambda a, b: F.call_function("div", a, b)
+    rows = blocks.groupBy("dim").agg((div(F.count("*") - 1, F.lit(HELD)) + 1).alias("rows"))
+    wide = F.greatest(F.lit(COLUMNS), div(F.count("*"), F.lit(COLUMNS)))
+    columns = groups.groupBy("dim").agg(F.least(F.count("*"), wide).alias("columns"))
+    size = ws.stage(rows.join(columns, "dim"), "grid")  # one row a length
+    counted = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    def cells(packs: DataFrame, numbers: DataFrame, kind: int, own: str, own_count: str, other: str, other_count: str):
+        place, all_others = (F.col("no") % F.col(own_count)).alias(own), counted(other_count).alias(other)
+        dealt = numbers.join(size, "dim").select("pack", "dim", place, all_others, F.lit(kind).alias("kind"))
+        return packs.drop("dim").join(dealt, "pack").select("dim", "row", "column", "kind", "ids", "data")
+
+    dealt = cells(queries, blocks, 0, "row", "rows", "column", "columns").union(
+        cells(shards, groups, 1, "column", "columns", "row", "rows")
+    )
+    return dealt, size.agg(F.max("columns")).first()[0] or 1
+
+
+def _best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's k highest scores, equal ones by ascending id; -inf is no candidate."""
+    if scores.shape[1] > k:
+        least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+        wide = int((scores >= least).sum(1).max())  # with all that are as good as the last of the k
+        if wide < scores.shape[1]:
+            at = np.argpartition(-scores, wide - 1, axis=1)[:, :wide]
+            scores, ids = np.take_along_axis(scores, at, 1), np.take_along_axis(ids, at, 1)
+    order = np.lexsort((ids, -scores), axis=1)[:, :k]
+    return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
+
+
+def _tiles(cells: DataFrame, k: int) -> DataFrame:
+    """``(query_id, vec_id, score, place)``: each query's k best of each cell it is in."""
 
     def run(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                dim = batch.column("dim")[row].as_py()
-                get = lambda name, kind, row=row, batch=batch: np.frombuffer(
-                    batch.column(name)[row].as_py(), kind
-                )
-                q_ids, c_ids = get("q_ids", np.int64), get("c_ids", np.int64)
-                order = np.argsort(c_ids, kind="stable")
-                c_ids = c_ids[order]
-                product = get("q_data", np.float64).reshape(-1, dim) @ get("c_data", np.float64).reshape(-1, dim)[order].T
-                product[q_ids[:, None] == c_ids[None, :]] = -np.inf
-                best_q, best_c, best_s = [], [], []
-                floor = -np.partition(-product, min(k, len(c_ids)) - 1, axis=1)[:, min(k, len(c_ids)) - 1]
-                for i, (query, least) in enumerate(zip(q_ids.tolist(), floor.tolist())):
-                    at = np.flatnonzero((product[i] >= least) & (product[i] > -np.inf))
-                    at = at[np.argsort(-product[i][at], kind="stable")][:k]  # ids ascend: ties are settled
-                    best_q += [query] * len(at)
-                    best_c += c_ids[at].tolist()
-                    best_s += product[i][at].tolist()
+        cell, held = None, []
+
+        def out():
+            for q_ids, _, scores, ids in held:
+                n = (scores > -np.inf).ravel()
                 yield record(
-                    query_id=pa.array(best_q, pa.int64()),
-                    vec_id=pa.array(best_c, pa.int64()),
-                    score=pa.array(np.array(best_s, np.float64).astype(np.int64), pa.int64()),
-                    shard=pa.repeat(pa.scalar(batch.column("shard")[row].as_py(), pa.int64()), len(best_q)),
+                    query_id=np.repeat(q_ids, scores.shape[1])[n],
+                    vec_id=ids.ravel()[n],
+                    score=scores.ravel()[n].astype(np.int64),
+                    place=np.full(int(n.sum()), cell[2]),
                 )
 
-    return joined.mapInArrow(run, "query_id long, vec_id long, score long, shard long")
+        for batch in batches:
+            for i in range(batch.num_rows):
+                dim, row, column, kind, ids, data = (batch.column(c)[i].as_py() for c in range(6))
+                if (dim, row, column) != cell:
+                    yield from out()
+                    cell, held = (dim, row, column), []
+                ids = np.frombuffer(ids, np.int64)
+                data = np.frombuffer(data, np.float64).reshape(-1, dim)
+                if kind == 0:
+                    held.append((ids, data, np.empty((len(ids), 0)), np.empty((len(ids), 0), np.int64)))
+                    continue
+                for at, (q_ids, vectors, scores, known) in enumerate(held):
+                    product = vectors @ data.T
+                    product[q_ids[:, None] == ids[None, :]] = -np.inf
+                    some = _best_of(product, np.broadcast_to(ids, product.shape), k)
+                    both = (np.concatenate(pair, axis=1) for pair in zip((scores, known), some))
+                    held[at] = (q_ids, vectors, *_best_of(*both, k))
+        yield from out()
+
+    dealt = cells.repartition("dim", "row", "column").sortWithinPartitions("dim", "row", "column", "kind")
+    return dealt.mapInArrow(run, "query_id long, vec_id long, score long, place long")
 
 
 def search(
@@ -117,14 +162,8 @@ def search(
     asking = used.filter("asks").dropDuplicates(["id", "vector"])
     queries = ws.stage(_packed(asking, BLOCK), "queries")
     shards = ws.stage(_packed(used, SHARD), "shards")
-    # shards numbered without gaps, for the tree: one row a shard
-    numbered = ws.stage(
-        shards.select("pack").withColumn("place", F.row_number().over(Window.orderBy("pack")) - 1), "places"
-    )
-    lists = _tiles(queries, shards, k).join(
-        numbered.select(F.col("pack").alias("shard"), "place"), "shard"
-    ).drop("shard")
-    width = numbered.count()
+    cells, width = _grid(queries, shards, ws)
+    lists = _tiles(cells, k)
     best = Window.partitionBy("query_id", "place").orderBy(F.desc("score"), "vec_id")
     while True:
         lists = lists.withColumn("place", F.floor(F.col("place") / FAN).cast("int"))
