@@ -392,6 +392,8 @@ class TableRun:
             return OVER_LIMIT
         if not count:
             return ENDED
+        if cfg.verify_unique and self.unique_cols:
+            self._verify_unique()
         found = self.ws.stage(self._lookup(pending), "pending_rows")
         if not validate.pending_key_faults(found, cfg.pk).isEmpty():
             raise Refused(f"{cfg.pk} has NULLs or repeats within a replica, among pending keys")
@@ -414,6 +416,13 @@ class TableRun:
             self.spark, self.found, pending, self.cfg.pk, self.snapshots, self.cfg.collation
         )
 
+    def _verify_unique(self) -> None:
+        rule = validate.unique_key_rule(self.rows, self.unique_cols).filter("NOT is_unique")
+        names = dict(self.cfg.nodes)
+        bad = sorted(names[r["ord"]] for r in rule.collect())
+        if bad:
+            raise Refused(f"{', '.join(self.unique_cols)} is not unique on {', '.join(bad)}")
+
     def _refuse_bad_times(self, held: DataFrame) -> None:
         """All pending keys whose time does not read go to an audit table of their own."""
         bad = self.ws.stage(repair.bad_times(held, self.cfg.pk), "bad_times")

@@ -30,6 +30,8 @@ def read_replica(spark: SparkSession, spec: ReplicaSpec) -> DataFrame:
     if spec.format == "table":
         return spark.table(spec.source)
     reader = spark.read.format(spec.format).options(**spec.options)
+    if spec.schema:
+        reader = reader.schema(spec.schema)
     return reader.load(spec.source) if spec.source else reader.load()
 
 

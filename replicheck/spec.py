@@ -37,6 +37,7 @@ class ReplicaSpec:
     source: str | None = None
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
+    schema: str | None = None  # of files that carry none, as DDL
     reader: Callable[[SparkSession], DataFrame] | None = None
 
 
@@ -72,6 +73,7 @@ class CheckConfig:
     time_column: str | None = None
     time_format: str = "str"
     unique_keys: tuple[tuple[str, ...], ...] = ()
+    verify_unique: bool = False  # before a repair, on whole replicas
     exclude_columns: tuple[str, ...] | None = None  # None leaves out the time column
     nullable_columns: tuple[str, ...] | None = None  # None takes the schema's word
     decimals: Mapping[str, tuple[int, int]] = field(default_factory=dict)

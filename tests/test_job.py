@@ -218,6 +218,27 @@ def test_repeated_unique_values_are_refused(spark, root):
     refused(spark, cfg, "repeats")
 
 
+def test_unique_values_of_all_rows_are_verified_on_request(spark, root):
+    """A value that repeats among keys that do not differ is no matter of the repair itself."""
+    twice = [(8, "z", 5), (9, "z", 5)]
+    cfg = small(spark, root, [*ONE, *twice], [*TWO, *twice], unique_keys=(("v",),))
+    refused(spark, replace(cfg, verify_unique=True), "v is not unique on dn1, dn2")
+    assert run(spark, replace(cfg, run_mode=2)).counts["status_1"] == 1
+
+
+def test_files_without_a_schema(spark, root, tmp_path):
+    for i, rows in enumerate((ONE, TWO), start=1):
+        spark.createDataFrame(rows, SCHEMA).write.csv(f"{tmp_path}/c{i}")
+    given = tuple(
+        ReplicaSpec(i, f"dn{i}", f"{tmp_path}/c{i}", format="csv", schema=SCHEMA) for i in (1, 2)
+    )
+    cfg = replace(small(spark, root), replicas=given, nullable_columns=("v", "t"), write_replicas=True)
+    result = run(spark, cfg)
+    assert result.counts["differing_keys"] == 2
+    a, b = (rows_of(spark, s) for s in job.repaired_specs(spark, cfg, result.run_id))
+    assert a == b == [(1, "a", 5), (2, "B", 6), (3, "c", 5)]
+
+
 def test_bad_time_is_refused_before_any_write(spark, root):
     schema = "k int, v string, t string"
     good, day = "2020-01-01 00:00:00", "2020-01-01"
