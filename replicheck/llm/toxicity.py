@@ -73,7 +73,7 @@ class Model:
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, toxic, text)`` of the documents a fit may take."""
+    """``(doc_id, toxic, text)`` of the documents a fit may take, all rows of each id."""
     toxic = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("toxic = 1")
     ids = docs.select("doc_id").filter("doc_id is not null").filter(~held_out()).distinct()
     marked = ids.join(toxic, "doc_id", "left").withColumn("place", seeded("doc_id", SEED))
@@ -167,15 +167,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                 np.unique(np.array([f for t in terms(x) for f in known[t]], np.int32)).tobytes()
                 for x in batch.column("text").to_pylist()
             ]
-            return record(toxic=batch.column("toxic"), grams=pa.array(out, pa.binary()))
+            ids, toxic = batch.column("doc_id"), batch.column("toxic")
+            return record(doc_id=ids, toxic=toxic, grams=pa.array(out, pa.binary()))
 
         return step
 
-    rows = map_batches(
-        _sample(docs, labels.filter(~held_out())).select(F.col("toxic").cast("int").alias("toxic"), "text"),
-        "toxic int, grams binary",
-        make,
-    ).toArrow()
+    sample = _sample(docs, labels.filter(~held_out())).withColumn("toxic", F.col("toxic").cast("int"))
+    features = map_batches(sample, "doc_id long, toxic int, grams binary", make)
+    # of rows that share an id one counts, so that the sample is as large as its ids are many
+    rows = features.groupBy("doc_id", "toxic").agg(F.min("grams").alias("grams")).toArrow()
     positive = np.array([t == 1 for t in rows.column("toxic").to_pylist()], bool)
     if not positive.any() or positive.all():
         return Model(np.empty(0, np.int64), np.empty(0), 0.0, fitted=False)
