@@ -27,6 +27,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Keys of the orders replicas that were put in by hand and that no replica holds.
 ABSENT_KEYS = 10_000_000
+# What is added to keys so that they need more than 32 bits.
+WIDE_KEYS = 3_000_000_000
 
 
 def query(fn):
@@ -244,25 +246,49 @@ def clear_working_tables(spark, sf_dir):
 # Validation
 
 
+def _text_copies(c: Check, kind: str, changed: dict[int, dict]) -> list[ReplicaSpec]:
+    """Copies of a table in files that carry no types, with columns changed by replica: what
+    columns there are and of which type is for the rows to say."""
+    specs = []
+    for s in c.cfg.replicas:
+        path = f"{c.ws.path}/{kind}/{s.datanode}"
+        copy = read_replica(c.spark, s).withColumns(changed.get(s.ord, {}))
+        copy.write.mode("overwrite").format(kind).option("header", True).save(path)
+        options = {"header": "true", "inferSchema": "true"}
+        specs.append(ReplicaSpec(s.ord, s.datanode, path, format=kind, options=options))
+    return specs
+
+
+# Statuses of orders that a node each holds; some node holds none.
+STATUSES = ("F", "O", "P", "X")
+
+
 @query
 def table_on_all_replicas(spark, sf_dir):
-    cfg = drift.orders_config(sf_dir)
-    missing = ReplicaSpec(ord=4, datanode="dn4", source=f"{sf_dir}/orders_of_dn4.parquet")
-    present = validate.table_on_all_replicas(spark, [*cfg.replicas, missing])
-    counts = read_replicas(spark, cfg.replicas).groupBy("ord").agg(F.count("*").alias("cnt"))
+    """Orders dealt to nodes by their status: whether each node has got a table, and its rows."""
+    ws = Workspace(spark)
+    base = f"{ws.path}/by_status"
+    drift.table(spark, sf_dir, "orders").write.partitionBy("o_orderstatus").parquet(base)
+    specs = [
+        ReplicaSpec(i, f"dn{i}", f"{base}/o_orderstatus={st}") for i, st in enumerate(STATUSES, 1)
+    ]
+    present = ws.stage(validate.table_on_all_replicas(spark, specs), "present")
+    there = {r["ord"] for r in present.filter("exists").collect()}
+    rows = read_replicas(spark, [s for s in specs if s.ord in there])
+    counts = rows.groupBy("ord").agg(F.count("*").alias("cnt"))
     return present.join(counts, "ord", "left").fillna(0, ["cnt"])
 
 
 @query
 def schema_equal(spark, sf_dir):
-    """One copy has another type, another one lacks the last column: the columns at fault,
-    with the rows they keep from being compared."""
-    cfg = drift.orders_config(sf_dir)
-    copies = [(s.ord, s.datanode, read_replica(spark, s)) for s in cfg.replicas]
-    copies[1] = (2, "dn2", copies[1][2].withColumn("price", F.col("price").cast("double")))
-    copies[2] = (3, "dn3", copies[2][2].drop("upd"))
-    counts = read_replicas(spark, cfg.replicas).groupBy("ord").agg(F.count("*").alias("cnt"))
-    return validate.schema_equal(spark, copies).join(counts, "ord")
+    """Copies of orders in JSON. Some prices on dn2 are words, and no row on dn3 has a time."""
+    c = orders(spark, sf_dir)
+    words = F.when(F.col("id") % 1000 != 7, F.col("price").cast("string")).otherwise("n/a")
+    numbers = F.col("price").cast("double")
+    late = F.when(F.col("cust").isNull(), F.col("upd"))
+    changed = {1: {"price": numbers}, 2: {"price": words}, 3: {"price": numbers, "upd": late}}
+    copies = [(s.ord, s.datanode, read_replica(spark, s)) for s in _text_copies(c, "json", changed)]
+    return validate.schema_equal(spark, copies)
 
 
 @query
@@ -293,18 +319,19 @@ def undeclared_null_faults(spark, sf_dir):
 
 @query
 def pk_type(spark, sf_dir):
-    """Key types of orders, with an earlier run's keys of the same type, and of customer, with
-    an earlier run's keys of another type."""
-    o, c = orders(spark, sf_dir), Check(spark, drift.customer_config(sf_dir))
-    store = _store(o)
-    store.overwrite("keys", keys.key_universe(o.rows, "id").withColumnRenamed("id", "key"))
-    stored = store.read("keys").schema
-    both = [
-        ("orders", validate.pk_type(o.rows.withColumnRenamed("id", "key"), "key", stored)),
-        ("customer", validate.pk_type(c.rows.withColumnRenamed("name", "key"), "key", stored)),
+    """Key types of copies in CSV, after keys were stored from dn1: those of dn2 are larger
+    numbers, those of dn3 are words."""
+    c = orders(spark, sf_dir)
+    changed = {2: {"id": F.col("id") + WIDE_KEYS}, 3: {"id": F.concat(F.lit("K"), "id")}}
+    specs = _text_copies(c, "csv", changed)
+    copies = {s.ord: read_replica(spark, s).withColumnRenamed("id", "key") for s in specs}
+    store = _store(c)
+    stored = store.overwrite("keys", keys.key_universe(copies[1], "key")).schema
+    types = [
+        validate.pk_type(copies[s.ord].withColumn("ord", F.lit(s.ord)), "key", stored)
+        for s in specs
     ]
-    a, b = [df.select(F.lit(name).alias("table_name"), "*") for name, df in both]
-    return a.unionByName(b)
+    return types[0].unionByName(types[1]).unionByName(types[2])
 
 
 @query
@@ -320,13 +347,13 @@ def unique_key_rule(spark, sf_dir):
 
 @query
 def time_column_exists(spark, sf_dir):
-    cfg = drift.orders_config(sf_dir)
-    copies = [(s.ord, s.datanode, read_replica(spark, s)) for s in cfg.replicas]
-    copies[2] = (3, "dn3", copies[2][2].drop("upd"))
+    """Copies of orders in JSON, of which dn3 has no row with a time."""
+    c = orders(spark, sf_dir)
+    late = F.when(F.col("cust").isNull(), F.col("upd"))
+    specs = _text_copies(c, "json", {3: {"upd": late}})
+    copies = [(s.ord, s.datanode, read_replica(spark, s)) for s in specs]
     found = validate.time_column_exists(copies, "upd")
-    counts = read_replicas(spark, cfg.replicas).groupBy("ord").agg(F.count("*").alias("cnt"))
-    facts = literal_rows(spark, found, "ord int, datanode string, exists boolean")
-    return facts.join(counts, "ord")
+    return literal_rows(spark, found, "ord int, datanode string, exists boolean")
 
 
 def _event_times(spark, sf_dir) -> DataFrame:
