@@ -5,7 +5,8 @@ counts are a table spread by the word's hash and pair counts one spread by a wor
 both grow with the corpus; neither is broadcast. Every document is exploded to its distinct pairs
 with their number. These rows are shuffled once by the pair's first word, get the pair's count in
 the corpus as a sum over all its rows and the first word's count by a join with the table of words,
-and are summed by document; rows that back off are first shuffled by the second word for its count.
+and are summed by document; rows that back off are first shuffled by the second word for its count,
+unless that is one of the ``KNOWN`` most frequent ones, whose counts all tasks have.
 
 Words that hold over 1 / ``HEAVY`` of all words are heavy; there are at most ``HEAVY`` of them (and
 the start), and their counts go to all tasks. A pair that only begins with a heavy word lies with
@@ -16,15 +17,19 @@ A word w after v scores ``c(v w) / c(v)`` with a document's own occurrences of t
 of ``c(v w)``; where nothing is left it backs off to ``ALPHA * c(w) / N``, with N words in all.
 A document's score is the mean of the natural logarithms over its words.
 
-Null and empty texts have no words and a null score. Rows that share a doc_id (or lack one) get
-one score together, each row with its own occurrences taken out.
+Null and empty texts have no words and a null score. Every row is a document of its own, also
+where rows share a doc_id, lack one or are equal: rows are numbered as they are exploded, and the
+row of their number carries the doc_id along, so one reading of the texts tells them apart.
 Extra columns are not read.
 """
 
 from __future__ import annotations
 
+from itertools import count, islice
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,12 +39,18 @@ from replicheck.sources.store import literal_rows
 
 ALPHA = 0.4
 HEAVY = 300
+KNOWN = 65_536
 SALTS = 255
 #: No word's hash lies within so much of 0: places and codes of heavy words do.
 RESERVED = 1 << 20
+#: Texts whose pairs are sorted together.
+PAIRED = 1_000
 CODES = 1 << 9
 
 
+NO_WORDS = np.empty(0, np.int64)
+
+
 def classes(hashes: np.ndarray) -> np.ndarray:
     """0 for the start, then each word's hash as a signed number out of the reserved range."""
     h = hashes.view(np.int64)
@@ -56,8 +67,8 @@ def _word_counts(docs: DataFrame) -> DataFrame:
             found = [classes(hashes.of(w)) for t in batch.column("text").to_pylist() if (w := lower_words(t))]
             if not found:
                 return None
-            word, count = np.unique(np.concatenate(found), return_counts=True)
-            return record(word=word, count=count)
+            word, times = np.unique(np.concatenate(found), return_counts=True)
+            return record(word=word, count=times)
 
         return step
 
@@ -87,8 +98,8 @@ def _hot_counts(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
                     found.append(code[:-1][both] * CODES + code[1:][both])
             if not found:
                 return None
-            pair, count = np.unique(np.concatenate(found), return_counts=True)
-            return record(b=pair, count=count)
+            pair, times = np.unique(np.concatenate(found), return_counts=True)
+            return record(b=pair, count=times)
 
         return step
 
@@ -97,59 +108,64 @@ def _hot_counts(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
 
 
 def _pairs(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """``(own, a, b, doc_id)``: distinct pairs of a text, with ``a`` for their place. They are the
-    two words ``v, w``, or ``w`` and the code of ``v`` where that alone is ``heavy``, or a negative
-    salt and the codes of both. Rows of a slice are sorted, so that equal numbers compress, and
-    the numbers that differ most stand side by side."""
+    """``(own, a, b, row, doc_id)``: distinct pairs of a text, with ``a`` for their place. They are
+    the two words ``v, w``, or ``w`` and the code of ``v`` where that alone is ``heavy``, or a
+    negative salt and the codes of both. Rows of a slice are sorted, so that equal numbers
+    compress, and the numbers that differ most stand side by side. Each text has one more row, of
+    0 occurrences, that has its doc_id."""
 
     def make():
         hashes = WordHash()
+        numbers = count(TaskContext.get().partitionId() << 33)
 
         def step(batch: pa.RecordBatch):
-            ids, found, salts = [], [], []
-            doc_id = batch.column("doc_id").cast(pa.int64())
-            for doc, text in zip(doc_id.to_pylist(), batch.column("text").to_pylist()):
-                if w := lower_words(text):
-                    found.append(classes(hashes.of(w)))
-                    ids.append(doc)
-                    # from id and text, so that neither rows without an id nor copies share one place
-                    salts.append(-1 - hash((doc or 0, int(found[-1].sum()))) % SALTS)
-            if not found:
-                return None
+            row = np.fromiter(islice(numbers, batch.num_rows), np.int64, batch.num_rows)
+            salts = -1 - row % SALTS
+            found = [
+                classes(hashes.of(w)) if (w := lower_words(t)) else NO_WORDS
+                for t in batch.column("text").to_pylist()
+            ]
             text_of = np.repeat(np.arange(len(found), dtype=np.int32), [len(c) for c in found])
             word = np.concatenate(found)
             code = _codes(word, heavy)
             first = np.flatnonzero(text_of[:-1] == text_of[1:])
             v, w, vc, wc, text_of = word[first], word[first + 1], code[first], code[first + 1], text_of[first]
-            salt = np.array(salts, np.int64)[text_of]
+            salt = salts[text_of]
             a = np.where(vc == 0, v, np.where(wc == 0, w, salt))
             b = np.where(vc == 0, w, np.where(wc == 0, vc, vc * CODES + wc))
             order = np.lexsort((b, a))  # stable: rows of a pair stay in the order of texts
             a, b, text_of = a[order], b[order], text_of[order]
-            starts = np.flatnonzero(
-                np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (text_of[1:] != text_of[:-1])))
-            )
+            other = np.ones(len(a), bool)
+            other[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (text_of[1:] != text_of[:-1])
+            starts = np.flatnonzero(other)
             own = np.diff(np.append(starts, len(a))).astype(np.int32)
-            doc_ids = pa.array(ids, pa.int64()).take(pa.array(text_of[starts]))
-            return record(own=own, a=a[starts], b=b[starts], doc_id=doc_ids)
+            pairs, texts = len(starts), len(row)
+            return record(
+                own=np.concatenate((own, np.zeros(texts, np.int32))),
+                a=np.concatenate((a[starts], salts)),
+                b=pa.concat_arrays([pa.array(b[starts]), pa.nulls(texts, pa.int64())]),
+                row=np.concatenate((row[text_of[starts]], row)),
+                doc_id=pa.concat_arrays([pa.nulls(pairs, pa.int64()), batch.column("doc_id").cast(pa.int64())]),
+            )
 
         return step
 
-    # no cast here: an alias would give the two uses of these rows unlike plans and two shuffles
-    return map_batches(docs.select("doc_id", "text"), "own int, a long, b long, doc_id long", make, 1_000)
+    # no cast or number here: they would give the two uses of these rows unlike plans and two shuffles
+    return map_batches(docs.select("doc_id", "text"), "own int, a long, b long, row long, doc_id long", make, PAIRED)
 
 
-def _known(docs: DataFrame, heavy: np.ndarray, counts: list[int]) -> DataFrame:
-    """``(b, c_hot, c_v, c_w)``: what ``heavy`` words tell of a row by its ``b``; at most
-    ``(HEAVY + 1) ** 2`` rows and two a word."""
+def _known(docs: DataFrame, heavy: np.ndarray, counts: list[int], most: DataFrame) -> DataFrame:
+    """``(b, c_hot, c_v, c_w)``: what ``heavy`` words tell of a row by its ``b``, and the counts of
+    the ``most`` frequent words; at most ``(HEAVY + 1) ** 2`` rows, one a heavy word and ``KNOWN``."""
     of = F.array(*[F.lit(c).cast("long") for c in counts]) if counts else F.array().cast("array<long>")
     hot = _hot_counts(docs, heavy).select(
         "b", "c_hot", F.try_element_at(of, F.expr(f"int(b div {CODES})")).alias("c_v"),
         F.try_element_at(of, F.expr(f"int(b % {CODES})")).alias("c_w"),
     )
     begin = [(k + 1, None, c, None) for k, c in enumerate(counts)]
-    end = [(int(h), None, None, c) for h, c in zip(heavy, counts)]
-    return hot.union(literal_rows(docs.sparkSession, begin + end, "b long, c_hot long, c_v long, c_w long"))
+    null = F.lit(None).cast("long")
+    end = most.select(F.col("word").alias("b"), null.alias("c_hot"), null.alias("c_v"), F.col("count").alias("c_w"))
+    return hot.union(literal_rows(docs.sparkSession, begin, "b long, c_hot long, c_v long, c_w long")).union(end)
 
 
 def scores(docs: DataFrame, ws: Workspace | None = None) -> DataFrame:
@@ -159,7 +175,8 @@ def scores(docs: DataFrame, ws: Workspace | None = None) -> DataFrame:
     total = single.filter("word <> 0").agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     found = single.filter(F.col("count") * HEAVY > total).orderBy("word").collect()  # at most HEAVY and the start
     heavy, counts = np.array([r["word"] for r in found], np.int64), [r["count"] for r in found]
-    known = F.broadcast(ws.stage(_known(docs, heavy, counts), "heavy"))
+    most = single.filter("word <> 0").orderBy(F.desc("count"), "word").limit(KNOWN)
+    known = F.broadcast(ws.stage(_known(docs, heavy, counts, most), "heavy"))
     # hash joins, so that the many rows are not sorted once more
     at_a = single.select(F.col("word").alias("a"), F.col("count").alias("c_a")).hint("shuffle_hash")
     at_b = single.select(F.col("word").alias("b"), F.col("count").alias("c_b")).hint("shuffle_hash")
@@ -168,7 +185,7 @@ def scores(docs: DataFrame, ws: Workspace | None = None) -> DataFrame:
         _pairs(docs, heavy)
         .repartition("a")
         .withColumn("c_here", F.sum("own").over(Window.partitionBy("a", "b")))
-        .select("doc_id", "a", "b", "own", "c_here")
+        .select("row", "doc_id", "a", "b", "own", "c_here")
     )
     backs_off = lambda count: F.log(F.lit(ALPHA) * count / F.lit(max(total, 1)))
     others = F.coalesce("c_hot", "c_here") - F.col("own")
@@ -178,34 +195,33 @@ def scores(docs: DataFrame, ws: Workspace | None = None) -> DataFrame:
         counted.join(at_a, "a", "left")
         .join(known, "b", "left")
         .select(
-            "doc_id", "own", F.when(others > 0, 0).otherwise(F.col("own")).alias("backed"),
+            "row", "doc_id", "own", F.when(others > 0, 0).otherwise(F.col("own")).alias("backed"),
             F.when(others > 0, F.log(others / c_v)).otherwise(backs_off(c_w)).alias("log"),
         )
-        .filter("log is not null")
+        .filter("log is not null or own = 0")
     )
-    # the other rows back off to a word that is not heavy, and only they go to it
+    # the other rows back off to a word that few tasks know, and only they go to it
     away = (
-        counted.filter("c_here = own")
+        counted.filter("c_here = own and own > 0")
         .join(known.select("b"), "b", "left_anti")
-        .select("doc_id", "b", "own")
+        .select("row", "doc_id", "b", "own")
         .join(at_b, "b", "left")
-        .select("doc_id", "own", F.col("own").alias("backed"), backs_off(F.col("c_b")).alias("log"))
+        .select("row", "doc_id", "own", F.col("own").alias("backed"), backs_off(F.col("c_b")).alias("log"))
     )
     scored = (
         here.union(away)
-        .groupBy("doc_id")
+        .groupBy("row")
         .agg(
+            F.max("doc_id").alias("doc_id"),
             F.sum("own").alias("n_words"),
             F.sum("backed").alias("n_backed_off"),
             F.sum(F.col("own") * F.col("log")).alias("sum"),
         )
     )
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    found = scored.withColumnRenamed("doc_id", "scored_id")
     zero = F.lit(0).cast("long")
-    return ids.join(found, F.col("doc_id").eqNullSafe(F.col("scored_id")), "left").select(
+    return scored.select(
         "doc_id",
         F.coalesce("n_words", zero).alias("n_words"),
         F.coalesce("n_backed_off", zero).alias("n_backed_off"),
-        (F.col("sum") / F.col("n_words")).alias("score"),
+        (F.col("sum") / F.when(F.col("n_words") > 0, F.col("n_words"))).alias("score"),
     )
