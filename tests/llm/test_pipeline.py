@@ -1,10 +1,11 @@
 """The pipeline's stages one by one against what each may keep, and the registration."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from replicheck.llm import mixing, pii
-from replicheck.llm.queries import QUERIES, vocabulary
+from replicheck.llm.queries import vocabulary
 from test_jaccard import brute
 
 
@@ -32,7 +33,7 @@ def test_toxic_go(stages):
 
 def test_one_of_each_group_stays(stages):
     rows = [(r.doc_id, r.text) for r in stages[1].collect()]
-    want = {c for _, _, c in brute(rows)}
+    want = {c for _, _, c in brute(rows, size=corpus_pipeline.SHINGLE, percent=corpus_pipeline.ALIKE)}
     assert {r.doc_id for r in stages[2].collect()} == want
 
 
@@ -65,8 +66,26 @@ def test_encoded(stages):
     assert got == texts
 
 
-def test_ten_queries():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+def test_of_copies_without_an_id_or_with_one_for_several_texts_one_row_stays(spark):
+    base, other = " ".join(f"w{i}" for i in range(50)), " ".join(f"v{i}" for i in range(50))
+    rows = [(None, base), (None, base), (1, other), (1, base), (1, other), (2, other), (None, None), (None, None), (3, "")]
+    df = spark.createDataFrame([(d, t, "s") for d, t in rows], "doc_id long, text string, source string")
+    kept = sorted((r.doc_id or -1, r.text or "") for r in corpus_pipeline.drop_near_copies(spark, df, "").collect())
+    assert kept == [(-1, ""), (-1, ""), (1, other), (1, base), (3, "")]
+
+
+@pytest.mark.parametrize("empty", [True, False])
+def test_whole_chain_on_empty_tables_and_rows_without_ids(spark, tmp_path, empty):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0 if empty else 30)
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").limit(0 if empty else 1000)
+    docs = docs.withColumn("doc_id", F.expr("if(doc_id % 2 = 0, doc_id, null)"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "source", "n_tokens", "ids"]
+    assert (out.count() == 0) == empty
+    if not empty:
+        assert out.filter("doc_id is null").count() > 0
 
 
 def test_near_copies_by_five_words_and_four_fifths(spark):
