@@ -30,11 +30,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each linked group, and all that link with nothing.
-    Rows that repeat a doc_id stay or go together; rows without one stay."""
-    groups = jaccard.duplicates(docs, size=SHINGLE, percent=ALIKE)
-    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """The row of the smallest id of each linked group, and all that link with nothing. Rows are
+    told apart by themselves, so that of copies that share an id, or lack one, one row stays."""
+    ws = Workspace(spark)
+    rows = ws.stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    groups = jaccard.duplicates(
+        rows.select(F.col("__row").alias("doc_id"), "text"), size=SHINGLE, percent=ALIKE
+    ).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("group"))
+    ids = rows.select("__row", F.struct(F.col("doc_id").isNull(), "doc_id", "__row").alias("place"))
+    placed = ws.stage(groups.join(ids, "__row"), "placed")
+    first = placed.groupBy("group").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    several = first.filter("n > 1").drop("n")
+    # staged, so that its size decides how the texts meet it before they are shuffled
+    gone = ws.stage(placed.join(several, "group").filter("place <> first").select("__row"), "gone")
+    return rows.join(gone, "__row", "left_anti").drop("__row")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
