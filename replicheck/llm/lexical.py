@@ -205,10 +205,11 @@ def rank_item(shard: Shard, terms: np.ndarray, best: Best) -> int:
 
 def rank_block(rows: DataFrame, block: Block, count: int, length: int, k: int) -> DataFrame:
     """``(no, doc_id, score)``: up to ``k`` documents for each item from every task."""
-    shared = rows.sparkSession.sparkContext.broadcast(block)
+    # plain values: a broadcast object of a class needs the class's module where it is read
+    shared = rows.sparkSession.sparkContext.broadcast((block.items, block.terms, block.weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
+        block = Block(*shared.value)
         best = [Best(k) for _ in block.items]
 
         def rank(parts: list[pa.RecordBatch]) -> None:

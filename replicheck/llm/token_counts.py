@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 from heapq import heapify, heappop, heappush
 from struct import unpack
 
@@ -185,14 +185,15 @@ def count_tokens(
     than ``limit`` tokens (``over_limit``)."""
     if not model.byte_fallback:
         raise ValueError("the model has no byte pieces for unknown characters")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: a broadcast object of a class needs the class's module where it is read
+    shared = docs.sparkSession.sparkContext.broadcast(astuple(model))
     df = docs.select(*keep, F.col(text).alias("__text"))
     kept = [f for f in df.schema.fields if f.name != "__text"]
     names = [*[f.name for f in kept], "n_bytes", "n_tokens"]
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
 
     def make():
-        counter = TokenCounter(shared.value)
+        counter = TokenCounter(PieceModel(*shared.value))
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column("__text")
