@@ -1,4 +1,11 @@
-"""Which queries there are, and which from replicheck.llm.oracle import WITHOUT_SQL, oracle_sql
+"""Which queries there are, which have SQL, and that tasks run without this package."""
+
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+from replicheck.llm.oracle import WITHOUT_SQL, oracle_sql
 from replicheck.llm.queries import QUERIES
 
 
