@@ -423,7 +423,10 @@ def link_classes(docs: DataFrame, ws: Workspace, size: int = 4, percent: int = 8
             F.expr(
                 "(x.size < y.size or (x.size = y.size and x.node < y.node)) and not (x.linked and y.linked) "
                 f"and (y.size - x.size) * {rule.q} <= {100 - percent} * (x.n + y.n) "
-                f"and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
+                f"and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) "
+                # as the first place that a linked pair meets at; later places may go, they are the last ones
+                "and (x.size + y.size - 2 * least(x.size - x.place, y.size - y.place)) "
+                f"* {rule.q} <= {100 - percent} * (x.n + y.n)"
             )
         )
         .groupBy("x.hub", F.col("x.node").alias("a"), F.col("y.node").alias("b"))
@@ -434,7 +437,8 @@ def link_classes(docs: DataFrame, ws: Workspace, size: int = 4, percent: int = 8
             F.max("x.place").alias("last_x"), F.max("y.place").alias("last_y"),
             F.first("x.size").alias("size_x"), F.first("y.size").alias("size_y"),
         )
-        # differences of one hub have one order: what else they share comes after the last place met
+        # differences of one hub have one order: what else they share comes after the last place met,
+        # also what the filter above has left out
         .filter(
             f"(sizes - 2 * (met + least(size_x - last_x, size_y - last_y) - 1)) * {rule.q} <= {100 - percent} * both_n"
         )
