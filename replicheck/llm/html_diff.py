@@ -4,15 +4,20 @@ Pages are sorted by host, path and id, so that each stands beside the pages with
 URLs of its host. A page's markup is cut into lines, one a block. Lines of a page and of its
 neighbours are aligned by their longest common subsequence (bit-parallel, on line hashes); shared
 lines are the site's template and are deleted. Neighbours that share most of their lines are
-copies or further versions of the page and say nothing of the template; the next one is taken
-instead, up to ``REACH`` pages away on either side. Two things decide beside it: lines in elements
+copies or further versions of the page and say nothing of the template; the next one of the host is
+taken instead, however far away. Two things decide beside it: lines in elements
 that by name or role never hold main text (menus, headers, footers, adverts, forms, comments,
 ...) are deleted, shared or not, and where a page has an ``article`` or ``main`` element, what lies
 outside is deleted. Lines inside one go only where the neighbours on both sides share them, so
 that a passage of two pages stays and a notice in every article goes.
 
-Hosts are dealt out by ranges of their URLs, so a large host is split over tasks. A page at the
-edge of a task's range is compared with its neighbours inside that range only.
+Hosts are dealt out by ranges of their URLs, so a large host is split over tasks, as hashes of
+lines only. A task looks at the ``REACH`` pages on either side. Pages that may lose lines and find
+no neighbour there, amid copies or at the edge of a range, look on by joins: every range tells
+which lines all its pages of a host hold, so that ranges of nothing but copies are passed over, and
+the first range left is searched by its pages without enough of the lines, then further ones.
+What goes is joined to the pages by a hash of the whole row, so texts are not shuffled unless
+many pages lose lines.
 
 Null and empty pages have an empty text; a null url sorts as an empty host and path. Texts of any
 length are taken whole. Repeated rows are copies of each other. Extra columns are not read and an
@@ -23,18 +28,27 @@ from __future__ import annotations
 
 import re
 from collections import Counter, deque
+from collections.abc import Iterable
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from replicheck.llm.text import record
+from replicheck.llm.text import give_back, map_batches, record
 from replicheck.llm.urls import host_and_path
+from replicheck.sources import Workspace
 
-#: Pages on either side that may serve as the neighbour, and the share of lines from which
+#: Pages on either side that a task looks at by itself, and the share of lines from which
 #: a page counts as a copy.
 REACH, COPY = 3, 0.6
+#: Bits of a page's place that count it inside its range.
+LOCAL_BITS = 33
+#: What a page's line is: in an element without main text, outside the page's frame, or text.
+EXCLUDED, OUTSIDE, TEXT = range(3)
 
 #: What begins like markup: comments and the like, which always end somewhere, or a tag's name.
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)(?=[A-Za-z])", re.S)
@@ -296,77 +310,285 @@ def _best_cut(first: list[int], second: list[int], y: list[int]) -> int:
 class Page:
     def __init__(self, page_id: int, url: str | None, host: str, html: str | None):
         self.page_id, self.url, self.host = page_id, url, host
-        self.lines = page_lines(html)
-        self.hashes = [hash(t) for t, _, _ in self.lines]
+        lines = page_lines(html)
+        self.framed = any(inside and not excluded for _, excluded, inside in lines)
+        self.lines = [t for t, _, _ in lines]
+        self.kinds = bytes(
+            EXCLUDED if excluded else TEXT if inside or not self.framed else OUTSIDE for _, excluded, inside in lines
+        )
 
-    def is_copy(self, other: Page) -> bool:
+    def hashes(self) -> np.ndarray:
+        found = (xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in self.lines)
+        return np.fromiter(found, np.uint64, len(self.lines)).view(np.int64)
+
+    def texts(self) -> list[str]:
+        return [t for t, kind in zip(self.lines, self.kinds) if kind == TEXT]
+
+    def text(self, gone: list[bool]) -> str:
+        """Main text without the lines that are ``gone``, a mark for each of ``texts``, if any."""
+        texts = self.texts()
+        return "\n".join(t for t, away in zip(texts, gone or [False] * len(texts)) if not away)
+
+
+class Entry:
+    """What decides about a page's lines, in the order of URLs."""
+
+    def __init__(self, host: str, page_id: int, key: int, hashes: list[int], kinds: bytes, framed: bool):
+        self.host, self.page_id, self.key = host, page_id, key
+        self.hashes, self.kinds, self.framed = hashes, kinds, framed
+        self.all = set(hashes)
+        self.mine = {h for h, kind in zip(hashes, kinds) if kind != EXCLUDED}
+
+    def is_copy(self, other: Entry) -> bool:
         """Whether most of what may be main text is the other's, too."""
-        mine = {h for h, (_, excluded, _) in zip(self.hashes, self.lines) if not excluded}
-        theirs = set(other.hashes)
-        return bool(mine) and len(mine & theirs) >= COPY * len(mine)
-
-    def text(self, neighbours: list[Page]) -> str:
-        """Main text, given pages of the same host, nearest first, from either side."""
-        held = Counter(k for n in neighbours for k in shared_lines(self.hashes, n.hashes))
-        framed = any(inside and not excluded for _, excluded, inside in self.lines)
-        # a frame speaks for its lines, so one page that holds them is not enough there
-        shared = {k for k, times in held.items() if times >= (2 if framed else 1)}
-        kept = [
-            text
-            for k, (text, excluded, inside) in enumerate(self.lines)
-            if not excluded and k not in shared and (inside or not framed)
-        ]
-        return "\n".join(kept)
-
-
-def _nearest(page: Page, others: list[Page]) -> list[Page]:
-    for other in others[:REACH]:
-        if other.host == page.host and other.page_id != page.page_id and not page.is_copy(other):
-            return [other]
-    return []
-
-
-def extract(pages: DataFrame) -> DataFrame:
-    """``page_id, url, text, n_chars`` of every page."""
+        return bool(self.mine) and len(self.mine & other.all) >= COPY * len(self.mine)
+
+    def nearest(self, others: Iterable[Entry]) -> tuple[list[int] | None, bool]:
+        """Lines of the neighbour among pages on one side, nearest first, and whether it may lie
+        beyond them."""
+        for other in others:
+            if other.host != self.host:
+                return None, False
+            if other.page_id != self.page_id and not self.is_copy(other):
+                return other.hashes, False
+        return None, True
+
+
+def lines_gone(hashes: list[int], kinds: bytes, framed: bool, neighbours: list[list[int] | None]) -> list[bool] | None:
+    """Which lines of text are the site's, given the lines of neighbours; None for none at all."""
+    held = Counter(k for n in neighbours if n for k in shared_lines(hashes, n))
+    # a frame speaks for its lines, so one page that holds them is not enough there
+    gone = [held[k] >= (2 if framed else 1) for k, kind in enumerate(kinds) if kind == TEXT]
+    return gone if any(gone) else None
+
+
+ENTRY = "host string, page_id long, key long, hashes array<long>, kinds binary, framed boolean"
+PLACED = f"""place long, {ENTRY}, gone array<boolean>, mine array<long>, back array<long>, open_back boolean,
+    ahead array<long>, open_ahead boolean, common array<long>"""
+
+
+def _rows(pages: DataFrame) -> DataFrame:
+    """Rows that are equal have one key, and lose the same lines."""
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    return rows.withColumn("key", F.xxhash64("page_id", "url", "html"))
+
+
+def _entries(pages: DataFrame) -> DataFrame:
     host, path = host_and_path(F.col("url"))
-    placed = (
-        pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"), path.alias("path"))
-        .repartitionByRange("host", "path", "page_id")
-        .sortWithinPartitions("host", "path", "page_id", "url")
-        .drop("path")
+
+    def make():
+        def step(batch: pa.RecordBatch):
+            found = [Page(0, None, "", html) for html in batch.column("html").to_pylist()]
+            columns = {c: batch.column(c) for c in ("host", "path", "url", "page_id", "key")}
+            return record(
+                **columns,
+                hashes=pa.array([p.hashes() for p in found], pa.list_(pa.int64())),
+                kinds=pa.array([p.kinds for p in found], pa.binary()),
+                framed=pa.array([p.framed for p in found], pa.bool_()),
+            )
+
+        return step
+
+    rows = _rows(pages).select("page_id", "url", "html", "key", host.alias("host"), path.alias("path"))
+    schema = "host string, path string, url string, page_id long, key long, hashes array<long>, kinds binary, framed boolean"
+    return map_batches(rows, schema, make)
+
+
+def _placed(entries: DataFrame) -> DataFrame:
+    """Pages in order, each with what it loses, or with the sides on which it has to look on. The
+    last page of a host in a range has the lines that all its pages there hold in ``common``."""
+    ordered = entries.repartitionByRange("host", "path", "page_id").sortWithinPartitions(
+        "host", "path", "page_id", "url", "key"
     )
 
     def run(batches):
-        before: deque[Page] = deque(maxlen=REACH)
-        ahead: deque[Page] = deque()
+        place = TaskContext.get().partitionId() << LOCAL_BITS
+        before: deque[Entry] = deque(maxlen=REACH)
+        ahead: deque[Entry] = deque()
+        common: set[int] | None = None
+
+        def decide(page: Entry) -> tuple:
+            """``gone, mine, back, open_back, ahead, open_ahead``."""
+            if TEXT not in page.kinds:
+                return None, None, None, False, None, False
+            (back, open_back), (front, open_front) = page.nearest(reversed(before)), page.nearest(ahead)
+            if page.framed and open_back != open_front:
+                # what the known neighbour lacks stays, whatever the other one holds
+                if lines_gone(page.hashes, page.kinds, False, [back, front]) is None:
+                    open_back = open_front = False
+            if open_back or open_front:
+                return None, list(page.mine), back, open_back, front, open_front
+            return lines_gone(page.hashes, page.kinds, page.framed, [back, front]), None, None, False, None, False
 
         def finish() -> tuple:
+            nonlocal place, common
             page = ahead.popleft()
-            text = page.text(_nearest(page, list(before)[::-1]) + _nearest(page, list(ahead)))
+            decided = decide(page)
+            common = set(page.all) if common is None else common & page.all
+            shared = None
+            if not ahead or ahead[0].host != page.host:
+                shared, common = list(common), None
             before.append(page)
-            return page.page_id, page.url, text
+            place += 1
+            entry = (page.host, page.page_id, page.key, page.hashes, page.kinds if decided[1] else None, page.framed)
+            return place, *entry, *decided, shared
+
+        names = ("place", "host", "page_id", "key", "hashes", "kinds", "framed", "gone", "mine", "back", "open_back",
+                 "ahead", "open_ahead", "common")
+        longs = pa.list_(pa.int64())
+        types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), longs, pa.binary(), pa.bool_(), pa.list_(pa.bool_()), longs,
+                 longs, pa.bool_(), longs, pa.bool_(), longs)
 
         def packed(rows: list[tuple]):
-            ids, urls, texts = zip(*rows)
-            return record(
-                page_id=pa.array(ids, pa.int64()), url=pa.array(urls, pa.string()), text=pa.array(texts, pa.string()),
-                n_chars=pa.array([len(t) for t in texts], pa.int64()),
-            )
+            return record(**{n: pa.array(c, t) for n, t, c in zip(names, types, zip(*rows))})
 
+        rows = []
         for batch in batches:
-            rows = []
-            columns = [batch.column(c) for c in ("page_id", "url", "host", "html")]
-            for k in range(batch.num_rows):
-                ahead.append(Page(*(c[k].as_py() for c in columns)))
-                if len(ahead) > REACH:
-                    rows.append(finish())
-                if len(rows) >= 500:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                columns = [part.column(c).to_pylist() for c in ("host", "page_id", "key", "hashes", "kinds", "framed")]
+                for values in zip(*columns):
+                    ahead.append(Entry(*values))
+                    if len(ahead) > REACH:
+                        rows.append(finish())
+                if rows:
                     yield packed(rows)
                     rows = []
-            if rows:
-                yield packed(rows)
         rows = [finish() for _ in range(len(ahead))]
         if rows:
             yield packed(rows)
+        before.clear()
+        give_back()
+
+    return ordered.select("host", "page_id", "key", "hashes", "kinds", "framed").mapInArrow(run, PLACED)
+
+
+class Holders:
+    """Pages of a range by the lines they hold."""
+
+    def __init__(self, hashes: pa.Array):
+        self.n = len(hashes)
+        at = np.repeat(np.arange(self.n), np.diff(hashes.offsets.to_numpy()))
+        values = hashes.flatten().to_numpy()
+        order = np.lexsort((at, values))
+        values, at = values[order], at[order]
+        other = np.ones(len(values), bool)
+        other[1:] = (values[1:] != values[:-1]) | (at[1:] != at[:-1])
+        self.values, self.at = values[other], at[other]
+
+    def lacking(self, mine: np.ndarray) -> np.ndarray:
+        """Pages that hold too few of these lines for a copy. A line that most pages hold is
+        counted by those that lack it."""
+        low, high = np.searchsorted(self.values, mine, "left"), np.searchsorted(self.values, mine, "right")
+        common, have, lack = 0, [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for a, b in zip(low, high):
+            if 2 * (b - a) > self.n:
+                common += 1
+                if b - a < self.n:
+                    lack.append(np.setdiff1d(np.arange(self.n), self.at[a:b], assume_unique=True))
+            else:
+                have.append(self.at[a:b])
+        counts = np.bincount(np.concatenate(have), minlength=self.n) - np.bincount(np.concatenate(lack), minlength=self.n)
+        return np.flatnonzero(common + counts < COPY * len(mine))
+
+
+def _search(asked: pa.Table, pages: pa.Table) -> pa.Table:
+    """The nearest neighbour of every page that asks, among the pages of one host and range."""
+    pages = pages.sort_by("place").combine_chunks()
+    places, ids = pages["place"].to_numpy(), pages["page_id"].to_pylist()
+    lines = pages["hashes"].combine_chunks()
+    holders = Holders(lines)
+    rows = zip(*(asked[c].to_pylist() for c in ("mine", "place", "page_id", "side", "n")))
+    last, found, out = None, None, []
+    for mine, place, page_id, side, n in sorted(rows, key=lambda r: r[0]):
+        if mine != last:
+            last, found = mine, holders.lacking(np.array(mine, np.int64))
+        at = np.searchsorted(found, np.searchsorted(places, place))
+        for k in found[:at][::-1] if side < 0 else found[at:]:
+            if ids[k] != page_id:
+                out.append((place, side, n, k))
+                break
+    place, side, n, k = zip(*out) if out else ((),) * 4
+    return pa.table(
+        {"place": pa.array(place, pa.int64()), "side": pa.array(side, pa.int32()), "n": pa.array(n, pa.int32()),
+         "hashes": lines.take(pa.array(k, pa.int64()))}
+    )
+
+
+def _neighbours(placed: DataFrame, asking: DataFrame, ws: Workspace) -> DataFrame:
+    """``(place, side, hashes)``: the neighbours of pages that have to look on, -1 the one before."""
+    part = lambda c: F.shiftrightunsigned(c, LOCAL_BITS).alias("part")
+    sides = F.explode(F.array_compact(F.array(F.when(F.col("open_back"), -1), F.when(F.col("open_ahead"), 1))))
+    asked = asking.select("place", part("place").alias("own"), "host", "page_id", "mine", sides.alias("side"))
+    # mine is in a fixed order, so that copies ask once
+    asked = asked.withColumn("mine", F.sort_array("mine"))
+    held = placed.filter("common is not null").select("host", part("place"), "common")
+    away = (F.col("part") - F.col("own")) * F.col("side")
+    copies = F.size(F.array_intersect("mine", "common")) >= F.lit(COPY) * F.size("mine")
+    nearest_first = Window.partitionBy("place", "side").orderBy(away)
+    trips = ws.stage(
+        asked.join(held, "host").filter((away >= 0) & ~copies).withColumn("n", F.row_number().over(nearest_first)), "trips"
+    )
+    pages = placed.select("host", part("place"), "place", "page_id", "hashes")
+    most = trips.agg(F.max("n")).first()[0] or 0
+    at = ["host", "part", "own"]  # by the asking pages' range, too: many may ask one range
+    found, low, high = None, 1, 1
+    while low <= most:
+        todo = trips.filter(F.col("n").between(low, high))
+        if found is not None:
+            todo = todo.join(found.select("place", "side"), ["place", "side"], "left_anti")
+        todo = ws.stage(todo.select(*at, "place", "page_id", "mine", "side", "n"), "todo")
+        targets = todo.select("host", "part", F.col("own").alias("of")).distinct()
+        there = pages.join(targets, ["host", "part"]).withColumnRenamed("of", "own")
+        there = there.select(*[F.col(c).alias(c) for c in there.columns])  # unlike the columns of todo
+        hits = todo.groupBy(*at).cogroup(there.groupBy(*at))
+        hits = hits.applyInArrow(_search, "place long, side int, n int, hashes array<long>")
+        hits = ws.stage(hits.groupBy("place", "side").agg(F.min_by("hashes", "n").alias("hashes")), "neighbours")
+        found = hits if found is None else found.union(hits)
+        low, high = high + 1, 4 * high + 4
+    return found if found is not None else placed.select("place", F.lit(-1).alias("side"), "hashes").limit(0)
+
+
+def _decided(placed: DataFrame, ws: Workspace) -> DataFrame:
+    """``(key, gone)`` of the rows that lose lines."""
+    here = placed.filter("gone is not null").select("key", "gone")
+    asking = placed.filter("open_back or open_ahead")
+    if asking.isEmpty():
+        return here
+    found = _neighbours(placed, asking, ws)
+
+    def make():
+        def step(batch: pa.RecordBatch):
+            columns = [batch.column(c).to_pylist() for c in ("hashes", "kinds", "framed", "back", "ahead")]
+            gone = [lines_gone(h, kinds, framed, [a, b]) for h, kinds, framed, a, b in zip(*columns)]
+            return record(key=batch.column("key"), gone=pa.array(gone, pa.list_(pa.bool_())))
+
+        return step
+
+    beside = asking.select("place", "key", "hashes", "kinds", "framed", "back", "ahead")
+    for side, name in ((-1, "back"), (1, "ahead")):
+        other = found.filter(F.col("side") == side).select("place", F.col("hashes").alias("found"))
+        beside = beside.join(other, "place", "left").withColumn(name, F.coalesce(name, "found")).drop("found")
+    return here.union(map_batches(beside, "key long, gone array<boolean>", make).filter("gone is not null"))
+
+
+def extract(pages: DataFrame, ws: Workspace | None = None) -> DataFrame:
+    """``page_id, url, text, n_chars`` of every page."""
+    ws = ws or Workspace(pages.sparkSession)
+    placed = ws.stage(_placed(ws.stage(_entries(pages), "lines")), "placed")
+    gone = ws.stage(_decided(placed, ws).dropDuplicates(["key"]), "gone")
 
-    return placed.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    def make():
+        def step(batch: pa.RecordBatch):
+            texts = [Page(0, None, "", html).texts() for html in batch.column("html").to_pylist()]
+            columns = {c: batch.column(c) for c in ("page_id", "url", "key")}
+            return record(**columns, texts=pa.array(texts, pa.list_(pa.string())))
+
+        return step
+
+    found = map_batches(_rows(pages), "page_id long, url string, key long, texts array<string>", make)
+    kept = F.when(F.col("gone").isNull(), F.col("texts")).otherwise(
+        F.filter("texts", lambda _, k: ~F.get("gone", k))
+    )
+    text = found.join(gone, "key", "left").select("page_id", "url", F.array_join(kept, "\n").alias("text"))
+    return text.withColumn("n_chars", F.length("text").cast("long"))

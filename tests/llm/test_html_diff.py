@@ -4,6 +4,8 @@ import random
 import re
 import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -88,6 +90,53 @@ def test_template_inside_articles(spark):
     assert {r.page_id: r.text for r in html_diff.extract(df).collect()} == want
 
 
+def plain(rows):
+    """Texts by page, each page with its nearest neighbours however far away."""
+    placed = []
+    for page_id, url, html in sorted(rows, key=lambda r: (r[1], r[0])):
+        p = html_diff.Page(page_id, url, "", html)
+        host = url.split("/")[2]
+        placed.append((p, html_diff.Entry(host, page_id, 0, p.hashes().tolist(), p.kinds, p.framed)))
+    entries, out = [e for _, e in placed], {}
+    for k, (p, e) in enumerate(placed):
+        neighbours = [e.nearest(entries[:k][::-1])[0], e.nearest(entries[k + 1 :])[0]]
+        out[p.page_id] = p.text(html_diff.lines_gone(e.hashes, e.kinds, e.framed, neighbours))
+    return out
+
+
+@pytest.mark.parametrize("coalesced", [True, False])
+def test_neighbours_beyond_copies_and_ranges(spark, coalesced):
+    """Copies between a page and its neighbour, and the edges of ranges, hide no template."""
+    rnd, rows = random.Random(4), []
+    for h, article in ((0, True), (1, False), (2, False)):
+        for i in range(60):
+            n = i // 20 if h < 2 else 3 * (i // 3)  # versions of one text, some with a line more or less
+            story = [f"story {n} of {h}, line {k}" for k in range(12)]
+            story = [t for t in story if rnd.random() < 0.95] + [f"only in {i}"] * (i % 2)
+            lines = ["Read our terms of use", *story, "All rights reserved"]
+            rows.append((len(rows), f"http://h{h}.org/{i:03}.html", page("".join(f"<p>{t}</p>" for t in lines), article)))
+    want = plain(rows)
+    assert sum("terms of use" in t for t in want.values()) == 40  # both ends of the host with articles
+    df = spark.createDataFrame(rows + rows[7:8], "page_id long, url string, html string").repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
+    try:
+        got = html_diff.extract(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == len(rows) + 1
+    for r in got:
+        assert (r.text, r.n_chars) == (want[r.page_id], len(want[r.page_id]))
+
+
+def test_holders_count_by_those_that_lack_a_line():
+    rnd = random.Random(2)
+    pages = [[k for k in range(12) if rnd.random() < (0.9 if k < 6 else 0.3)] * 2 for _ in range(70)]
+    holders = html_diff.Holders(pa.array(pages, pa.list_(pa.int64())))
+    for mine in [*map(set, pages), set(range(12)), {99, 3}]:
+        want = [k for k, p in enumerate(pages) if len(mine & set(p)) < html_diff.COPY * len(mine)]
+        assert holders.lacking(np.array(sorted(mine), np.int64)).tolist() == want
+
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)",
