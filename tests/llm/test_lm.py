@@ -8,6 +8,7 @@ import pytest
 
 from replicheck.llm import lm
 from replicheck.llm.text import WordHash, lower_words
+from replicheck.sources import Workspace
 
 
 def plain(rows):
@@ -74,3 +75,30 @@ def test_words_are_not_merged(spark, ws):
     for d, n, score in plain_words(rows):
         assert got[d].n_words == n
         assert abs(got[d].score - score) < 1e-9
+
+
+class Plans(Workspace):
+    """A workspace that keeps the plan of every staged table."""
+
+    def stage(self, df, name):
+        self.plans = {**getattr(self, "plans", {}), name: df._jdf.queryExecution().optimizedPlan().toString()}
+        return super().stage(df, name)
+
+
+@pytest.mark.parametrize("known, heavy", [(0, lm.HEAVY), (40, 50), (lm.KNOWN, 20)])
+def test_rows_of_pairs_are_sorted_once(spark, monkeypatch, known, heavy):
+    """One window and two readings of the texts, whichever words are heavy, known or neither."""
+    monkeypatch.setattr(lm, "KNOWN", known)
+    monkeypatch.setattr(lm, "HEAVY", heavy)
+    rnd = random.Random(8)
+    words = ["of"] * 200 + ["the"] * 150 + [f"k{i}" for i in range(30)] * 8 + [f"u{i}" for i in range(300)]
+    rows = [(i, " ".join(rnd.choices(words, k=rnd.randint(1, 80)))) for i in range(90)]
+    rows += [(i + 100, f"u1 u2 u3 u1 u2 {t}") for i, t in rows[:30]]  # unknown words that others share
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ws = Plans(spark)
+    got = {r.doc_id: r for r in lm.scores(df, ws).collect()}
+    for d, n, score in plain_words(rows):
+        assert got[d].n_words == n
+        assert abs(got[d].score - score) < 1e-9
+    plans = "".join(ws.plans.values())
+    assert plans.count("Window [") == 1 and plans.count("MapInArrow") == 2
