@@ -50,16 +50,17 @@ class Merges:
     def __init__(self, table: Sequence[bytes]):
         self.ids = {t: i for i, t in enumerate(table) if t}
         self.first = np.array([self.ids.get(bytes([b]), -1) for b in range(256)], np.int64)
-        pairs = [
-            ((self.ids[t[:k]] << 32) | self.ids[t[k:]], i)
+        self.scalar = {
+            (self.ids[t[:k]] << 32) | self.ids[t[k:]]: i
             for t, i in self.ids.items()
             for k in range(1, len(t))
             if t[:k] in self.ids and t[k:] in self.ids
-        ]
-        pairs.sort()
-        self.scalar = dict(pairs)
-        self.keys = np.array([p for p, _ in pairs] or [-1], np.int64)
-        self.made = np.array([i for _, i in pairs] or [0], np.int64)
+        }
+        n = len(self.scalar)
+        keys, made = np.fromiter(self.scalar.keys(), np.int64, n), np.fromiter(self.scalar.values(), np.int64, n)
+        order = np.argsort(keys)
+        self.keys = keys[order] if n else np.array([-1], np.int64)
+        self.made = made[order] if n else np.array([0], np.int64)
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left << 32) | right

@@ -22,6 +22,7 @@ import json
 from collections.abc import Sequence
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -185,8 +186,12 @@ def mix(
         first = places[text][0] if own else None
         mine = (sizes[first], float(goal[first])) if own else (0, 0.0)
         decided.append((text, epochs, rest, *mine))
-    schema = "pattern string, epochs long, rest long, source_size long, target double"
-    plan = ws.stage(docs.sparkSession.createDataFrame(decided, schema), "plan")
+    fields = {"pattern": pa.string(), "epochs": pa.int64(), "rest": pa.int64(), "source_size": pa.int64(), "target": pa.float64()}
+    columns = zip(*decided) if decided else [()] * len(fields)
+    # as Arrow, which Spark reads by itself: a list of rows starts Python workers of another kind,
+    # and they stay beside those of the other operators
+    table = pa.table({name: pa.array(c, t) for (name, t), c in zip(fields.items(), columns)})
+    plan = ws.stage(docs.sparkSession.createDataFrame(table), "plan")
     bounds = ws.stage(_bounds(rows, plan, ws), "bounds")
     once_more = F.coalesce(_rank() <= F.col("below"), F.lit(False)).cast("long")
     out = rows.join(plan, "pattern").join(bounds, "pattern", "left").withColumn("copies", F.col("epochs") + once_more)

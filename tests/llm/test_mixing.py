@@ -98,3 +98,17 @@ def test_repeated_and_empty(spark, ws):
     out = mixing.repeated(df, F.array("source"), ws)
     assert out.columns == df.columns and {r.doc_id for r in out.collect()} <= {1, 2}
     assert mixing.mix(df.limit(0), F.array("source"), ws=ws).count() == 0
+
+
+def test_no_python_workers(spark, ws, monkeypatch):
+    """The mix is the only stage of a chain with rows from the driver; Python workers that turn
+    them into a table would stay beside those of other stages."""
+    df = spark.range(40).selectExpr("id as doc_id", "repeat('w ', int(id)) as text", "string(id % 3) as source")
+    empty = df.limit(0)
+
+    def refuse(*_, **__):
+        raise AssertionError("rows of the driver go through Python workers")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refuse)
+    assert mixing.mix(df, F.array("source"), ws=ws).count() == 40
+    assert mixing.mix(empty, F.array("source"), ws=ws).count() == 0

@@ -1,5 +1,6 @@
 """The pipeline's stages one by one against what each may keep, and the registration."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,21 @@ def test_near_copies_by_five_words_and_four_fifths(spark):
     kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()}
     assert kept == {c for _, _, c in brute(rows, size=5, percent=80)} == {1, 3, 4}
     assert {c for _, _, c in brute(rows)} == {1, 2, 3, 4}
+
+
+def test_texts_go_to_workers_in_small_batches(spark, tmp_path, monkeypatch):
+    """A batch of texts is held whole by the executor and its worker."""
+    spark.range(2_500).selectExpr("id as doc_id").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+
+    def sizes(_, docs, __):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+        return docs.mapInArrow(run, "n long")
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", sizes)])
+    assert sorted(r.n for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == [500, 2000]
+    assert spark.conf.get(name) == before
