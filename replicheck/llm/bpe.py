@@ -27,8 +27,8 @@ from replicheck.llm.text import map_batches
 
 #: Pieces up to this length share vectorised trees; longer ones get a tree of their own.
 FOREST_BYTES = 64
-#: Distinct stretches a task remembers; a full memory starts anew.
-CACHE_UNITS = 300_000
+#: Distinct units a task remembers; a full memory keeps those it met again.
+CACHE_UNITS = 120_000
 #: White space as the pattern's \s has it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 NONE = np.iinfo(np.int64).max
@@ -187,7 +187,8 @@ class Store:
         self.number: dict = {}
         self.values = np.empty(0, np.int32)
         self.starts = np.empty(0, np.int64)
-        self.sizes = np.empty(0, np.int64)
+        self.sizes = np.empty(0, np.int32)
+        self.uses = np.empty(0, np.int32)
 
     def add(self, keys: Sequence, values: np.ndarray, sizes: np.ndarray) -> None:
         at = len(self.sizes)
@@ -195,11 +196,23 @@ class Store:
         starts = len(self.values) + np.cumsum(sizes) - sizes
         self.values = np.concatenate((self.values, np.asarray(values, np.int32)))
         self.starts = np.concatenate((self.starts, starts))
-        self.sizes = np.concatenate((self.sizes, sizes))
+        self.sizes = np.concatenate((self.sizes, np.asarray(sizes, np.int32)))
+        self.uses = np.concatenate((self.uses, np.zeros(len(keys), np.int32)))
 
     def get(self, numbers: np.ndarray) -> np.ndarray:
         return ragged(self.values, self.starts[numbers], self.sizes[numbers])
 
+    def use(self, numbers: np.ndarray) -> None:
+        self.uses += np.bincount(numbers, minlength=len(self.uses)).astype(np.int32)
+
+    def used_again(self) -> Store:
+        """A store of what was used more than once; nothing, where that is more than half."""
+        out, again = Store(), np.flatnonzero(self.uses > 1)
+        if 2 * len(again) <= len(self.uses):
+            keys = list(self.number)  # in the order of their numbers
+            out.add([keys[i] for i in again.tolist()], self.get(again), self.sizes[again])
+        return out
+
 
 def merge_into(store: Store, pieces: Sequence[str], merges: Merges) -> None:
     """Store the ids of new pieces."""
@@ -224,14 +237,14 @@ class Encoder:
     """Ids of texts. A text is cut into units, each one optional space and what follows up to
     the next white space, or a run of white space: every cut is also a cut of the pattern
     (which never joins white space to what follows but for one space), so units are split and
-    merged on their own and remembered."""
+    merged on their own and remembered. Most units are met once: a full memory keeps the others."""
 
     def __init__(self, table: Sequence[bytes], pattern: str):
         self.merges = Merges(table)
         self.pattern = regex.compile(pattern)
         s = f"[{SPACE}]"
         self.find_units = re.compile(rf" ?[^{SPACE}]+|{s}+(?!{'[^' + SPACE + ']'})|{s}+").findall
-        self.units, self.pieces = Store(), Store()
+        self.units = Store()
 
     def learn(self, new: list[str]) -> None:
         """Split and merge units that are not in the store yet."""
@@ -241,29 +254,30 @@ class Encoder:
         found = self.pattern.findall("".join(spaced))  # a unit's first piece has its only space
         split = [self.pattern.findall(u) for u in other]
         starts = [k for k, p in enumerate(found) if p[0] == " "] + [len(found)]
-        sizes = [b - a for a, b in zip(starts, starts[1:])] + list(map(len, split))
+        counts = [b - a for a, b in zip(starts, starts[1:])] + list(map(len, split))
         pieces = found + [p for x in split for p in x]
-        known = self.pieces.number
-        merge_into(self.pieces, list({p for p in pieces if p not in known}), self.merges)
-        numbers = np.fromiter(map(known.__getitem__, pieces), np.int32, len(pieces))
-        self.units.add(spaced + other, numbers, np.array(sizes, np.int64))
+        merged = Store()
+        merge_into(merged, list(set(pieces)), self.merges)
+        numbers = np.fromiter(map(merged.number.__getitem__, pieces), np.int64, len(pieces))
+        before = np.concatenate(([0], np.cumsum(merged.sizes[numbers])))
+        ends = np.cumsum(np.array(counts, np.int64))
+        sizes = np.diff(before[np.concatenate(([0], ends))])
+        self.units.add(spaced + other, merged.get(numbers), sizes)
 
     def batch(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids behind each other, and where each text's ids start (one more than texts)."""
-        if len(self.units.number) > CACHE_UNITS or len(self.pieces.number) > CACHE_UNITS:
-            self.units, self.pieces = Store(), Store()
+        if len(self.units.number) > CACHE_UNITS:
+            self.units = self.units.used_again()
         per_text = [self.find_units(t) if t else [] for t in texts]
         units = [u for x in per_text for u in x]
         known = self.units.number
         if new := [u for u in set(units) if u not in known]:
             self.learn(new)
         numbers = np.fromiter(map(known.__getitem__, units), np.int64, len(units))
-        pieces = self.units.get(numbers)
-        flat = self.pieces.get(pieces)
-        sizes = np.concatenate(([0], self.pieces.sizes[pieces]))
-        unit_ends = np.concatenate(([0], np.cumsum(self.units.sizes[numbers])))
+        self.units.use(numbers)
+        ends = np.concatenate(([0], np.cumsum(self.units.sizes[numbers], dtype=np.int64)))
         text_ends = np.concatenate(([0], np.cumsum(list(map(len, per_text)), dtype=np.int64)))
-        return flat, np.cumsum(sizes)[unit_ends[text_ends]]
+        return self.units.get(numbers), ends[text_ends]
 
 
 def encode(

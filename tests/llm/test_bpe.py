@@ -49,3 +49,17 @@ def test_documents(spark, library):
         want.append((d, len(ids), sha(",".join(map(str, ids)).encode()), sha((t or "").encode())))
     assert got == sorted(want, key=str)
     assert bpe.digests(df.limit(0), vocabulary(), P.PATTERN).count() == 0
+
+
+def test_full_memory_keeps_what_was_met_again(library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_UNITS", 500)
+    encoder = bpe.Encoder(vocabulary(), P.PATTERN)
+    learnt, held, learn = [], [], encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda new: (learnt.extend(new), learn(new)))
+    for k in range(20):
+        text = f"two words, {' '.join(f'w{k}x{i}' for i in range(300))} words"
+        flat, _ = encoder.batch([text])
+        assert flat.tolist() == library.encode_ordinary(text)
+        held.append(len(encoder.units.number))
+    assert max(held) < 1_000
+    assert learnt.count(" words") == 1

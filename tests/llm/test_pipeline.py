@@ -116,3 +116,22 @@ def test_texts_go_to_workers_in_small_batches(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", sizes)])
     assert sorted(r.n for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == [500, 2000]
     assert spark.conf.get(name) == before
+
+
+def test_a_stage_by_itself_limits_bytes_of_batches(spark):
+    """A caller that writes what a stage returns does so outside of ``run``."""
+    before = {name: spark.conf.get(name) for name in corpus_pipeline.BATCH_LIMITS}
+    docs = spark.range(0, 1_000, 1, 1).selectExpr("id as doc_id", "'s' as source", "repeat('word ', 2000) as text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    try:
+        corpus_pipeline.encode_texts(spark, docs, "")
+        seen = [r.n for r in docs.select("text").mapInArrow(sizes, "n long").collect()]
+        assert sum(seen) >= 10_000_000
+        assert max(seen) < 1.1 * corpus_pipeline.BATCH_BYTES
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
