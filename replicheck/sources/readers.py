@@ -215,9 +215,16 @@ def likely_rows(rows: DataFrame, keys: DataFrame, pk: str) -> DataFrame:
             "__place": F.expr("bitmap_bit_position(__slot)"),
         }
     )
-    byte = F.conv(F.hex(F.expr("substring(__bits, cast(__place div 8 as int) + 1, 1)")), 16, 10)
-    is_set = F.floor(byte.cast("long") / F.pow(F.lit(2), F.col("__place") % 8)) % 2 == 1
-    return placed.join(F.broadcast(bits), "__bucket").filter(is_set).select(*rows.columns)
+    # as numbers, made once a bucket: rows are tested without a string of each
+    last = (1 << 12) // 8 - 1  # of a bucket's 4096 bytes
+    word = "cast(conv(hex(substring(__bits, 8 * i + 1, 8)), 16, -10) as bigint)"
+    words = bits.select("__bucket", F.expr(f"transform(sequence(0, {last}), i -> {word})").alias("__words"))
+    # a word begins with its first byte, and a byte's first place is its lowest bit
+    is_set = F.expr(
+        "getbit(__words[cast(__place div 64 as int)], "
+        "cast(56 - 8 * (__place div 8 % 8) + __place % 8 as int)) = 1"
+    )
+    return placed.join(F.broadcast(words), "__bucket").filter(is_set).select(*rows.columns)
 
 
 def unique_cols_lookup(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from queries import drift
 from queries.results import QUERIES, Check
 from replicheck.operators import checksum, keys, repair, validate
-from replicheck.sources import key_lookup_rows, read_replica
+from replicheck.sources import key_lookup_rows, read_replica, readers
 from replicheck.spec import ReplicaSpec
 from test_keys import plan_of
 
@@ -112,3 +112,16 @@ def test_ranks_follow_settings(spark, ws, conf):
     conf(shuffle__partitions="50", adaptive__enabled="false")
     ranked = keys.with_rank(df, ["k"], ws)
     assert ranked.filter("rn <> k + 1").isEmpty() and ranked.count() == 1000
+
+
+@pytest.mark.parametrize("step", [1, 7, 4096])
+def test_bits_of_keys_are_tested_as_numbers(spark, step):
+    """All bits of a word count, also its sign, and no row is turned into strings for it."""
+    wanted = spark.range(0, 200_000, step).withColumnRenamed("id", "k")
+    rows = spark.range(400_000).withColumnRenamed("id", "k")
+    likely = readers.likely_rows(rows, wanted, "k")
+    assert likely.join(wanted, "k").count() == wanted.count()
+    others = likely.join(wanted, "k", "left_anti").count()
+    assert others < 2 * (400_000 - wanted.count()) * wanted.count() / readers.BITS + 20
+    tests = [line for line in plan_of(likely).split("\n") if "Filter" in line or "Condition" in line]
+    assert tests and not any("hex(" in line or "conv(" in line for line in tests)
