@@ -10,7 +10,10 @@ of at least ``percent * S / (100 + percent)``.
 * Large sets go into inverted lists by the first n-grams of their set in one global order (n-grams
   that many sets hold come last; the order only matters for speed): enough of them that linked
   sets meet in a list. Lists of up to ``LIST`` sets are scanned pair by pair.
-* A longer list is scanned through one of its sets, the hub. Each holder is compared with the
+* Two linked sets that meet in longer lists only are both holders of such lists. These holders
+  are dealt again, by themselves and with what they share put last, as long as that halves
+  them: what unlike sets share by chance or quote no longer brings them together.
+* A list that stays long is scanned through one of its sets, the hub. Each holder is compared with the
   hub and described by its difference from it. Two holders that are not both linked to the hub
   can only be linked if their differences overlap, so the differences are joined by inverted
   lists of their own, again by just as many of their n-grams as linked sets need to meet.
@@ -45,8 +48,8 @@ LIST = 32
 HANDFUL = 64
 #: Holders of a long list that meet its hub in one task.
 PART = 256
-#: N-grams at most that the global order puts last: those that most sets hold. Which they are
-#: changes the work, never the result.
+#: N-grams at most that the global order puts last, and that each new dealing of holders adds: those
+#: that most sets hold. Which they are changes the work, never the result.
 COMMON = 131_072
 #: Largest set that may count as small, and what one entry of an inverted list costs in rows.
 SMALL_MOST, ENTRY_COST = 24, 8
@@ -196,10 +199,10 @@ def small_bound(sizes: dict[int, int], rule: Rule) -> int:
     return min(costs, key=lambda b: (costs[b], b))
 
 
-def _entries(docs: DataFrame, size: int, rule: Rule, bound: int, common: np.ndarray) -> DataFrame:
+def _entries(docs: DataFrame, size: int, rule: Rule, bound: int, common: np.ndarray, again: bool) -> DataFrame:
     """Entries of lists ``(gram, node, n, kind)``. A subset that the smaller side holds is of
-    kind 0, one of the larger side 1. An n-gram of kind 2 lets a large set find this small
-    one; of kind 3 lets sets find each other; of kind 4 only finds smaller ones."""
+    kind 0, one of the larger side 1; there are none ``again``. An n-gram of kind 2 lets a large
+    set find this small one; of kind 3 lets sets find each other; of kind 4 only finds smaller ones."""
 
     def make():
         hashes = WordHash()
@@ -225,7 +228,7 @@ def _entries(docs: DataFrame, size: int, rule: Rule, bound: int, common: np.ndar
                     continue
                 done.add(key)
                 parts, kind = [], []
-                if n <= bound:
+                if n <= bound and not again:
                     for value, larger in subsets(grams):
                         parts.append(value)
                         kind.append(larger)
@@ -234,6 +237,8 @@ def _entries(docs: DataFrame, size: int, rule: Rule, bound: int, common: np.ndar
                     taken = more if n > bound else few
                     parts.append(_ordered(grams, common)[:taken])
                     kind += [3 if i < few else 4 for i in range(taken)] if n > bound else [2] * taken
+                if not parts:
+                    continue
                 found = np.concatenate(parts)
                 gram.append(found)
                 kinds.append(np.array(kind, np.int32))
@@ -253,6 +258,43 @@ def _entries(docs: DataFrame, size: int, rule: Rule, bound: int, common: np.ndar
     return map_batches(docs, "gram long, node long, n long, kind int", make, 2_000)
 
 
+def _lists(
+    docs: DataFrame, size: int, rule: Rule, bound: int, common: np.ndarray, ws: Workspace, again: bool = False
+) -> DataFrame:
+    """Entries of the lists that several sets hold, with each list's ``count`` and ``base``."""
+    # dealt by n-gram once, for the lists' lengths and for the lists
+    entries = _entries(docs, size, rule, bound, common, again).repartition("gram")
+    lists = entries.groupBy("gram").agg(
+        F.count("*").alias("count"), F.min("node").alias("least"), F.max("node").alias("most"),
+        F.min(F.when(F.col("kind") == 0, F.col("node"))).alias("base"), F.max("n").alias("longest"),
+    ).filter("least <> most and longest > 0").drop("least", "most", "longest")  # all columns: one exchange serves both
+    return ws.stage(entries.join(lists, "gram").dropDuplicates(["gram", "node", "kind"]), "lists")
+
+
+def _near(scanned: DataFrame, percent: int) -> DataFrame:
+    """``(hub, node)`` of sets that meet in a short list, the larger one first."""
+    light = scanned.filter(F.col("count") <= LIST)
+    small, large = light.filter("kind < 4").alias("s"), light.filter("kind > 2").alias("l")
+    return (
+        small.join(large, F.expr("s.gram = l.gram and (s.n < l.n or (s.n = l.n and s.node < l.node))"))
+        .filter(F.expr(f"100 * s.n >= {percent} * l.n"))
+        .select(F.col("l.node").alias("hub"), F.col("s.node").alias("node"))
+        .distinct()
+    )
+
+
+def _most(counts: DataFrame) -> DataFrame:
+    """The n-grams that most sets hold, by the sums of ``(gram, count)``."""
+    sums = counts.groupBy("gram").agg(F.sum("count").alias("count"))
+    return sums.orderBy(F.desc("count"), "gram").limit(COMMON).select("gram")
+
+
+def _sorted(grams: DataFrame) -> np.ndarray:
+    out = np.sort(grams.toArrow().column("gram").to_numpy().view(np.uint64))
+    give_back()
+    return out
+
+
 def _by_hubs(heavy: DataFrame) -> DataFrame:
     """``(node, hub)`` of every holder of a long list. The hub is the holder that is in most long
     lists: what many documents were copied from is nearer to each of them than another copy.
@@ -291,6 +333,16 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return likely.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id")
 
 
+def _texts_by_list(docs: DataFrame, heavy: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One text of each holder, those of a long list beside each other: batches of them show what
+    they share. A list is dealt to as many tasks as its length asks for."""
+    at = heavy.groupBy("node").agg(F.max(F.struct("count", "gram")).alias("list")).join(nodes, "node")
+    part = F.pmod(F.xxhash64("doc_id"), F.call_function("div", F.col("list.count"), F.lit(PART)) + 1)
+    at = at.groupBy("doc_id").agg(F.max("list").alias("list")).select("doc_id", F.col("list.gram").alias("gram"), part.alias("part"))
+    texts = _texts_of(docs, at.select("doc_id")).join(at, "doc_id")
+    return texts.repartition("gram", "part").sortWithinPartitions("gram", "part").select("doc_id", "text")
+
+
 def _compare(
     pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, rule: Rule, common: np.ndarray, ws: Workspace
 ) -> DataFrame:
@@ -379,36 +431,31 @@ def link_classes(docs: DataFrame, ws: Workspace, size: int = 4, percent: int = 8
         ),
         "classes",
     )
-    top = (
-        first.filter("gram is not null").groupBy("gram").agg(F.sum("count").alias("count"))
-        .orderBy(F.desc("count"), "gram").limit(COMMON).select("gram").toArrow()
-    )
-    common = np.sort(top.column("gram").to_numpy().view(np.uint64))
-    del top
-    give_back()
+    late = ws.stage(_most(first.filter("gram is not null")), "late")
+    common = _sorted(late)
     histogram = nodes.filter(F.col("n") <= SMALL_MOST).groupBy("n").count().collect()
     bound = small_bound({r["n"]: r["count"] for r in histogram}, rule)
 
-    # dealt by n-gram once, for the lists' lengths and for the lists
-    entries = _entries(docs.filter("doc_id is not null"), size, rule, bound, common).repartition("gram")
-    lists = entries.groupBy("gram").agg(
-        F.count("*").alias("count"), F.min("node").alias("least"), F.max("node").alias("most"),
-        F.min(F.when(F.col("kind") == 0, F.col("node"))).alias("base"), F.max("n").alias("longest"),
-    ).filter("least <> most and longest > 0").drop("least", "most", "longest")  # all columns: one exchange serves both
-    held = ws.stage(entries.join(lists, "gram").dropDuplicates(["gram", "node", "kind"]), "lists")
-
+    asked = docs.filter("doc_id is not null")
+    held = _lists(asked, size, rule, bound, common, ws)
     ties = held.filter("kind < 2 and base is not null").select(F.col("base").alias("a"), F.col("node").alias("b"))
     scanned = held.filter("kind >= 2")
-    light = scanned.filter(F.col("count") <= LIST)
-    small, large = light.filter("kind < 4").alias("s"), light.filter("kind > 2").alias("l")
-    near = (
-        small.join(large, F.expr("s.gram = l.gram and (s.n < l.n or (s.n = l.n and s.node < l.node))"))
-        .filter(F.expr(f"100 * s.n >= {percent} * l.n"))
-        .select(F.col("l.node").alias("hub"), F.col("s.node").alias("node"))
-        .distinct()
-    )
-    near = _plausible(ws.stage(near, "near"), nodes, rule).withColumn("differ", F.lit(False))
-    heavy = ws.stage(scanned.filter(F.col("count") > LIST).select("gram", "node", "count"), "heavy")
+    near, most = _near(scanned, percent), None
+    while True:
+        heavy = ws.stage(scanned.filter(F.col("count") > LIST).select("gram", "node", "count"), "heavy")
+        sets = heavy.select("node").distinct().count()
+        if not sets or most is not None and sets > most:
+            break
+        # linked sets that no short list has brought together are both among the holders
+        most = sets // 2
+        asked = ws.stage(_texts_by_list(asked, heavy, nodes), "asked")
+        shared = _sketch(asked, size).filter("gram is not null").select("gram", "count")
+        shared = shared.union(heavy.select("gram", F.lit(1).cast("long").alias("count")))
+        more = ws.stage(_most(shared.join(late, "gram", "left_anti")), "late")
+        late, common = late.union(more), np.union1d(common, _sorted(more))
+        scanned = _lists(asked, size, rule, bound, common, ws, again=True)
+        near = near.union(_near(scanned, percent))
+    near = _plausible(ws.stage(near.distinct(), "near"), nodes, rule).withColumn("differ", F.lit(False))
     through_hub = _by_hubs(heavy).withColumn("differ", F.lit(True))
     pairs = ws.stage(near.union(through_hub.select("hub", "node", "differ")), "pairs")
     met = ws.stage(_compare(pairs, nodes, docs, size, rule, common, ws), "compared")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Row
 
 from replicheck.llm import jaccard
+from replicheck.sources import Workspace
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -97,3 +98,38 @@ def test_rule_is_exact():
                 if is_linked:
                     assert b <= rule.largest(a) and a >= rule.smallest(b)
                     assert a + b - 2 * both <= min(rule.apart(a), rule.apart(b))
+
+
+def test_unlike_sets_that_quote_one_passage_are_not_described_by_a_hub(spark, monkeypatch):
+    """The sketch of all texts has not seen the passage twice in a batch, as it may be in large tables."""
+    rnd = random.Random(3)
+    vocab = [f"w{i}" for i in range(2_000)]
+    passage = [rnd.choice(vocab) for _ in range(30)]
+    rows = []
+    for k in range(60):
+        base = [rnd.choice(vocab) for _ in range(100 + 10 * k)]
+        rows.append((k, " ".join(base[:50] + passage + base[50:])))
+    family = [rnd.choice(vocab) for _ in range(200)]
+    for k in range(60, 90):
+        copy = list(family)
+        for _ in range(rnd.choice([1, 3, 6])):
+            copy[rnd.randrange(len(copy))] = rnd.choice(vocab)
+        rows.append((k, " ".join(copy)))
+    monkeypatch.setattr(jaccard, "LIST", 8)
+
+    class Kept(Workspace):
+        def stage(self, df, name):
+            out = super().stage(df, name)
+            kept.setdefault(name, []).append(out)
+            return out
+
+    def sketch(docs, size):
+        out = plain(docs, size)
+        return out if "sketch" in kept else out.filter("gram is null")
+
+    kept, plain = {}, jaccard._sketch
+    monkeypatch.setattr(jaccard, "_sketch", sketch)
+    assert result(spark, Kept(spark), rows) == brute(rows)
+    described = kept["compared"][0].filter("differ").select("node", "n", "grams").collect()
+    assert len({r.node for r in described}) >= 20  # the family is
+    assert all(190 <= r.n <= 200 for r in described)  # the others are not
